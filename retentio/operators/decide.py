@@ -100,13 +100,20 @@ def channel_roi(df: DataFrame, costs: Costs = Costs(), effectiveness=None) -> Da
     return out
 
 
-def best_action(df: DataFrame) -> DataFrame:
-    """Argmax channel (first on ties), email fallback, sleeping-dog override."""
+def best_channel() -> tuple[Column, Column]:
+    """(channel, ROI) of the best channel, the first in channel order on ties."""
     e, r, s = (F.col(roi_column(c)) for c in (EMAIL, REP_CALL, SENIOR_CALL))
     best = F.greatest(e, r, s)
     argmax = (F.when(e == best, F.lit(EMAIL))
               .when(r == best, F.lit(REP_CALL))
               .otherwise(F.lit(SENIOR_CALL)))
+    return argmax, best
+
+
+def best_action(df: DataFrame) -> DataFrame:
+    """Argmax channel (first on ties), email fallback, sleeping-dog override."""
+    e = F.col(roi_column(EMAIL))
+    argmax, best = best_channel()
     dog = F.col("Is_Sleeping_Dog")
     action = (F.when(dog, F.lit(SLEEPING_DOG))
               .when(best > F.lit(0.0), argmax)
