@@ -18,7 +18,7 @@ from retentio.operators.decide import Costs, decide_scenarios
 from retentio.operators.population import priority_expr, with_population
 from retentio.operators.rank import global_rank
 from retentio.operators.sweep import optimal_weight, tradeoff_curve
-from retentio.session import materialize
+from retentio.session import default_parallelism, materialize
 
 
 def scenario_decisions(members: DataFrame, scenarios=SCENARIOS, costs: Costs = Costs(),
@@ -31,12 +31,20 @@ def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEF
                     costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY,
                     step: int = WEIGHT_STEP, how: str = "checkpoint",
                     full: bool = False) -> DataFrame:
-    """The tidy scenario table (23 columns; ``full`` keeps all helper columns)."""
-    dec = materialize(scenario_decisions(members, scenarios, costs, loyalty), how)
+    """The tidy scenario table (23 columns; ``full`` keeps all helper columns).
+
+    The member table is materialised once (it is read by the population
+    aggregate, the sweep and the rank); the decisions on top of it are
+    row-local projections, recomputed by each reader instead of stored.
+    """
+    members = materialize(members, how, default_parallelism(members.sparkSession))
+    dec = scenario_decisions(members, scenarios, costs, loyalty)
     best = optimal_weight(tradeoff_curve(dec, capacity, step))
     # one row per scenario of the parameter list: bounded broadcast
     scored = (dec.join(F.broadcast(best.select("Scenario", "Optimal_Risk_Weight_Pct")), "Scenario")
               .withColumn("Priority_Score", priority_expr(F.col("Optimal_Risk_Weight_Pct"))))
+    if not full:
+        scored = scored.select(*_NEEDED)
     ranked = global_rank(scored, [F.col("Priority_Score").desc_nulls_last(), F.col("member_key")],
                          ["Scenario"], rank_col="Priority_Rank", how=how)
     out = (ranked
@@ -54,6 +62,13 @@ def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEF
     return out.select(*[rounded.get(c, F.col(c)) for c in SCENARIO_COLUMNS])
 
 
+# columns the 23-column table is built from (the rank materialises only these)
+_NEEDED = ("Scenario", "margin", "Optimal_Risk_Weight_Pct", "member_key", "Recommended_Action",
+           "Priority_Score", "Churn_Risk_Score", "Total_Account_Value", "Value_At_Stake", "Net_ROI",
+           "Save_Prob", "Is_Sleeping_Dog", "Card_Category", "Customer_Age", "Months_on_book",
+           "Total_Relationship_Count", "Total_Trans_Amt", "Total_Trans_Ct", "Months_Inactive_12_mon")
+
+
 def scenario_summary(table: DataFrame) -> DataFrame:
     """Per scenario - best weight, target-list ROI and counts by action."""
     tl = table.filter(F.col("In_Target_List"))

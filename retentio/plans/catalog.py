@@ -28,7 +28,7 @@ from retentio.operators.scenarios import scenario_decisions, scenario_summary, s
 from retentio.operators.sweep import (
     SWEEP_COLUMNS, _scored, optimal_weight, tradeoff_curve, with_objective,
 )
-from retentio.session import materialize
+from retentio.session import default_parallelism, materialize
 from retentio.sources.members import drop_unused, member_table
 
 BASE = (SCENARIOS[1],)
@@ -44,16 +44,21 @@ def members(spark, sf):
     return member_table(spark, sf)
 
 
+def _members_for(spark, sf, how: str):
+    return materialize(members(spark, sf), how, default_parallelism(spark) if how != "none" else None)
+
+
 def base_decisions(spark, sf, how: str = "none"):
-    return materialize(scenario_decisions(members(spark, sf), BASE), how)
+    """Base-margin decisions; ``how`` materialises the member table under them."""
+    return scenario_decisions(_members_for(spark, sf, how), BASE)
 
 
 def all_decisions(spark, sf, how: str = "none"):
-    return materialize(scenario_decisions(members(spark, sf), SCENARIOS), how)
+    return scenario_decisions(_members_for(spark, sf, how), SCENARIOS)
 
 
 def _base_report(spark, sf):
-    """Base-margin decisions (materialised: the sweep and the lists both read them) and optimum."""
+    """Base-margin decisions over a materialised member table (the sweep and the lists both read it)."""
     dec = base_decisions(spark, sf, "checkpoint")
     best = optimal_weight(tradeoff_curve(dec, K))
     return dec, best
@@ -442,7 +447,7 @@ def trained(spark, sf) -> learn.TrainedModel:
     """Fit once per session and input folder; later model queries reuse it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        m = materialize(members(spark, sf), "checkpoint")
+        m = _members_for(spark, sf, "checkpoint")
         _MODELS[key] = (m, learn.train_and_evaluate(m))
     return _MODELS[key][1]
 

@@ -50,22 +50,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "checkpoint", min_partitions: int | None = None) -> DataFrame:
     """Cut lineage of a table that several later stages read.
 
     ``checkpoint`` writes it to the shared checkpoint folder, so a lost
     executor does not send the recompute back to the raw scans; ``persist``
     keeps it in executor memory/disk (recomputed from lineage on loss);
     ``none`` leaves the plan lazy.
+
+    ``min_partitions``: a materialised table with fewer partitions than this
+    (a small table that adaptive execution packed into few tasks) is spread
+    round-robin, so a fan-out downstream (the weight sweep) runs in parallel.
+    Large tables already have enough partitions and are left as they are.
     """
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "none":
+        out = df.checkpoint(eager=True)
+    elif how == "persist":
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    elif how == "none":
         return df
-    raise ValueError(f"unknown materialize mode: {how}")
+    else:
+        raise ValueError(f"unknown materialize mode: {how}")
+    if min_partitions and out.rdd.getNumPartitions() < min_partitions:
+        out = out.repartition(int(min_partitions))
+    return out
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def table_path(sf_dir: str, name: str) -> str:
