@@ -12,6 +12,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,10 +96,17 @@ def with_weights(df: DataFrame, weights_from: DataFrame | None = None, label: st
 
 
 def fit_forest(train: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH,
-               seed: int = SEED, weight_col: str | None = "weight") -> RandomForestClassificationModel:
-    """L4: class-weighted random forest."""
+               seed: int = SEED, weight_col: str | None = "weight",
+               max_memory_mb: int = 1024) -> RandomForestClassificationModel:
+    """L4: class-weighted random forest.
+
+    ``max_memory_mb`` is the per-pass histogram budget: a larger budget splits
+    more nodes per pass over the data, so deep forests need fewer passes.
+    Node ids are cached (and checkpointed in the shared folder) between passes.
+    """
     rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees,
-                                maxDepth=depth, seed=seed)
+                                maxDepth=depth, seed=seed, maxMemoryInMB=max_memory_mb,
+                                cacheNodeIds=True)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     return rf.fit(train)
@@ -140,20 +148,25 @@ def evaluator_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
             "accuracy": multi("accuracy"), "f1": multi("f1")}
 
 
+def _literal_rows(rows: list[dict]) -> DataFrame:
+    """A small table of literal rows, built JVM-side (no Python worker)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    structs = [F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def importances(model: RandomForestClassificationModel, features=FEATURES) -> DataFrame:
-    """(feature, importance) for every input column, largest first then by name."""
-    spark = _active_session()
+    """(feature, importance) for every input column, largest first then by name.
+
+    The model holds one number per input column (12 here), so the table is
+    small by construction.
+    """
     vals = model.featureImportances.toArray().tolist()
-    rows = [(f, float(v)) for f, v in zip(features, vals)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
+    df = _literal_rows([{"feature": f, "importance": float(v)} for f, v in zip(features, vals)])
     return df.orderBy(F.col("importance").desc(), F.col("feature"))
 
 
-def _active_session():
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
-
-
 def top_features(imp: DataFrame, n: int = 5) -> DataFrame:
     """The n most important features."""
     return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(int(n))
@@ -161,9 +174,19 @@ def top_features(imp: DataFrame, n: int = 5) -> DataFrame:
 
 def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, features=FEATURES,
                   places: int = 4) -> DataFrame:
-    """One-row metrics document (scores, confusion, top five, test size)."""
-    scores = evaluator_scores(pred)
-    conf = confusion(pred)
+    """One-row metrics document (scores, confusion, top five, test size).
+
+    The held-out predictions feed five passes (four evaluators, one confusion
+    aggregate), so they are persisted for the duration.
+    """
+    pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scores = evaluator_scores(pred)
+        # one row of counts, fetched while the predictions are persisted
+        counts = confusion(pred).first().asDict()
+        conf = _literal_rows([counts])
+    finally:
+        pred.unpersist()
     top = top_features(importances(model, features)).agg(
         F.sort_array(F.collect_list(F.struct(
             (-F.col("importance")).alias("k"), F.col("feature"),
@@ -177,7 +200,7 @@ def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, featu
         F.lit(round(scores["f1"], places)).alias("f1"),
         round_even("precision", places).alias("precision"),
         round_even("recall", places).alias("recall"),
-        F.struct("tp", "fp", "fn", "tn").alias("confusion"),
+        F.struct(*[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")]).alias("confusion"),
         top_arr.alias("top_features"),
         F.col("test_set_size").cast("long").alias("test_set_size"),
         round_even("churn_f1", places).alias("churn_f1"),

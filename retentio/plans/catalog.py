@@ -21,6 +21,7 @@ from retentio.functions.scalar import (
     clip, member_id, min_max_scale, money_text, percent, round_even, tenure_band,
 )
 from retentio.operators import learn, report
+from retentio.operators.brief import brief, importance_chart
 from retentio.operators.decide import best_channel, decide, with_scenarios
 from retentio.operators.population import loyalty_weight_expr, population_scalars, priority_expr
 from retentio.operators.rank import top_k_per_group
@@ -532,6 +533,14 @@ def w6_top_features(spark, sf):
     return learn.top_features(l11_importances(spark, sf))
 
 
+def w7_importance_chart(spark, sf):
+    return importance_chart(_metrics(spark, sf))
+
+
+def d17_brief(spark, sf):
+    return brief(_metrics(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "S8_preview": s8_preview,
     "P1_drop_columns": p1_drop_columns,
@@ -578,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "W4_target_flag": w4_target_flag,
     "W5_full_sort": w5_full_sort,
     "W6_top_features": w6_top_features,
+    "W7_importance_chart": w7_importance_chart,
     "W8_best_channel": w8_best_channel,
     "U1_union_scenarios": u1_union_scenarios,
     "F1_clip": f1_clip,
@@ -608,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "D14_target_profile": a12_target_kpis,
     "D15_score_scenarios": d15_score_scenarios,
     "D16_expected_loss_priority": d16_expected_loss_priority,
+    "D17_brief": d17_brief,
     "L1_index_tier": l1_index_tier,
     "L2_assemble": l2_assemble,
     "L3_split": l3_split,
