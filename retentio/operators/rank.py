@@ -29,6 +29,9 @@ def global_rank(df: DataFrame, order_by: list[Column], group_cols=(), rank_col:
     rank to be repeatable.
     """
     group_cols = list(group_cols)
+    if how == "none":
+        # counts and positions must come from the same materialised rows
+        how = "persist"
     keys = [F.col(c) for c in group_cols] + list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *keys)
@@ -53,8 +56,21 @@ def top_k(df: DataFrame, order_by: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order_by).limit(int(k))
 
 
+def ensure_group_limit(spark, capacity: int) -> None:
+    """Keep the partial top-K (WindowGroupLimit) planned for this capacity.
+
+    Catalyst only inserts it while K <= windowGroupLimitThreshold (1000 by
+    default); above that each (scenario, weight) group would be sorted whole
+    in one task, so the threshold is raised to the requested capacity.
+    """
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(key, "1000")) < capacity:
+        spark.conf.set(key, str(int(capacity)))
+
+
 def top_k_per_group(df: DataFrame, group_cols, order_by: list[Column], k: int,
                     rank_col: str = "rn") -> DataFrame:
     """First k rows per group (partial WindowGroupLimit before the shuffle)."""
+    ensure_group_limit(df.sparkSession, k)
     win = Window.partitionBy(*group_cols).orderBy(*order_by)
     return df.withColumn(rank_col, F.row_number().over(win)).filter(F.col(rank_col) <= F.lit(int(k)))

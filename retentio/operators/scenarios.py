@@ -18,7 +18,7 @@ from retentio.operators.decide import Costs, decide_scenarios
 from retentio.operators.population import priority_expr, with_population
 from retentio.operators.rank import global_rank
 from retentio.operators.sweep import optimal_weight, tradeoff_curve
-from retentio.session import default_parallelism, materialize
+from retentio.session import fanout_partitions, materialize
 
 
 def scenario_decisions(members: DataFrame, scenarios=SCENARIOS, costs: Costs = Costs(),
@@ -37,7 +37,7 @@ def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEF
     aggregate, the sweep and the rank); the decisions on top of it are
     row-local projections, recomputed by each reader instead of stored.
     """
-    members = materialize(members, how, default_parallelism(members.sparkSession))
+    members = materialize(members, how, fanout_partitions(members.sparkSession))
     dec = scenario_decisions(members, scenarios, costs, loyalty)
     best = optimal_weight(tradeoff_curve(dec, capacity, step))
     # one row per scenario of the parameter list: bounded broadcast

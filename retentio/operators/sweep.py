@@ -25,6 +25,7 @@ from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, SEED, WEIGHT_STE
 from retentio.functions.scalar import round_even
 from retentio.operators.decide import RISK, at_risk_flag
 from retentio.operators.population import priority_expr
+from retentio.operators.rank import ensure_group_limit
 
 GROUP = ("Scenario",)
 SWEEP_COLUMNS = ("member_key", RISK, "Normalized_Value", "Loyalty_Weight", "Is_Sleeping_Dog", "Net_ROI")
@@ -44,6 +45,7 @@ def _scored(df: DataFrame, group_cols, step: int) -> DataFrame:
 
 
 def _top_k(x: DataFrame, capacity: int, group_cols) -> DataFrame:
+    ensure_group_limit(x.sparkSession, capacity)
     win = Window.partitionBy(*group_cols, "w").orderBy(F.col("p").desc_nulls_last(), F.col("member_key"))
     return x.withColumn("rn", F.row_number().over(win)).filter(F.col("rn") <= F.lit(int(capacity)))
 

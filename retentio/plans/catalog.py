@@ -29,7 +29,7 @@ from retentio.operators.scenarios import scenario_decisions, scenario_summary, s
 from retentio.operators.sweep import (
     SWEEP_COLUMNS, _scored, optimal_weight, tradeoff_curve, with_objective,
 )
-from retentio.session import default_parallelism, materialize
+from retentio.session import fanout_partitions, materialize
 from retentio.sources.members import drop_unused, member_table
 
 BASE = (SCENARIOS[1],)
@@ -46,7 +46,7 @@ def members(spark, sf):
 
 
 def _members_for(spark, sf, how: str):
-    return materialize(members(spark, sf), how, default_parallelism(spark) if how != "none" else None)
+    return materialize(members(spark, sf), how, fanout_partitions(spark) if how != "none" else None)
 
 
 def base_decisions(spark, sf, how: str = "none"):

@@ -81,5 +81,15 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.sparkContext.defaultParallelism)
 
 
+# A materialised table with fewer partitions than this is spread before a
+# fan-out.  Capped, so on a large cluster a big table that already has a few
+# hundred partitions is never reshuffled just to match the core count.
+FANOUT_MIN_PARTITIONS_CAP = 200
+
+
+def fanout_partitions(spark: SparkSession) -> int:
+    return min(default_parallelism(spark), FANOUT_MIN_PARTITIONS_CAP)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

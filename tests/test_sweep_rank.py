@@ -119,3 +119,13 @@ def test_one_tenure_for_all_gives_null_weight(spark):
     out = with_population(df, loyalty=0.5).collect()
     assert all(r.Loyalty_Weight is None for r in out)
     assert sorted(r.Normalized_Value for r in out) == [0.25, 0.5, 1.0]
+
+
+def test_partial_group_limit_planned_above_default_threshold(spark, capsys):
+    from retentio.operators.rank import top_k_per_group
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"))
+    top = top_k_per_group(df, ["g"], [F.col("k").desc()], 1500)
+    top.explain()
+    plan = capsys.readouterr().out
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert top.count() == 3 * 1500
