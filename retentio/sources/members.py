@@ -147,21 +147,25 @@ def _order_activity(lineitem: DataFrame) -> DataFrame:
     future = (d >= _ts(CUTOFF)) & (d < _ts(LABEL_END))
     months_back = ((F.lit(CUTOFF_YEAR) - F.year(d)) * F.lit(12)
                    + F.lit(CUTOFF_MONTH) - F.month(d))
-    return (
-        lineitem.select("l_orderkey", "l_shipdate", "l_returnflag", "l_extendedprice")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count_if(in12).alias("ct"),
-            F.sum(F.when(in12, amt).otherwise(zero)).alias("amt"),
-            F.count_if(in12 & (F.col("l_returnflag") == F.lit(RETURNED_FLAG))).alias("contacts"),
-            F.count_if(inq4).alias("q4"),
-            F.count_if(inq1).alias("q1"),
-            F.sum(F.when(inq4, amt).otherwise(zero)).alias("a4"),
-            F.sum(F.when(inq1, amt).otherwise(zero)).alias("a1"),
-            F.min(F.when(before, months_back)).alias("back_min"),
-            F.max(F.when(before, months_back)).alias("back_max"),
-            F.count_if(future).alias("fut"),
-        )
+    # conditions and derived values once per line, then plain aggregates
+    lines = lineitem.select(
+        "l_orderkey",
+        in12.alias("in12"), inq4.alias("inq4"), inq1.alias("inq1"), future.alias("fut"),
+        (in12 & (F.col("l_returnflag") == F.lit(RETURNED_FLAG))).alias("ret12"),
+        amt.alias("cents"),
+        F.when(before, months_back).alias("back"),
+    )
+    return lines.groupBy("l_orderkey").agg(
+        F.count_if("in12").alias("ct"),
+        F.sum(F.when(F.col("in12"), F.col("cents")).otherwise(zero)).alias("amt"),
+        F.count_if("ret12").alias("contacts"),
+        F.count_if("inq4").alias("q4"),
+        F.count_if("inq1").alias("q1"),
+        F.sum(F.when(F.col("inq4"), F.col("cents")).otherwise(zero)).alias("a4"),
+        F.sum(F.when(F.col("inq1"), F.col("cents")).otherwise(zero)).alias("a1"),
+        F.min("back").alias("back_min"),
+        F.max("back").alias("back_max"),
+        F.count_if("fut").alias("fut"),
     )
 
 
@@ -188,9 +192,12 @@ def _customer_activity(order_activity: DataFrame, orders: DataFrame) -> DataFram
         cents_sum("a1"),
         F.min("back_min").alias("inactive_raw"),
         F.max(F.when(pri == F.lit(URGENT_PRIORITY), F.col("back_max"))).alias("mob_raw"),
-        # distinct priorities among orders with a line before the cutoff; the
-        # set is bounded by the number of priority values, whatever the skew
-        F.size(F.collect_set(F.when(F.col("back_min").isNotNull(), pri))).alias("rel"),
+        # distinct priorities among orders with a line before the cutoff.
+        # Planned as two codegen hash aggregates, both combining map-side
+        # (by customer and priority, then by customer), so a hot customer is
+        # folded before each shuffle; collect_set would run in an object
+        # aggregate that falls back to sorting once a task holds >128 keys.
+        F.countDistinct(F.when(F.col("back_min").isNotNull(), pri)).alias("rel"),
         F.sum("fut").alias("fut"),
     )
 
