@@ -33,9 +33,11 @@ def global_rank(df: DataFrame, order_by: list[Column], group_cols=(), rank_col:
         # counts and positions must come from the same materialised rows
         how = "persist"
     keys = [F.col(c) for c in group_cols] + list(order_by)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
+    # without an explicit count, adaptive execution sizes the range partitions
+    # (coalescing keeps them contiguous, so the order across partitions holds)
+    parted = (df.repartitionByRange(int(num_partitions), *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    tagged = (parted.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_ix", F.monotonically_increasing_id()))
     tagged = materialize(tagged, how)
