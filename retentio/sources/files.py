@@ -25,18 +25,31 @@ SCORED_SCHEMA = T.StructType(
        T.StructField("prediction", T.DoubleType()),
        T.StructField("Churn_Risk_Score", T.DoubleType()),
        T.StructField("Expected_Loss", T.DoubleType()),
-       T.StructField("Priority_Score", T.DoubleType())])
+       T.StructField("Priority_Score", T.DoubleType()),
+       T.StructField("is_train", T.BooleanType())])
+SCORED_COLUMNS = tuple(f.name for f in SCORED_SCHEMA.fields)
 
 
-def read_scored(spark: SparkSession, path: str, schema: T.StructType = SCORED_SCHEMA) -> DataFrame:
-    """Scored members (CSV with header and declared schema, or Parquet)."""
-    fmt = "parquet" if not path.endswith(".csv") and not path.rstrip("/").endswith("_csv") else "csv"
-    return read_table(spark, path, fmt=fmt, schema=schema if fmt == "csv" else None)
+def read_scored(spark: SparkSession, path: str, fmt: str | None = None,
+                schema: T.StructType = SCORED_SCHEMA) -> DataFrame:
+    """Scored members: CSV (header, declared schema) or Parquet.
+
+    ``fmt`` defaults to CSV for a ``.csv`` path and Parquet otherwise.
+    """
+    fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
+    if fmt != "csv":
+        return read_table(spark, path, fmt=fmt)
+    # CSV columns bind by position: check the header names against the schema
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .csv(path))
 
 
 def write_scored(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Scored members sorted by priority (desc, then key) as CSV part files."""
-    (scored.orderBy(F.col("Priority_Score").desc_nulls_last(), F.col("member_key"))
+    """Scored members, the export columns in fixed order, sorted by priority
+    (desc, then key), as CSV part files (range-partitioned: part files follow
+    the sort order)."""
+    (scored.select(*SCORED_COLUMNS)
+     .orderBy(F.col("Priority_Score").desc_nulls_last(), F.col("member_key"))
      .write.mode(mode).option("header", True).csv(path))
 
 

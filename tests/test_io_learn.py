@@ -12,7 +12,7 @@ from retentio.constants import FEATURES
 from retentio.operators import learn
 from retentio.operators.brief import brief, importance_chart
 from retentio.operators.report import expected_loss_priority
-from retentio.sources.files import read_metrics, read_scored, write_metrics, write_scenarios, write_scored
+from retentio.sources.files import SCORED_COLUMNS, read_metrics, read_scored, write_metrics, write_scenarios, write_scored
 from retentio.sources.members import (
     MissingInputError, RAW_MEMBER_SCHEMA, drop_unused, read_member_csv, read_table, with_churn_flag,
 )
@@ -94,8 +94,12 @@ def test_model_path_bounds_and_writers(spark, members_small, scratch):
     assert bounds[3] == members_small.count()
     # S5 / S7 / S4 / S2 round trips
     write_scored(scored, os.path.join(scratch, "scored_csv"))
-    back = read_scored(spark, os.path.join(scratch, "scored_csv"))
+    back = read_scored(spark, os.path.join(scratch, "scored_csv"), fmt="csv")
     assert back.count() == members_small.count()
+    assert back.columns == list(SCORED_COLUMNS)
+    top = back.orderBy(F.col("Priority_Score").desc()).first()
+    assert top.Priority_Score == 100.0
+    assert back.filter(F.col("Churn_Risk_Score") > 1.0).count() == 0
     write_metrics(metrics, os.path.join(scratch, "metrics"))
     assert read_metrics(spark, os.path.join(scratch, "metrics")).first().test_set_size == r.test_set_size
     assert learn.headline(metrics).first().top_feature in FEATURES
