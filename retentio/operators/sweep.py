@@ -69,12 +69,17 @@ def prune_bounds(df: DataFrame, capacity: int, fraction: float, group_cols=GROUP
             .select(*group_cols, "bounds"))
 
 
-def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP) -> DataFrame:
-    """Keep rows that reach the bound at some weight (all rows of unbounded groups)."""
+def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT_STEP) -> DataFrame:
+    """Keep rows that reach the bound at some weight (all rows of unbounded groups).
+
+    The test evaluates the same priority expression as the ranking, so a row
+    tied with the bound is kept.  (An OR of 51 inlined comparisons was tried:
+    it outgrows the generated-method size limit and runs slower.)
+    """
     # one row per group of the driver-side scenario list: bounded broadcast
     j = df.join(F.broadcast(bounds), list(group_cols), "left")
     reach = F.exists(F.col("bounds"), lambda b: priority_expr(b["w"]) >= b["bound"])
-    return j.filter(F.col("bounds").isNull() | reach).drop("bounds")
+    return j.filter(F.col("bounds").isNull() | F.coalesce(reach, F.lit(False))).drop("bounds")
 
 
 def _sample_fraction(n_rows: float, n_groups: int, capacity: int) -> float:
@@ -97,7 +102,7 @@ def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int =
             n_groups = base.select(*group_cols).distinct().count() if group_cols else 1
             frac = _sample_fraction(n, n_groups, capacity)
             if frac < 1.0 or prune_mode is True:
-                base = prune(base, prune_bounds(base, capacity, frac, group_cols, step), group_cols)
+                base = prune(base, prune_bounds(base, capacity, frac, group_cols, step), group_cols, step)
     top = _top_k(_scored(base, group_cols, step), capacity, group_cols)
     return (top.groupBy(*group_cols, F.col("w").cast("int").alias("Risk_Weight_Pct"))
             .agg(F.sum(F.col("Net_ROI").cast("decimal(38,8)")).alias("_roi"),
