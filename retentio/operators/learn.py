@@ -88,11 +88,13 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 def with_weights(df: DataFrame, weights_from: DataFrame | None = None, label: str = LABEL) -> DataFrame:
     """Class weight on every row, from ``weights_from`` (default: ``df`` itself).
 
-    The two weights are scalar subqueries over one aggregate.
+    The two weights come from one aggregate, read as one scalar subquery.
     """
     w = class_weights(weights_from if weights_from is not None else df, label)
-    return df.withColumn("weight", F.when(F.col(label) == 1, w.select("w_pos").scalar())
-                         .otherwise(w.select("w_neg").scalar()))
+    # one scalar subquery (one pass) carrying both weights, referenced once
+    both = w.select(F.array("w_neg", "w_pos")).scalar()
+    idx = F.when(F.col(label) == 1, F.lit(1)).otherwise(F.lit(0))
+    return df.withColumn("weight", both.getItem(idx))
 
 
 def fit_forest(train: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH,

@@ -185,3 +185,8 @@ def action_counts_wide(tl: DataFrame) -> DataFrame:
     names = ("n_email", "n_rep_call", "n_senior_call", "n_sleeping_dog")
     return tl.agg(*[F.count_if(F.col("Recommended_Action") == F.lit(a)).cast("long").alias(n)
                     for a, n in zip(ACTIONS, names)])
+
+
+def target_profile(tl: DataFrame) -> dict[str, DataFrame]:
+    """Who is on the list - KPIs (one row), by card tier, by tenure band."""
+    return {"kpis": target_kpis(tl), "by_tier": tier_mix(tl), "by_tenure": tenure_mix(tl)}

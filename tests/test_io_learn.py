@@ -137,3 +137,18 @@ def test_streaming_decisions_equal_batch(spark, members_small, scratch):
     want = decision_stream(members_small)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_target_profile_keeps_empty_bands(spark, members_small):
+    from retentio.constants import SCENARIOS
+    from retentio.operators.report import target_list, target_profile
+    from retentio.operators.scenarios import scenario_decisions
+    dec = scenario_decisions(members_small, (SCENARIOS[1],))
+    tl = target_list(dec, 100, 3)  # three members: most bands are empty
+    prof = target_profile(tl)
+    bands = prof["by_tenure"].collect()
+    assert [b.Tenure_Band for b in bands] == ["New (<2y)", "2-3y", "3-4y", "Loyal (4y+)"]
+    assert sum(b.Count for b in bands) <= 3 and any(b.Count == 0 for b in bands)
+    k = prof["kpis"].first()
+    assert k.Target_List_Size == 3 and 0 <= k.High_Touch_Calls <= 3
+    assert sum(r.Count for r in prof["by_tier"].collect()) == 3
