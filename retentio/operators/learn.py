@@ -94,7 +94,7 @@ def with_weights(df: DataFrame, weights_from: DataFrame | None = None, label: st
     # one scalar subquery (one pass) carrying both weights, referenced once
     both = w.select(F.array("w_neg", "w_pos")).scalar()
     idx = F.when(F.col(label) == 1, F.lit(1)).otherwise(F.lit(0))
-    return df.withColumn("weight", both.getItem(idx))
+    return df.withColumn("weight", both[idx])
 
 
 def fit_forest(train: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH,
