@@ -49,6 +49,26 @@ RAW_MEMBER_SCHEMA = T.StructType([
 ])
 
 
+# Declared input schemas (only the columns the member table reads): no footer
+# inference job per scan, and the scan reads these columns only.
+LINEITEM_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()),
+    T.StructField("l_extendedprice", T.DoubleType()),
+    T.StructField("l_returnflag", T.StringType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
+])
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderpriority", T.StringType()),
+])
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()),
+    T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType()),
+])
+
+
 class MissingInputError(FileNotFoundError):
     """Raised when an input path does not exist (clear message with the path)."""
 
@@ -209,9 +229,9 @@ def _money(cents: Column) -> Column:
 
 def member_table(spark: SparkSession, sf_dir: str, with_risk: bool = True) -> DataFrame:
     """Stand-in member table (one row per customer with activity)."""
-    lineitem = read_table(spark, table_path(sf_dir, "lineitem"))
-    orders = read_table(spark, table_path(sf_dir, "orders"))
-    customer = read_table(spark, table_path(sf_dir, "customer"))
+    lineitem = read_table(spark, table_path(sf_dir, "lineitem"), schema=LINEITEM_SCHEMA)
+    orders = read_table(spark, table_path(sf_dir, "orders"), schema=ORDERS_SCHEMA)
+    customer = read_table(spark, table_path(sf_dir, "customer"), schema=CUSTOMER_SCHEMA)
     f = _customer_activity(_order_activity(lineitem), orders)
     c = customer.select("c_custkey", "c_acctbal", "c_mktsegment")
     j = c.join(f, c["c_custkey"] == f["k"])
