@@ -39,7 +39,8 @@ def _weights(step: int):
     return F.sequence(F.lit(0), F.lit(100), F.lit(int(step)))
 
 
-def _scored(df: DataFrame, group_cols, step: int) -> DataFrame:
+def weight_priorities(df: DataFrame, group_cols, step: int) -> DataFrame:
+    """One row per member and weight w in 0, step, ..., 100, with its priority ``p``."""
     x = df.select(*group_cols, *SWEEP_COLUMNS, F.explode(_weights(step)).alias("w"))
     return x.withColumn("p", priority_expr(F.col("w")))
 
@@ -59,7 +60,7 @@ def prune_bounds(df: DataFrame, capacity: int, fraction: float, group_cols=GROUP
     """
     n_weights = len(range(0, 101, step))
     smp = df.select(*group_cols, *SWEEP_COLUMNS).sample(fraction=fraction, seed=seed)
-    scored = _scored(smp, group_cols, step).filter(F.col("p").isNotNull())
+    scored = weight_priorities(smp, group_cols, step).filter(F.col("p").isNotNull())
     top = _top_k(scored, capacity, group_cols)
     per_w = top.groupBy(*group_cols, "w").agg(F.min("p").alias("bound"), F.count("*").alias("n"))
     return (per_w.groupBy(*group_cols)
@@ -103,7 +104,7 @@ def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int =
             frac = _sample_fraction(n, n_groups, capacity)
             if frac < 1.0 or prune_mode is True:
                 base = prune(base, prune_bounds(base, capacity, frac, group_cols, step), group_cols, step)
-    top = _top_k(_scored(base, group_cols, step), capacity, group_cols)
+    top = _top_k(weight_priorities(base, group_cols, step), capacity, group_cols)
     return (top.groupBy(*group_cols, F.col("w").cast("int").alias("Risk_Weight_Pct"))
             .agg(F.sum(F.col("Net_ROI").cast("decimal(38,8)")).alias("_roi"),
                  F.count_if(at_risk_flag()).cast("long").alias("At_Risk_Reached"))

@@ -27,7 +27,7 @@ from retentio.operators.population import loyalty_weight_expr, population_scalar
 from retentio.operators.rank import top_k_per_group
 from retentio.operators.scenarios import scenario_decisions, scenario_summary, score_scenarios
 from retentio.operators.sweep import (
-    SWEEP_COLUMNS, _scored, optimal_weight, tradeoff_curve, with_objective,
+    SWEEP_COLUMNS, weight_priorities, optimal_weight, tradeoff_curve, with_objective,
 )
 from retentio.session import fanout_partitions, materialize
 from retentio.sources.members import drop_unused, member_table
@@ -178,7 +178,7 @@ def j1_member_scenarios(spark, sf):
 
 def j2_member_weights(spark, sf):
     d = base_decisions(spark, sf)
-    return _scored(d, ["Scenario"], 2).select("member_key", F.col("w").alias("Risk_Weight_Pct"),
+    return weight_priorities(d, ["Scenario"], 2).select("member_key", F.col("w").alias("Risk_Weight_Pct"),
                                               F.col("p").alias("Priority_Score"))
 
 
@@ -281,7 +281,7 @@ def w1_global_rank(spark, sf):
 
 def w2_top_k_per_weight(spark, sf):
     d = all_decisions(spark, sf, "checkpoint")
-    x = _scored(d, ["Scenario"], 2)
+    x = weight_priorities(d, ["Scenario"], 2)
     top = top_k_per_group(x, ["Scenario", "w"], [F.col("p").desc_nulls_last(), F.col("member_key")], K)
     return top.select("Scenario", F.col("w").alias("Risk_Weight_Pct"), "member_key",
                       F.col("rn").cast("int").alias("Position"))
