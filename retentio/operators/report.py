@@ -190,3 +190,37 @@ def action_counts_wide(tl: DataFrame) -> DataFrame:
 def target_profile(tl: DataFrame) -> dict[str, DataFrame]:
     """Who is on the list - KPIs (one row), by card tier, by tenure band."""
     return {"kpis": target_kpis(tl), "by_tier": tier_mix(tl), "by_tenure": tenure_mix(tl)}
+
+
+def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: float = 0.0,
+            capacity: int = DEFAULT_CAPACITY, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
+            how: str = "checkpoint") -> dict[str, DataFrame]:
+    """Every dashboard table for one parameter set (costs, margin, loyalty, capacity, manual weight).
+
+    The member table is materialised once; every table below is a lazy plan
+    over it (decisions are row-local and recomputed by each reader).
+    """
+    from retentio.operators.decide import Costs
+    from retentio.operators.scenarios import scenario_decisions
+    from retentio.operators.sweep import optimal_weight, tradeoff_curve
+    from retentio.session import fanout_partitions, materialize
+
+    costs = costs or Costs()
+    base = materialize(members, how, fanout_partitions(members.sparkSession))
+    dec = scenario_decisions(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs, loyalty)
+    curve = tradeoff_curve(dec, capacity)
+    best = optimal_weight(curve)
+    opt = target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity)
+    man = target_list(dec, int(manual_weight), capacity)
+    return {
+        "decisions": dec,
+        "curve": curve,
+        "optimum": best,
+        "optimal_list": target_view(opt),
+        "manual_list": target_view(man),
+        "comparison": compare_strategies(dec, best, manual_weight, capacity),
+        "fairness": fairness_check(dec, best, manual_weight, capacity),
+        "optimal_mix": action_mix(opt),
+        "manual_mix": action_mix(man),
+        **{f"profile_{k}": v for k, v in target_profile(opt).items()},
+    }

@@ -81,3 +81,16 @@ def scenario_summary(table: DataFrame) -> DataFrame:
         *counts,
     ).withColumnsRenamed({f"n_{i}": n for i, n in enumerate(
         ("n_email", "n_rep_call", "n_senior_call", "n_sleeping_dog"))})
+
+
+def export_scenarios(members: DataFrame, path: str, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY,
+                     costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY, fmt: str = "csv") -> DataFrame:
+    """Score every scenario, write the tidy table (one folder per scenario) and
+    return the per-scenario summary, read back from what was written."""
+    from retentio.sources.files import write_scenarios
+    table = score_scenarios(members, scenarios, capacity, costs, loyalty)
+    write_scenarios(table, path, fmt=fmt)
+    spark = members.sparkSession
+    reader = spark.read.option("header", True).schema(table.schema) if fmt == "csv" else spark.read
+    written = reader.format(fmt).load(path)
+    return scenario_summary(written)

@@ -152,3 +152,25 @@ def test_target_profile_keeps_empty_bands(spark, members_small):
     k = prof["kpis"].first()
     assert k.Target_List_Size == 3 and 0 <= k.High_Touch_Calls <= 3
     assert sum(r.Count for r in prof["by_tier"].collect()) == 3
+
+
+def test_what_if_tables(spark, members_small):
+    from retentio.operators.report import what_if
+    t = what_if(members_small, margin=0.03, capacity=15, manual_weight=40)
+    assert t["curve"].count() == 51
+    assert t["optimal_list"].count() == 15 and t["manual_list"].count() == 15
+    c = t["comparison"].first()
+    assert c.Manual_Risk_Weight_Pct == 40
+    assert c.Delta_vs_Optimum == pytest.approx(c.Manual_Net_ROI - c.Optimal_Net_ROI, abs=1e-3)
+    assert t["fairness"].count() == 2
+    assert sum(r.Count for r in t["optimal_mix"].collect()) == 15
+
+
+def test_export_scenarios_summary(spark, members_small, scratch):
+    from retentio.constants import SCENARIOS
+    from retentio.operators.scenarios import export_scenarios, score_scenarios, scenario_summary
+    path = os.path.join(scratch, "export")
+    got = sorted(export_scenarios(members_small, path, capacity=20).collect())
+    want = sorted(scenario_summary(score_scenarios(members_small, SCENARIOS, 20)).collect())
+    assert [(r.Scenario, r.Optimal_Risk_Weight_Pct, r.Target_List_Size) for r in got] == \
+        [(r.Scenario, r.Optimal_Risk_Weight_Pct, r.Target_List_Size) for r in want]
