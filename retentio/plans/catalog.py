@@ -27,7 +27,7 @@ from retentio.operators.population import loyalty_weight_expr, population_scalar
 from retentio.operators.rank import top_k_per_group
 from retentio.operators.scenarios import scenario_decisions, scenario_summary, score_scenarios
 from retentio.operators.sweep import (
-    SWEEP_COLUMNS, weight_priorities, optimal_weight, tradeoff_curve, with_objective,
+    optimal_weight, tradeoff_curve, weight_priorities, with_objective,
 )
 from retentio.session import fanout_partitions, materialize
 from retentio.sources.members import drop_unused, member_table
