@@ -159,19 +159,21 @@ def _literal_rows(rows: list[dict]) -> DataFrame:
 
 
 def importances(model: RandomForestClassificationModel, features=FEATURES) -> DataFrame:
-    """(feature, importance) for every input column, largest first then by name.
+    """(feature, importance) for every input column, largest first; equal
+    importances keep the input column order.
 
     The model holds one number per input column (12 here), so the table is
     small by construction.
     """
     vals = model.featureImportances.toArray().tolist()
-    df = _literal_rows([{"feature": f, "importance": float(v)} for f, v in zip(features, vals)])
-    return df.orderBy(F.col("importance").desc(), F.col("feature"))
+    df = _literal_rows([{"position": i, "feature": f, "importance": float(v)}
+                        for i, (f, v) in enumerate(zip(features, vals))])
+    return df.orderBy(F.col("importance").desc(), F.col("position")).drop("position")
 
 
 def top_features(imp: DataFrame, n: int = 5) -> DataFrame:
-    """The n most important features."""
-    return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(int(n))
+    """The n most important features (``imp`` is already in importance order)."""
+    return imp.limit(int(n))
 
 
 def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, features=FEATURES,
@@ -189,10 +191,12 @@ def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, featu
         conf = _literal_rows([counts])
     finally:
         pred.unpersist()
-    top = top_features(importances(model, features)).agg(
+    vals = model.featureImportances.toArray().tolist()
+    order = sorted(range(len(vals)), key=lambda i: -vals[i])[:5]   # stable: ties keep input order
+    top = _literal_rows([{"k": r, "feature": features[i], "importance": float(vals[i])}
+                         for r, i in enumerate(order)]).agg(
         F.sort_array(F.collect_list(F.struct(
-            (-F.col("importance")).alias("k"), F.col("feature"),
-            round_even("importance", places).alias("importance")))).alias("tf"))
+            F.col("k"), F.col("feature"), round_even("importance", places).alias("importance")))).alias("tf"))
     top_arr = top.select(F.transform(
         "tf", lambda s: F.struct(s["feature"].alias("feature"), s["importance"].alias("importance")))).scalar()
     return conf.select(
