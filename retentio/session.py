@@ -60,7 +60,8 @@ def materialize(df: DataFrame, how: str = "checkpoint", min_partitions: int | No
 
     ``min_partitions``: a materialised table with fewer partitions than this
     (a small table that adaptive execution packed into few tasks) is spread
-    round-robin, so a fan-out downstream (the weight sweep) runs in parallel.
+    round-robin and materialised again, so a fan-out downstream (the weight
+    sweep) runs in parallel without each reader repeating the shuffle.
     Large tables already have enough partitions and are left as they are.
     """
     if how == "checkpoint":
@@ -73,7 +74,13 @@ def materialize(df: DataFrame, how: str = "checkpoint", min_partitions: int | No
     else:
         raise ValueError(f"unknown materialize mode: {how}")
     if min_partitions and out.rdd.getNumPartitions() < min_partitions:
+        # few partitions means a small table: spread it once and keep the
+        # spread copy, so no reader repeats the shuffle
         out = out.repartition(int(min_partitions))
+        if how == "checkpoint":
+            out = out.checkpoint(eager=True)
+        else:
+            out = out.persist(StorageLevel.MEMORY_AND_DISK)
     return out
 
 
