@@ -33,6 +33,9 @@ SWEEP_COLUMNS = ("member_key", RISK, "Normalized_Value", "Loyalty_Weight", "Is_S
 # rows, and aim the sample at about sqrt(K * n) rows per group.
 PRUNE_MIN_ROWS = 20_000_000
 PRUNE_SAMPLE_FACTOR = 4.0
+# Priorities lie in [-1, 1.5]; float rounding moves them by ~1e-16, so a
+# margin of 1e-9 keeps the cheap end-point test on the safe side.
+PRUNE_ROUNDING_MARGIN = 1e-9
 
 
 def _weights(step: int):
@@ -65,9 +68,10 @@ def prune_bounds(df: DataFrame, capacity: int, fraction: float, group_cols=GROUP
     per_w = top.groupBy(*group_cols, "w").agg(F.min("p").alias("bound"), F.count("*").alias("n"))
     return (per_w.groupBy(*group_cols)
             .agg(F.sort_array(F.collect_list(F.struct("w", "bound"))).alias("bounds"),
+                 F.min("bound").alias("min_bound"),
                  F.min("n").alias("n_min"), F.count("*").alias("n_w"))
             .filter((F.col("n_min") >= F.lit(int(capacity))) & (F.col("n_w") == F.lit(n_weights)))
-            .select(*group_cols, "bounds"))
+            .select(*group_cols, "bounds", "min_bound"))
 
 
 def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT_STEP) -> DataFrame:
@@ -79,8 +83,15 @@ def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT
     """
     # one row per group of the driver-side scenario list: bounded broadcast
     j = df.join(F.broadcast(bounds), list(group_cols), "left")
+    # Cheap necessary test first (compiled): priority is linear in the weight,
+    # so its largest value over the weights is at an end (0 or 100); a row
+    # whose ends stay below the smallest bound, by more than any rounding
+    # difference, cannot reach a bound.  Survivors get the exact test.
+    ends = F.greatest(priority_expr(0), priority_expr(100))
+    may_reach = ends + F.lit(PRUNE_ROUNDING_MARGIN) >= F.col("min_bound")
     reach = F.exists(F.col("bounds"), lambda b: priority_expr(b["w"]) >= b["bound"])
-    return j.filter(F.col("bounds").isNull() | F.coalesce(reach, F.lit(False))).drop("bounds")
+    keep = F.col("bounds").isNull() | (F.coalesce(may_reach, F.lit(False)) & F.coalesce(reach, F.lit(False)))
+    return j.filter(keep).drop("bounds", "min_bound")
 
 
 def _sample_fraction(n_rows: float, n_groups: int, capacity: int) -> float:
