@@ -137,7 +137,7 @@ def confusion(pred: DataFrame, label: str = LABEL, prediction: str = "prediction
 
 
 def evaluator_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """ROC-AUC, PR-AUC, accuracy, class-weighted F1 (distributed evaluators)."""
+    """L7-L10 with the MLlib evaluators: ROC-AUC, PR-AUC, accuracy, class-weighted F1."""
     def binary(metric):
         return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                              metricName=metric).evaluate(pred)
@@ -150,6 +150,34 @@ def evaluator_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
             "accuracy": multi("accuracy"), "f1": multi("f1")}
 
 
+def curve_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """Areas under the ROC and precision-recall curves (MLlib evaluator)."""
+    def binary(metric):
+        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
+                                             metricName=metric).evaluate(pred)
+
+    return {"roc_auc": binary("areaUnderROC"), "pr_auc": binary("areaUnderPR")}
+
+
+def count_scores(tp: int, fp: int, fn: int, tn: int) -> dict[str, float]:
+    """L9, L10 from the confusion counts: accuracy and the class-weighted F1.
+
+    Same definitions as the multiclass evaluator's ``accuracy`` and ``f1``
+    (per-class F1 = 2*TP_c / (2*TP_c + FP_c + FN_c), weighted by class
+    support), so the one confusion aggregate replaces two more passes.
+    """
+    n = tp + fp + fn + tn
+    if n == 0:
+        return {"accuracy": 0.0, "f1": 0.0}
+
+    def f1(t, false_pos, false_neg):
+        d = 2 * t + false_pos + false_neg
+        return 2 * t / d if d else 0.0
+
+    weighted = ((tp + fn) * f1(tp, fp, fn) + (tn + fp) * f1(tn, fn, fp)) / n
+    return {"accuracy": (tp + tn) / n, "f1": weighted}
+
+
 def _literal_rows(rows: list[dict]) -> DataFrame:
     """A small table of literal rows, built JVM-side (no Python worker)."""
     from pyspark.sql import SparkSession
@@ -180,17 +208,19 @@ def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, featu
                   places: int = 4) -> DataFrame:
     """One-row metrics document (scores, confusion, top five, test size).
 
-    The held-out predictions feed five passes (four evaluators, one confusion
-    aggregate), so they are persisted for the duration.
+    The held-out predictions feed three passes (two curve evaluators, one
+    confusion aggregate, from which accuracy and F1 follow), so they are
+    persisted for the duration.
     """
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scores = evaluator_scores(pred)
+        scores = curve_scores(pred)
         # one row of counts, fetched while the predictions are persisted
         counts = confusion(pred).first().asDict()
         conf = _literal_rows([counts])
     finally:
         pred.unpersist()
+    scores.update(count_scores(counts["tp"], counts["fp"], counts["fn"], counts["tn"]))
     vals = model.featureImportances.toArray().tolist()
     order = sorted(range(len(vals)), key=lambda i: -vals[i])[:5]   # stable: ties keep input order
     top = _literal_rows([{"k": r, "feature": features[i], "importance": float(vals[i])}
