@@ -265,7 +265,7 @@ def train_and_evaluate(members: DataFrame, trees: int = RF_TREES, depth: int = R
     Class weights come from the training split; ``weights_from_full`` uses the
     whole table before the split instead.
     """
-    data = assemble(index_tier(members))
+    data = assemble(members)   # the tier index (L1) is not a model input
     train, test = split(data, test_fraction, seed, split_method)
     src = data if weights_from_full else train
     train = with_weights(train, src)
