@@ -54,15 +54,20 @@ def _top_k(x: DataFrame, capacity: int, group_cols) -> DataFrame:
     return x.withColumn("rn", F.row_number().over(win)).filter(F.col("rn") <= F.lit(int(capacity)))
 
 
-def prune_bounds(df: DataFrame, capacity: int, fraction: float, group_cols=GROUP,
+def prune_bounds(df: DataFrame, capacity: int, fraction, group_cols=GROUP,
                  step: int = WEIGHT_STEP, seed: int = SEED) -> DataFrame:
     """Per group, an array of (w, bound) with bound <= the true K-th best priority.
 
-    A group gets a row only if the sample held at least K scored members at
-    every weight; other groups are not pruned.
+    ``fraction`` is one sampling fraction, or a dict of fractions per value of
+    the (single) group column.  A group gets a row only if its sample held at
+    least K scored members at every weight; other groups are not pruned.
     """
     n_weights = len(range(0, 101, step))
-    smp = df.select(*group_cols, *SWEEP_COLUMNS).sample(fraction=fraction, seed=seed)
+    rows = df.select(*group_cols, *SWEEP_COLUMNS)
+    if isinstance(fraction, dict):
+        smp = rows.sampleBy(group_cols[0], fractions=fraction, seed=seed)
+    else:
+        smp = rows.sample(fraction=fraction, seed=seed)
     scored = weight_priorities(smp, group_cols, step).filter(F.col("p").isNotNull())
     top = _top_k(scored, capacity, group_cols)
     per_w = top.groupBy(*group_cols, "w").agg(F.min("p").alias("bound"), F.count("*").alias("n"))
@@ -94,9 +99,9 @@ def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT
     return j.filter(keep).drop("bounds", "min_bound")
 
 
-def _sample_fraction(n_rows: float, n_groups: int, capacity: int) -> float:
-    per_group = max(n_rows / max(n_groups, 1), 1.0)
-    return min(1.0, PRUNE_SAMPLE_FACTOR * math.sqrt(capacity / per_group))
+def _sample_fraction(group_rows: float, capacity: int) -> float:
+    """Aim the sample at about PRUNE_SAMPLE_FACTOR * sqrt(K * n) rows of a group."""
+    return min(1.0, PRUNE_SAMPLE_FACTOR * math.sqrt(capacity / max(group_rows, 1.0)))
 
 
 def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int = WEIGHT_STEP,
@@ -105,15 +110,26 @@ def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int =
 
     ROI is summed as decimal, so equal top-K sets give equal sums whatever the
     summation order; it is reported as a double rounded to 4 places.
+    ``prune_mode``: "auto" prunes when the weight fan-out would exceed
+    PRUNE_MIN_ROWS rows, True always, False never (results are the same).
     """
+    group_cols = list(group_cols)
     base = df.select(*group_cols, *SWEEP_COLUMNS)
     if prune_mode:
         n_weights = len(range(0, 101, step))
-        n = base.count() if prune_mode == "auto" or prune_mode is True else 0
+        # one small job: rows per group (one row per scenario of the parameter list)
+        sizes = ([(tuple(r[c] for c in group_cols), r["count"])
+                  for r in base.groupBy(*group_cols).count().collect()]
+                 if group_cols else [((), base.count())])
+        n = sum(c for _, c in sizes)
         if prune_mode is True or n * n_weights > PRUNE_MIN_ROWS:
-            n_groups = base.select(*group_cols).distinct().count() if group_cols else 1
-            frac = _sample_fraction(n, n_groups, capacity)
-            if frac < 1.0 or prune_mode is True:
+            if len(group_cols) == 1:
+                frac = {g[0]: _sample_fraction(c, capacity) for g, c in sizes}
+                worth = prune_mode is True or min(frac.values()) < 1.0
+            else:
+                frac = _sample_fraction(n / max(len(sizes), 1), capacity)
+                worth = prune_mode is True or frac < 1.0
+            if worth:
                 base = prune(base, prune_bounds(base, capacity, frac, group_cols, step), group_cols, step)
     top = _top_k(weight_priorities(base, group_cols, step), capacity, group_cols)
     return (top.groupBy(*group_cols, F.col("w").cast("int").alias("Risk_Weight_Pct"))
