@@ -168,11 +168,16 @@ def fairness_check(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT
         (gap > F.lit(float(max_gap))).alias("Compliance_Alert"))
 
 
-def expected_loss_priority(scored: DataFrame) -> DataFrame:
+def expected_loss_priority(scored: DataFrame, how: str = "none") -> DataFrame:
     """Expected_Loss = risk * spend; Priority_Score = 0-100 scale of it, 1 place.
 
     The maximum is a scalar subquery: one partial max per task, one value back.
+    The input is read twice (maximum, then rows); shuffle stages below it are
+    shared, but a costly projection (model scoring) is not, so pass
+    ``how="checkpoint"`` to materialise such an input once.
     """
+    from retentio.session import materialize
+    scored = materialize(scored, how)
     el = F.col("Churn_Risk_Score") * F.col("Total_Trans_Amt")
     with_el = scored.withColumn("Expected_Loss", el)
     mx = with_el.select(F.max("Expected_Loss")).scalar()
