@@ -202,8 +202,9 @@ def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: floa
             how: str = "checkpoint") -> dict[str, DataFrame]:
     """Every dashboard table for one parameter set (costs, margin, loyalty, capacity, manual weight).
 
-    The member table is materialised once; every table below is a lazy plan
-    over it (decisions are row-local and recomputed by each reader).
+    The member table is materialised once; the curve and the two target lists
+    (small) are kept after first use; every other table is a lazy plan over
+    them (decisions are row-local and recomputed by each reader).
     """
     from retentio.operators.decide import Costs
     from retentio.operators.scenarios import scenario_decisions
@@ -213,10 +214,13 @@ def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: floa
     costs = costs or Costs()
     base = materialize(members, how, fanout_partitions(members.sparkSession))
     dec = scenario_decisions(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs, loyalty)
-    curve = tradeoff_curve(dec, capacity)
+    # the curve (one row per weight) and the two lists (capacity rows each)
+    # are small and read by several tables: keep them once computed, so the
+    # sweep runs once however many tables are used
+    curve = materialize(tradeoff_curve(dec, capacity), "persist")
     best = optimal_weight(curve)
-    opt = target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity)
-    man = target_list(dec, int(manual_weight), capacity)
+    opt = materialize(target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity), "persist")
+    man = materialize(target_list(dec, int(manual_weight), capacity), "persist")
     return {
         "decisions": dec,
         "curve": curve,
