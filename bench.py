@@ -38,9 +38,10 @@ def _sf(sf_dir: str) -> float | None:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    raw = os.environ.get("BENCH_CPUS", "8").strip()
+    cpus = int(raw) if raw.isdigit() else (os.cpu_count() or 8)
     only = sys.argv[1:]
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)), app_name="retentio-bench")
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app_name="retentio-bench")
     # warm-up: JVM, parquet footers, codegen caches
     catalog.members(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
@@ -52,7 +53,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus)}))
+                      "queries": times, "sf": _sf(sf_dir), "cpus": cpus}))
     spark.stop()
 
 
