@@ -52,7 +52,7 @@ def test_member_csv_roundtrip_with_declared_schema(spark, members_small, scratch
 
 
 def test_metrics_json_document(spark, scratch):
-    path = os.path.join(scratch, "model_metrics.json")
+    path = os.path.join(scratch, "metrics.json")
     with open(path, "w") as fh:
         json.dump(SAMPLE_METRICS, fh, indent=2)
     m = read_metrics(spark, path)
