@@ -190,3 +190,24 @@ def test_count_scores_reproduce_published_metrics():
     s = learn.count_scores(tp=255, fp=74, fn=29, tn=1588)
     assert round(s["accuracy"], 4) == 0.9471
     assert round(s["f1"], 4) == 0.9487
+
+
+def test_streaming_restart_is_exactly_once(spark, members_small, scratch):
+    from retentio.streaming.decisions import MEMBER_SCHEMA, start_decision_stream
+    src, out, ckpt = (os.path.join(scratch, x) for x in ("in", "out", "ckpt"))
+    cols = [f.name for f in MEMBER_SCHEMA.fields]
+    one_tier = members_small.select("Card_Category").orderBy("Card_Category").first()[0]
+    first = members_small.filter(F.col("Card_Category") == one_tier).select(*cols)
+    second = members_small.filter(F.col("Card_Category") != one_tier).select(*cols)
+    first.write.parquet(os.path.join(src, "batch1"))
+    start_decision_stream(spark, src + "/*", out, ckpt).awaitTermination(120)
+    n1 = spark.read.parquet(out).count()
+    # rerun with nothing new: the checkpoint says everything was processed
+    start_decision_stream(spark, src + "/*", out, ckpt).awaitTermination(120)
+    assert spark.read.parquet(out).count() == n1 == first.count()
+    # new files: only they are scored
+    second.write.parquet(os.path.join(src, "batch2"))
+    start_decision_stream(spark, src + "/*", out, ckpt).awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == members_small.count()
+    assert got.select("member_key").distinct().count() == members_small.count()
