@@ -20,7 +20,7 @@ from retentio.session import local_session  # noqa: E402
 HEADLINE = {
     "member_table": lambda s, d: catalog.members(s, d),
     "action_summary": catalog.d5_action_summary,
-    "tradeoff_curve_base": lambda s, d: catalog.tradeoff_curve(catalog.base_decisions(s, d, "checkpoint"), catalog.K),
+    "tradeoff_curve_base": lambda s, d: catalog.tradeoff_curve(catalog.base_decisions(s, d, "table"), catalog.K),
     "tradeoff_curve": catalog.d9_tradeoff_curve,
     "score_scenarios": catalog.d15_score_scenarios,
     "compare_strategies": catalog.d12_compare_strategies,

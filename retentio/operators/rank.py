@@ -7,7 +7,8 @@ scenario in one task.  :func:`global_rank` keeps the sort distributed:
    whole composite key, so a value shared by a third of the rows (all
    sleeping dogs share priority -1) is still split across tasks by key;
 2. sort within partitions and tag each row with its partition and position;
-3. cut lineage (reliable checkpoint), so counts and ranks read the same rows;
+3. cut lineage (a Parquet table in the shared checkpoint folder), so counts
+   and ranks read the same rows, and the count pass reads three columns only;
 4. count rows per (partition, group) - a table with one row per partition
    and group, small by construction - and turn it into offsets;
 5. rank = rows in earlier partitions of the group + position + 1.
@@ -22,7 +23,7 @@ from retentio.session import materialize
 
 
 def global_rank(df: DataFrame, order_by: list[Column], group_cols=(), rank_col: str = "rank",
-                num_partitions: int | None = None, how: str = "checkpoint") -> DataFrame:
+                num_partitions: int | None = None, how: str = "table") -> DataFrame:
     """Dense 1..n position of every row within its group by ``order_by``.
 
     ``order_by`` must make the order total (end with a unique key) for the

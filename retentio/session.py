@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame, how: str = "checkpoint", min_partitions: int | None = None) -> DataFrame:
+def written_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Columnar and compressed: later readers scan only the columns they use.
+    Tables are grouped per application (``retentio-tables/<app id>/``) so a
+    retention policy on the folder can clear them.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/retentio-tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize(df: DataFrame, how: str = "table", min_partitions: int | None = None) -> DataFrame:
     """Cut lineage of a table that several later stages read.
 
-    ``checkpoint`` writes it to the shared checkpoint folder, so a lost
-    executor does not send the recompute back to the raw scans; ``persist``
-    keeps it in executor memory/disk (recomputed from lineage on loss);
-    ``none`` leaves the plan lazy.
+    ``table`` writes Parquet under the shared checkpoint folder (columnar, so
+    readers prune columns); ``checkpoint`` is a reliable RDD checkpoint in the
+    same folder (row format); either way a lost executor does not send the
+    recompute back to the raw scans.  ``persist`` keeps it in executor
+    memory/disk (recomputed from lineage on loss); ``none`` leaves the plan lazy.
 
     ``min_partitions``: a materialised table with fewer partitions than this
     (a small table that adaptive execution packed into few tasks) is spread
@@ -66,23 +82,22 @@ def materialize(df: DataFrame, how: str = "checkpoint", min_partitions: int | No
     sweep) runs in parallel without each reader repeating the shuffle.
     Large tables already have enough partitions and are left as they are.
     """
-    if how == "checkpoint":
+    if how == "table":
+        store = written_table
+    elif how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        out = df.checkpoint(eager=True)
+        store = lambda d: d.checkpoint(eager=True)
     elif how == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        store = lambda d: d.persist(StorageLevel.MEMORY_AND_DISK)
     elif how == "none":
         return df
     else:
         raise ValueError(f"unknown materialize mode: {how}")
+    out = store(df)
     if min_partitions and out.rdd.getNumPartitions() < min_partitions:
         # few partitions means a small table: spread it once and keep the
         # spread copy, so no reader repeats the shuffle
-        out = out.repartition(int(min_partitions))
-        if how == "checkpoint":
-            out = out.checkpoint(eager=True)
-        else:
-            out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        out = store(out.repartition(int(min_partitions)))
     return out
 
 
