@@ -48,7 +48,7 @@ def main() -> None:
              "Generated by `tools/show_plans.py` with automatic broadcast joins off (the choice for",
              "large tables). Remaining broadcasts are explicit, over tables bounded by construction",
              "(one row per scenario, per partition and scenario, or per band). Queries that",
-             "materialise an input show a scan of the checkpointed rows (`Scan ExistingRDD`).", ""]
+             "materialise an input show a Parquet scan of the stored table under the checkpoint folder.", ""]
     for title, fn in HEADLINE:
         parts += [f"## {title}", "", "```", _plan(fn(spark, sf_dir)), "```", ""]
     with open(out, "w") as fh:
