@@ -23,7 +23,7 @@ from retentio.session import materialize
 
 
 def global_rank(df: DataFrame, order_by: list[Column], group_cols=(), rank_col: str = "rank",
-                num_partitions: int | None = None, how: str = "table") -> DataFrame:
+                num_partitions: int | None = None, how: str | None = None) -> DataFrame:
     """Dense 1..n position of every row within its group by ``order_by``.
 
     ``order_by`` must make the order total (end with a unique key) for the

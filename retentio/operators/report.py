@@ -174,7 +174,7 @@ def expected_loss_priority(scored: DataFrame, how: str = "none") -> DataFrame:
     The maximum is a scalar subquery: one partial max per task, one value back.
     The input is read twice (maximum, then rows); shuffle stages below it are
     shared, but a costly projection (model scoring) is not, so pass
-    ``how="table"`` to materialise such an input once.
+    ``how=None`` (the session default) to materialise such an input once.
     """
     from retentio.session import materialize
     scored = materialize(scored, how)
@@ -199,7 +199,7 @@ def target_profile(tl: DataFrame) -> dict[str, DataFrame]:
 
 def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: float = 0.0,
             capacity: int = DEFAULT_CAPACITY, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
-            how: str = "table") -> dict[str, DataFrame]:
+            how: str | None = None) -> dict[str, DataFrame]:
     """Every dashboard table for one parameter set (costs, margin, loyalty, capacity, manual weight).
 
     The member table is materialised once; the curve and the two target lists

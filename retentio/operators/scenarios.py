@@ -29,7 +29,7 @@ def scenario_decisions(members: DataFrame, scenarios=SCENARIOS, costs: Costs = C
 
 def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY,
                     costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY,
-                    step: int = WEIGHT_STEP, how: str = "table",
+                    step: int = WEIGHT_STEP, how: str | None = None,
                     full: bool = False) -> DataFrame:
     """The tidy scenario table (23 columns; ``full`` keeps all helper columns).
 

@@ -60,7 +60,7 @@ def all_decisions(spark, sf, how: str = "none"):
 
 def _base_report(spark, sf):
     """Base-margin decisions over a materialised member table (the sweep and the lists both read it)."""
-    dec = base_decisions(spark, sf, "table")
+    dec = base_decisions(spark, sf, None)
     best = optimal_weight(tradeoff_curve(dec, K))
     return dec, best
 
@@ -260,7 +260,7 @@ def a14_population_age(spark, sf):
 
 
 def d9_tradeoff_curve(spark, sf):
-    return tradeoff_curve(all_decisions(spark, sf, "table"), K)
+    return tradeoff_curve(all_decisions(spark, sf, None), K)
 
 
 def a16_objective(spark, sf):
@@ -280,7 +280,7 @@ def w1_global_rank(spark, sf):
 
 
 def w2_top_k_per_weight(spark, sf):
-    d = all_decisions(spark, sf, "table")
+    d = all_decisions(spark, sf, None)
     x = weight_priorities(d, ["Scenario"], 2)
     top = top_k_per_group(x, ["Scenario", "w"], [F.col("p").desc_nulls_last(), F.col("member_key")], K)
     return top.select("Scenario", F.col("w").alias("Risk_Weight_Pct"), "member_key",
@@ -448,7 +448,7 @@ def trained(spark, sf) -> learn.TrainedModel:
     """Fit once per session and input folder; later model queries reuse it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        m = _members_for(spark, sf, "table")
+        m = _members_for(spark, sf, None)
         _MODELS[key] = (m, learn.train_and_evaluate(m))
     return _MODELS[key][1]
 
@@ -523,7 +523,7 @@ def l13_scored_export(spark, sf):
     t = trained(spark, sf)
     scored = learn.score_population(t.model, _trained_members(spark, sf))
     # forest scoring is a projection: materialise it rather than score twice
-    return report.expected_loss_priority(scored, how="table")
+    return report.expected_loss_priority(scored, how=None)
 
 
 def l14_headline(spark, sf):

@@ -67,9 +67,24 @@ def written_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize(df: DataFrame, how: str = "table", min_partitions: int | None = None) -> DataFrame:
+# Session setting naming the default materialisation ("table" or "checkpoint").
+MATERIALIZE_CONF = "spark.retentio.materialize"
+
+
+def default_materialize(spark: SparkSession) -> str:
+    """``table`` unless the session sets ``spark.retentio.materialize``.
+
+    Columnar tables suit shared remote storage (readers prune columns);
+    measured on one machine with a local disk, ``checkpoint`` was 6-9% faster.
+    """
+    return spark.conf.get(MATERIALIZE_CONF, "table")
+
+
+def materialize(df: DataFrame, how: str | None = None, min_partitions: int | None = None) -> DataFrame:
     """Cut lineage of a table that several later stages read.
 
+    ``how=None`` uses the session default (:func:`default_materialize`).
+
     ``table`` writes Parquet under the shared checkpoint folder (columnar, so
     readers prune columns); ``checkpoint`` is a reliable RDD checkpoint in the
     same folder (row format); either way a lost executor does not send the
@@ -82,6 +97,7 @@ def materialize(df: DataFrame, how: str = "table", min_partitions: int | None =
     sweep) runs in parallel without each reader repeating the shuffle.
     Large tables already have enough partitions and are left as they are.
     """
+    how = how or default_materialize(df.sparkSession)
     if how == "table":
         store = written_table
     elif how == "checkpoint":

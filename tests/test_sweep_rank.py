@@ -73,14 +73,15 @@ def test_capacity_above_rows_takes_all(spark, members_small):
     assert all(r.Captured_Net_ROI == pytest.approx(total, abs=1e-3) for r in curve)
 
 
-def test_global_rank_equals_row_number_under_skew(spark):
+@pytest.mark.parametrize("how", ["table", "checkpoint", "persist"])
+def test_global_rank_equals_row_number_under_skew(spark, how):
     # a third of the rows share one priority (like sleeping dogs at -1)
     n = 3000
     df = spark.range(n).select(
         F.col("id").alias("k"),
         (F.col("id") % 2).cast("string").alias("g"),
         F.when(F.col("id") % 3 == 0, F.lit(-1.0)).otherwise((F.col("id") * 7919 % 1000) / 10.0).alias("p"))
-    ranked = global_rank(df, [F.col("p").desc(), F.col("k")], ["g"], "r", num_partitions=7)
+    ranked = global_rank(df, [F.col("p").desc(), F.col("k")], ["g"], "r", num_partitions=7, how=how)
     w = Window.partitionBy("g").orderBy(F.col("p").desc(), F.col("k"))
     want = df.withColumn("r", F.row_number().over(w))
     a = sorted((x.k, x.r) for x in ranked.select("k", "r").collect())
