@@ -526,6 +526,14 @@ def l13_scored_export(spark, sf):
     return report.expected_loss_priority(scored, how=None)
 
 
+def d15_score_scenarios_learned(spark, sf):
+    """The scenario table on the model's risk: scored members feed the same
+    decision, sweep and rank operators (risk is read by column name)."""
+    t = trained(spark, sf)
+    scored = learn.score_population(t.model, _trained_members(spark, sf))
+    return score_scenarios(scored, SCENARIOS, K)
+
+
 def l14_headline(spark, sf):
     return learn.headline(_metrics(spark, sf))
 
@@ -618,6 +626,7 @@ QUERIES: dict[str, Query] = {
     "D13_fairness_check": d13_fairness_check,
     "D14_target_profile": a12_target_kpis,
     "D15_score_scenarios": d15_score_scenarios,
+    "D15_score_scenarios_learned": d15_score_scenarios_learned,
     "D16_expected_loss_priority": d16_expected_loss_priority,
     "D17_brief": d17_brief,
     "L1_index_tier": l1_index_tier,

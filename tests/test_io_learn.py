@@ -211,3 +211,17 @@ def test_streaming_restart_is_exactly_once(spark, members_small, scratch):
     got = spark.read.parquet(out)
     assert got.count() == members_small.count()
     assert got.select("member_key").distinct().count() == members_small.count()
+
+
+def test_scenarios_on_learned_risk(spark, members_small):
+    from retentio.constants import SCENARIOS
+    from retentio.operators.scenarios import score_scenarios
+    t = learn.train_and_evaluate(members_small, trees=10, depth=4)
+    scored = learn.score_population(t.model, members_small)
+    tab = score_scenarios(scored, SCENARIOS, capacity=20).cache()
+    n = members_small.count()
+    assert tab.count() == 3 * n
+    agg = tab.groupBy("Scenario").agg(F.max("Priority_Rank").alias("hi"), F.count_if("In_Target_List").alias("k"))
+    assert all(r.hi == n and r.k == 20 for r in agg.collect())
+    assert tab.filter((F.col("Churn_Risk_Score") < 0) | (F.col("Churn_Risk_Score") > 1)).count() == 0
+    tab.unpersist()
