@@ -1,0 +1,119 @@
+"""Encode texts through a bounded cache of their words.
+
+Both tokenizers here decide every token inside one word and the space before
+it.  A text is therefore cut into such words, each distinct word is encoded
+once by the tokenizer itself, and the texts are put together from the words'
+ids.  The result is that of encoding whole texts; ``usable`` names the words
+whose edges don't allow the cut, and texts with one are encoded whole.
+"""
+
+from __future__ import annotations
+
+from itertools import repeat
+
+import numpy as np
+
+FIRST = "\n\n"  # marks the first word of a text; a split never gives it
+
+
+def _is_first(key: str) -> bool:
+    return key.startswith(FIRST)
+
+
+class ChunkCache:
+    """``encode_words`` maps word keys to their ids, one after another, and the numbers
+    of ids; ``encode_whole`` maps a text to its ids.
+
+    Keys: ``FIRST + w`` for the first word of a text, ``"\\n" + w`` for a word
+    after a line break, and ``w`` for a word after one space.  The words
+    are held in two generations of at most ``limit``: a full one becomes the old
+    one, and what is still used moves on from there without being encoded again.
+    """
+
+    def __init__(self, encode_words, encode_whole, usable, dtype, limit: int = 350_000):
+        self.encode_words, self.encode_whole, self.usable = encode_words, encode_whole, usable
+        self.dtype, self.limit = dtype, limit
+        self.old: tuple = ({}, None, None, None)
+        self.clear()
+
+    def clear(self) -> None:
+        """Starts a new generation; the present one becomes the old one."""
+        if hasattr(self, "slot"):
+            self.old = (self.slot, self.start, self.size, self.pool)
+        self.slot: dict[str, int] = {}
+        self.start = np.zeros(1024, dtype=np.int64)
+        self.size = np.zeros(1024, dtype=np.int64)
+        self.pool = np.zeros(1 << 16, dtype=self.dtype)
+        self.used = 0
+
+    def add(self, keys: list[str]) -> None:
+        if self.old[0]:
+            seen = [k for k in keys if k in self.old[0]]
+            if seen:
+                self.take_over(seen)
+                keys = [k for k in keys if k not in self.old[0]]
+        bad = [k for k in keys if not self.usable(k)]
+        if bad:
+            known = set(bad)
+            keys = [k for k in keys if k not in known]
+        keys.sort(key=_is_first)  # first words come last: they can't be joined to others
+        flat, sizes = self.encode_words(keys) if keys else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
+        # -1: no cut beside these words
+        self.store(keys + bad, flat, np.append(sizes, np.full(len(bad), -1, dtype=np.int64)))
+
+    def take_over(self, keys: list[str]) -> None:
+        slot, start, size, pool = self.old
+        at = np.fromiter(map(slot.__getitem__, keys), dtype=np.int64, count=len(keys))
+        n = np.maximum(size[at], 0)
+        ends = np.cumsum(n)
+        self.store(keys, pool[np.repeat(start[at] - (ends - n), n) + np.arange(int(ends[-1]))], size[at])
+
+    def store(self, keys: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.slot)
+        need = n + len(keys)
+        if need > len(self.start):
+            grow = max(need, 2 * len(self.start))
+            self.start, self.size = np.resize(self.start, grow), np.resize(self.size, grow)
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.resize(self.pool, max(self.used + len(flat), 2 * len(self.pool)))
+        self.pool[self.used:self.used + len(flat)] = flat
+        own = np.maximum(sizes, 0)
+        self.size[n:need] = sizes
+        self.start[n:need] = self.used + np.cumsum(own) - own
+        self.used += len(flat)
+        self.slot.update(zip(keys, range(n, need)))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each text)."""
+        words: list[str] = []
+        counts = []
+        for t in texts:
+            parts = t.replace("\n", " \n").split(" ")
+            parts[0] = FIRST + parts[0]
+            words += parts
+            counts.append(len(parts))
+        get = self.slot.get
+        at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = list(dict.fromkeys([words[k] for k in new]))
+            if len(self.slot) + len(missing) > self.limit:
+                self.clear()
+                new, missing = np.arange(len(words)), list(dict.fromkeys(words))
+            self.add(missing)
+            at[new] = [self.slot[words[k]] for k in new]
+        sizes = self.size[at]
+        firsts = np.cumsum(counts) - counts
+        whole = np.flatnonzero(np.minimum.reduceat(sizes, firsts) < 0) if len(texts) else []
+        sizes = np.maximum(sizes, 0)
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(total)]
+        per_text = np.add.reduceat(sizes, firsts) if len(texts) else np.zeros(0, dtype=np.int64)
+        if len(whole):
+            pieces = np.split(ids, np.cumsum(per_text)[:-1])
+            for k in whole:
+                pieces[k] = np.asarray(self.encode_whole(texts[k]), dtype=self.dtype)
+                per_text[k] = len(pieces[k])
+            ids = np.concatenate(pieces)
+        return ids, per_text
