@@ -14,11 +14,11 @@ def brief(metrics: DataFrame) -> DataFrame:
     recall_pct = F.col("recall") * F.lit(100.0)
     prec_pct = F.col("precision") * F.lit(100.0)
     lines = [
-        F.format_string("Generated: %s", today_text()),
-        F.format_string("Detection quality: ROC-AUC of %.3f, catching %.0f%% of members who actually "
-                        "churned (recall) at %.0f%% precision.", F.col("roc_auc"), recall_pct, prec_pct),
-        F.format_string("Top risk driver: '%s' is the single strongest predictor of attrition.", top),
-        F.format_string("Test confusion: %d true churners caught, only %d missed.",
+        F.format_string("Report date %s", today_text()),
+        F.format_string("Ranking of members by risk: area under the curve %.3f; recall %.0f%%, precision %.0f%%.",
+                        F.col("roc_auc"), recall_pct, prec_pct),
+        F.format_string("Largest feature weight: %s.", top),
+        F.format_string("In the test split the model found %d leavers and overlooked %d.",
                         F.col("confusion.tp"), F.col("confusion.fn")),
     ]
     arr = F.array(*[F.struct(F.lit(i + 1).alias("line_no"), t.alias("text")) for i, t in enumerate(lines)])

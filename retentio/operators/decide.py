@@ -20,6 +20,7 @@ from retentio.constants import (
 from retentio.functions.scalar import clip
 
 RISK = "Churn_Risk_Score"
+UNSCORED = "Not Scored"  # action of a member whose inputs leave every ROI null
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,7 @@ def best_action(df: DataFrame) -> DataFrame:
     argmax, best = best_channel()
     dog = F.col("Is_Sleeping_Dog")
     action = (F.when(dog, F.lit(SLEEPING_DOG))
+              .when(best.isNull(), F.lit(UNSCORED))
               .when(best > F.lit(0.0), argmax)
               .otherwise(F.lit(EMAIL)))
     roi = (F.when(dog, F.lit(0.0))

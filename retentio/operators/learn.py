@@ -22,8 +22,6 @@ from retentio.functions.scalar import round_even
 
 LABEL = "Churn_Flag"
 # FIXED VALUES: split hash (prime modulus and multiplicative constant)
-SPLIT_MODULUS = 1000003
-SPLIT_MULTIPLIER = 2654435761
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("roc_auc", T.DoubleType()),
@@ -55,14 +53,14 @@ def assemble(df: DataFrame, features=FEATURES, output_col: str = "features") ->
 
 
 def test_flag(key: str = "member_key", test_fraction: float = TEST_FRACTION, seed: int = SEED):
-    """L3: a member is in the test split by an arithmetic hash of its key.
+    """L3: a member is in the test split by the md5 digest of its key (as text) and the seed.
 
-    Depends only on the key, so it is stable under repartitioning and reruns
-    and can be written in SQL; no bigint overflow for any key.
+    Depends only on the key, whatever its type and sign, so it is stable under
+    repartitioning and reruns; a null key is in the training split.
     """
-    h = (((F.col(key) % F.lit(SPLIT_MODULUS)) + F.lit(seed)) % F.lit(SPLIT_MODULUS)) \
-        * F.lit(SPLIT_MULTIPLIER) % F.lit(1000)
-    return h < F.lit(int(round(test_fraction * 1000)))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(10_000)
+    return F.col(key).isNotNull() & (h < F.lit(int(round(test_fraction * 10_000))))
 
 
 def split(df: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SEED,

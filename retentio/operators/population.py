@@ -28,8 +28,15 @@ def population_scalars(df: DataFrame, group_cols=GROUP) -> DataFrame:
 
 
 def loyalty_weight_expr(loyalty: float = DEFAULT_LOYALTY) -> Column:
-    """1 + |L| * 0.5 * tenure (L >= 0) or 1 - tenure (L < 0); null if tenure is constant."""
-    tn = min_max_scale("Months_on_book", F.col("pop_min_mob"), F.col("pop_max_mob"))
+    """1 + |L| * 0.5 * tenure (L >= 0) or 1 - tenure (L < 0).
+
+    At L = 0 the weight is 1 whatever the tenure; a population of one tenure
+    counts as tenure 0.
+    """
+    if float(loyalty) == 0.0:
+        return F.lit(1.0)
+    tn = F.when(F.col("pop_min_mob") == F.col("pop_max_mob"), F.lit(0.0)).otherwise(
+        min_max_scale("Months_on_book", F.col("pop_min_mob"), F.col("pop_max_mob")))
     target = tn if loyalty >= 0 else F.lit(1) - tn
     return F.lit(1.0) + F.lit(abs(float(loyalty))) * F.lit(0.5) * target
 

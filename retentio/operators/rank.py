@@ -47,10 +47,10 @@ def global_rank(df: DataFrame, order_by: list[Column], group_cols=(), rank_col:
     w = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    # offsets: one row per (partition, group) - bounded by partitions + groups
-    ranked = tagged.join(F.broadcast(offsets), ["_pid", *group_cols])
+    # offsets: one row per (partition, group); the optimizer broadcasts it when it is small
+    ranked = tagged.join(offsets, ["_pid", *group_cols])
     return (ranked.withColumn(rank_col, (F.col("_before") + F.col("_ix") - F.col("_first") + F.lit(1))
-                              .cast("int"))
+                              .cast("long"))
             .drop("_pid", "_ix", "_first", "_before"))
 
 
@@ -59,21 +59,18 @@ def top_k(df: DataFrame, order_by: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order_by).limit(int(k))
 
 
-def ensure_group_limit(spark, capacity: int) -> None:
-    """Keep the partial top-K (WindowGroupLimit) planned for this capacity.
-
-    Catalyst only inserts it while K <= windowGroupLimitThreshold (1000 by
-    default); above that each (scenario, weight) group would be sorted whole
-    in one task, so the threshold is raised to the requested capacity.
-    """
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(key, "1000")) < capacity:
-        spark.conf.set(key, str(int(capacity)))
+SALTS = 32  # parts a group's rows are cut into before its top-K is taken
 
 
 def top_k_per_group(df: DataFrame, group_cols, order_by: list[Column], k: int,
-                    rank_col: str = "rn") -> DataFrame:
-    """First k rows per group (partial WindowGroupLimit before the shuffle)."""
-    ensure_group_limit(df.sparkSession, k)
-    win = Window.partitionBy(*group_cols).orderBy(*order_by)
-    return df.withColumn(rank_col, F.row_number().over(win)).filter(F.col(rank_col) <= F.lit(int(k)))
+                    rank_col: str = "rn", key: str = "member_key") -> DataFrame:
+    """First k rows per group, with their position: k per (group, salt), then k per group.
+
+    No task sorts a whole group, whatever its size; ``key`` spreads the salts.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    first = Window.partitionBy(*group_cols, "_salt").orderBy(*order_by)
+    last = Window.partitionBy(*group_cols).orderBy(*order_by)
+    kept = salted.withColumn("_pos", F.row_number().over(first)).filter(F.col("_pos") <= F.lit(int(k)))
+    return (kept.drop("_salt", "_pos").withColumn(rank_col, F.row_number().over(last))
+            .filter(F.col(rank_col) <= F.lit(int(k))))

@@ -44,7 +44,7 @@ def target_list(dec: DataFrame, risk_weight, capacity: int = DEFAULT_CAPACITY) -
     Ties are broken by member key, so the list is repeatable.
     """
     scored = dec.withColumn("Live_Priority", priority_expr(_weight_col(risk_weight)))
-    return top_k(scored, priority_order(), capacity).withColumn(
+    return top_k(scored.filter(F.col("Live_Priority").isNotNull()), priority_order(), capacity).withColumn(
         "Intervention_Type", F.col("Recommended_Action"))
 
 
@@ -185,13 +185,6 @@ def expected_loss_priority(scored: DataFrame, how: str = "none") -> DataFrame:
         "Priority_Score", round_even(F.try_divide(F.col("Expected_Loss"), mx) * F.lit(100), 1))
 
 
-def action_counts_wide(tl: DataFrame) -> DataFrame:
-    """Counts by action as columns (fixed action list), one row."""
-    names = ("n_email", "n_rep_call", "n_senior_call", "n_sleeping_dog")
-    return tl.agg(*[F.count_if(F.col("Recommended_Action") == F.lit(a)).cast("long").alias(n)
-                    for a, n in zip(ACTIONS, names)])
-
-
 def target_profile(tl: DataFrame) -> dict[str, DataFrame]:
     """Who is on the list - KPIs (one row), by card tier, by tenure band."""
     return {"kpis": target_kpis(tl), "by_tier": tier_mix(tl), "by_tenure": tenure_mix(tl)}
@@ -209,10 +202,10 @@ def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: floa
     from retentio.operators.decide import Costs
     from retentio.operators.scenarios import scenario_decisions
     from retentio.operators.sweep import optimal_weight, tradeoff_curve
-    from retentio.session import fanout_partitions, materialize
+    from retentio.session import materialize
 
     costs = costs or Costs()
-    base = materialize(members, how, fanout_partitions(members.sparkSession))
+    base = materialize(members, how)
     dec = scenario_decisions(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs, loyalty)
     # the curve (one row per weight) and the two lists (capacity rows each)
     # are small and read by several tables: keep them once computed, so the

@@ -1,8 +1,10 @@
 """Multi-scenario scoring (D15) and its summary.
 
-One lazy plan for all margin scenarios: the scenario list is expanded per
-member (no join), population scalars come from one aggregate per scenario,
-the sweep shuffles once, and the rank runs distributed (see rank.py).
+One plan for all margin scenarios: the scenario list is expanded per member
+(no join), population scalars come from one aggregate per scenario, and the
+rank runs distributed (see rank.py).  Building it writes two tables, the
+members and the ranked rows; members without a score are ranked last and are
+in no target list.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from retentio.constants import (
 from retentio.functions.scalar import allocation_text, member_id, percent, round_even, tenure_band
 from retentio.operators.decide import Costs, decide_scenarios
 from retentio.operators.population import priority_expr, with_population
-from retentio.operators.rank import global_rank
+from retentio.operators.rank import global_rank, top_k_per_group
 from retentio.operators.sweep import optimal_weight, tradeoff_curve
-from retentio.session import fanout_partitions, materialize
+from retentio.session import materialize
 
 
 def scenario_decisions(members: DataFrame, scenarios=SCENARIOS, costs: Costs = Costs(),
@@ -33,22 +35,60 @@ def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEF
                     full: bool = False) -> DataFrame:
     """The tidy scenario table (23 columns; ``full`` keeps all helper columns).
 
-    The member table is materialised once (it is read by the population
-    aggregate, the sweep and the rank); the decisions on top of it are
-    row-local projections, recomputed by each reader instead of stored.
+    The member table is materialised once (the population aggregate, the
+    sweep and the rank read it); the decisions on top of it are row-local
+    projections, recomputed by each reader instead of stored.
     """
-    members = materialize(members, how, fanout_partitions(members.sparkSession))
-    dec = scenario_decisions(members, scenarios, costs, loyalty)
-    best = optimal_weight(tradeoff_curve(dec, capacity, step))
-    # one row per scenario of the parameter list: bounded broadcast
-    scored = (dec.join(F.broadcast(best.select("Scenario", "Optimal_Risk_Weight_Pct")), "Scenario")
-              .withColumn("Priority_Score", priority_expr(F.col("Optimal_Risk_Weight_Pct"))))
+    scored = scored_at_optimum(members, scenarios, capacity, costs, loyalty, step, how)
     if not full:
         scored = scored.select(*_NEEDED)
-    ranked = global_rank(scored, [F.col("Priority_Score").desc_nulls_last(), F.col("member_key")],
-                         ["Scenario"], rank_col="Priority_Rank", how=how)
+    ranked = global_rank(scored, rank_order(), ["Scenario"], rank_col="Priority_Rank", how=how)
+    return _finish(ranked, capacity, full)
+
+
+def scored_at_optimum(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY,
+                      costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY, step: int = WEIGHT_STEP,
+                      how: str | None = None) -> DataFrame:
+    """Every member and scenario with the scenario's best weight and the priority at it."""
+    members = materialize(members, how)
+    dec = scenario_decisions(members, scenarios, costs, loyalty)
+    best = optimal_weight(tradeoff_curve(dec, capacity, step))
+    # one row per scenario of the parameter list: bounded broadcast
+    return (dec.join(F.broadcast(best.select("Scenario", "Optimal_Risk_Weight_Pct")), "Scenario")
+            .withColumn("Priority_Score", priority_expr(F.col("Optimal_Risk_Weight_Pct"))))
+
+
+def scenario_targets(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY) -> DataFrame:
+    """The target rows of the scenario table, by a top-K per scenario and no global rank."""
+    scored = scored_at_optimum(members, scenarios, capacity).select(*_NEEDED)
+    top = top_k_per_group(scored.filter(F.col("Priority_Score").isNotNull()), ["Scenario"], rank_order(), capacity,
+                          rank_col="Priority_Rank")
+    return _finish(top, capacity)
+
+
+def target_flags(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY) -> DataFrame:
+    """Every member and scenario with ``In_Target_List``: at or before the last target's (priority, key)."""
+    scored = scored_at_optimum(members, scenarios, capacity).select("Scenario", "member_key", "Priority_Score")
+    top = top_k_per_group(scored.filter(F.col("Priority_Score").isNotNull()), ["Scenario"], rank_order(), capacity)
+    # one row per scenario of the parameter list: bounded broadcast
+    last = top.groupBy("Scenario").agg(F.max_by(F.struct("Priority_Score", "member_key"), "rn").alias("last"))
+    p, lp, lk = F.col("Priority_Score"), F.col("last")["Priority_Score"], F.col("last")["member_key"]
+    inside = (p > lp) | ((p == lp) & (F.col("member_key") <= lk))
+    return scored.join(F.broadcast(last), "Scenario", "left").select(
+        member_id("member_key").alias("Customer_ID"), "Scenario",
+        F.coalesce(inside, F.lit(False)).alias("In_Target_List"))
+
+
+def rank_order():
+    return [F.col("Priority_Score").desc_nulls_last(), F.col("member_key")]
+
+
+def _finish(ranked: DataFrame, capacity: int, full: bool = False) -> DataFrame:
+    """Columns of the scenario table from ranked rows."""
     out = (ranked
-           .withColumn("In_Target_List", F.col("Priority_Rank") <= F.lit(int(capacity)))
+           .withColumn("In_Target_List", (F.col("Priority_Rank") <= F.lit(int(capacity)))
+                       & F.col("Priority_Score").isNotNull())
+           .withColumn("Priority_Rank", F.col("Priority_Rank").cast("long"))
            .withColumn("Scenario_Interchange_Pct", percent("margin"))
            .withColumn("Recommended_Allocation", allocation_text("Optimal_Risk_Weight_Pct"))
            .withColumn("Customer_ID", member_id("member_key"))
@@ -91,6 +131,6 @@ def export_scenarios(members: DataFrame, path: str, scenarios=SCENARIOS, capacit
     table = score_scenarios(members, scenarios, capacity, costs, loyalty)
     write_scenarios(table, path, fmt=fmt)
     spark = members.sparkSession
-    reader = spark.read.option("header", True).schema(table.schema) if fmt == "csv" else spark.read
-    written = reader.format(fmt).load(path)
-    return scenario_summary(written)
+    if fmt == "csv":
+        return scenario_summary(spark.read.option("header", True).schema(table.schema).csv(path))
+    return scenario_summary(spark.read.format(fmt).load(path))

@@ -7,17 +7,22 @@ top-K is ``row_number() <= K`` over (scenario, w) ordered by (priority desc,
 member_key), which Catalyst turns into a partial WindowGroupLimit before the
 shuffle (each task ships at most K rows per group) and a final one after it.
 
-Large inputs first drop rows that cannot reach any top-K (``prune``): the
-K-th best priority inside a random sample is never above the K-th best of the
-whole table, so rows below that bound at every weight can be removed before
-the weight fan-out.  The bound only shrinks the input; results are exact
-whatever the sample holds.
+First the rows that cannot reach any top-K are dropped (``prune``), at every
+input size: the K-th best priority inside a random sample is never above the
+K-th best of the whole table, so rows below that bound at every weight can go
+before the weight fan-out.  The bound only shrinks the input; results are
+exact whatever the sample holds, and a group whose sample holds fewer than K
+scored rows is not pruned.
+
+The top-K itself has two stages: K rows per (scenario, weight, salt), then K
+per (scenario, weight), so that no task sorts a whole group.  While K is at
+most ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default)
+Catalyst also cuts each task's share to K rows before the shuffle; for larger
+K a session may raise it, the results don't depend on it.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +30,12 @@ from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, SEED, WEIGHT_STE
 from retentio.functions.scalar import round_even
 from retentio.operators.decide import RISK, at_risk_flag
 from retentio.operators.population import priority_expr
-from retentio.operators.rank import ensure_group_limit
+from retentio.operators.rank import top_k_per_group
 
 GROUP = ("Scenario",)
 SWEEP_COLUMNS = ("member_key", RISK, "Normalized_Value", "Loyalty_Weight", "Is_Sleeping_Dog", "Net_ROI")
-# Sizing of the prune: apply it when the weight fan-out would exceed this many
-# rows, and aim the sample at about sqrt(K * n) rows per group.
-PRUNE_MIN_ROWS = 20_000_000
-PRUNE_SAMPLE_FACTOR = 4.0
+# Share of the rows whose K-th best priority bounds the prune.
+PRUNE_FRACTION = 0.1
 # Priorities lie in [-1, 1.5]; float rounding moves them by ~1e-16, so a
 # margin of 1e-9 keeps the cheap end-point test on the safe side.
 PRUNE_ROUNDING_MARGIN = 1e-9
@@ -48,28 +51,22 @@ def weight_priorities(df: DataFrame, group_cols, step: int) -> DataFrame:
     return x.withColumn("p", priority_expr(F.col("w")))
 
 
-def _top_k(x: DataFrame, capacity: int, group_cols) -> DataFrame:
-    ensure_group_limit(x.sparkSession, capacity)
-    win = Window.partitionBy(*group_cols, "w").orderBy(F.col("p").desc_nulls_last(), F.col("member_key"))
-    return x.withColumn("rn", F.row_number().over(win)).filter(F.col("rn") <= F.lit(int(capacity)))
+def top_rows(x: DataFrame, capacity: int, group_cols) -> DataFrame:
+    """The first ``capacity`` scored rows of every (group, weight), with position ``rn``."""
+    return top_k_per_group(x.filter(F.col("p").isNotNull()), [*group_cols, "w"],
+                           [F.col("p").desc(), F.col("member_key")], capacity)
 
 
-def prune_bounds(df: DataFrame, capacity: int, fraction, group_cols=GROUP,
+def prune_bounds(df: DataFrame, capacity: int, fraction: float = PRUNE_FRACTION, group_cols=GROUP,
                  step: int = WEIGHT_STEP, seed: int = SEED) -> DataFrame:
     """Per group, an array of (w, bound) with bound <= the true K-th best priority.
 
-    ``fraction`` is one sampling fraction, or a dict of fractions per value of
-    the (single) group column.  A group gets a row only if its sample held at
-    least K scored members at every weight; other groups are not pruned.
+    A group gets a row only if its sample held at least K scored members at
+    every weight; other groups are not pruned.
     """
     n_weights = len(range(0, 101, step))
-    rows = df.select(*group_cols, *SWEEP_COLUMNS)
-    if isinstance(fraction, dict):
-        smp = rows.sampleBy(group_cols[0], fractions=fraction, seed=seed)
-    else:
-        smp = rows.sample(fraction=fraction, seed=seed)
-    scored = weight_priorities(smp, group_cols, step).filter(F.col("p").isNotNull())
-    top = _top_k(scored, capacity, group_cols)
+    smp = df.select(*group_cols, *SWEEP_COLUMNS).sample(fraction=fraction, seed=seed)
+    top = top_rows(weight_priorities(smp, group_cols, step), capacity, group_cols)
     per_w = top.groupBy(*group_cols, "w").agg(F.min("p").alias("bound"), F.count("*").alias("n"))
     return (per_w.groupBy(*group_cols)
             .agg(F.sort_array(F.collect_list(F.struct("w", "bound"))).alias("bounds"),
@@ -86,8 +83,8 @@ def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT
     tied with the bound is kept.  (An OR of 51 inlined comparisons was tried:
     it outgrows the generated-method size limit and runs slower.)
     """
-    # one row per group of the driver-side scenario list: bounded broadcast
-    j = df.join(F.broadcast(bounds), list(group_cols), "left")
+    # one row per group; the optimizer broadcasts it when it is small
+    j = df.join(bounds, list(group_cols), "left")
     # Cheap necessary test first (compiled): priority is linear in the weight,
     # so its largest value over the weights is at an end (0 or 100); a row
     # whose ends stay below the smallest bound, by more than any rounding
@@ -99,39 +96,25 @@ def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT
     return j.filter(keep).drop("bounds", "min_bound")
 
 
-def _sample_fraction(group_rows: float, capacity: int) -> float:
-    """Aim the sample at about PRUNE_SAMPLE_FACTOR * sqrt(K * n) rows of a group."""
-    return min(1.0, PRUNE_SAMPLE_FACTOR * math.sqrt(capacity / max(group_rows, 1.0)))
+def pruned_priorities(df: DataFrame, capacity: int, step: int = WEIGHT_STEP, group_cols=GROUP,
+                      fraction: float = PRUNE_FRACTION) -> DataFrame:
+    """Rows of ``weight_priorities`` that can reach a top-K (all that do are there)."""
+    group_cols = list(group_cols)
+    base = df.select(*group_cols, *SWEEP_COLUMNS)
+    if group_cols:
+        base = prune(base, prune_bounds(base, capacity, fraction, group_cols, step), group_cols, step)
+    return weight_priorities(base, group_cols, step)
 
 
 def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int = WEIGHT_STEP,
-                   group_cols=GROUP, prune_mode: str | bool = "auto") -> DataFrame:
+                   group_cols=GROUP, fraction: float = PRUNE_FRACTION) -> DataFrame:
     """One row per (scenario, weight): captured ROI and at-risk members reached.
 
     ROI is summed as decimal, so equal top-K sets give equal sums whatever the
     summation order; it is reported as a double rounded to 4 places.
-    ``prune_mode``: "auto" prunes when the weight fan-out would exceed
-    PRUNE_MIN_ROWS rows, True always, False never (results are the same).
     """
     group_cols = list(group_cols)
-    base = df.select(*group_cols, *SWEEP_COLUMNS)
-    if prune_mode:
-        n_weights = len(range(0, 101, step))
-        # one small job: rows per group (one row per scenario of the parameter list)
-        sizes = ([(tuple(r[c] for c in group_cols), r["count"])
-                  for r in base.groupBy(*group_cols).count().collect()]
-                 if group_cols else [((), base.count())])
-        n = sum(c for _, c in sizes)
-        if prune_mode is True or n * n_weights > PRUNE_MIN_ROWS:
-            if len(group_cols) == 1:
-                frac = {g[0]: _sample_fraction(c, capacity) for g, c in sizes}
-                worth = prune_mode is True or min(frac.values()) < 1.0
-            else:
-                frac = _sample_fraction(n / max(len(sizes), 1), capacity)
-                worth = prune_mode is True or frac < 1.0
-            if worth:
-                base = prune(base, prune_bounds(base, capacity, frac, group_cols, step), group_cols, step)
-    top = _top_k(weight_priorities(base, group_cols, step), capacity, group_cols)
+    top = top_rows(pruned_priorities(df, capacity, step, group_cols, fraction), capacity, group_cols)
     return (top.groupBy(*group_cols, F.col("w").cast("int").alias("Risk_Weight_Pct"))
             .agg(F.sum(F.col("Net_ROI").cast("decimal(38,8)")).alias("_roi"),
                  F.count_if(at_risk_flag()).cast("long").alias("At_Risk_Reached"))

@@ -18,18 +18,19 @@ from retentio.constants import (
     DEFAULT_CAPACITY, DEFAULT_MANUAL_WEIGHT, FEATURES, SCENARIOS,
 )
 from retentio.functions.scalar import (
-    clip, member_id, min_max_scale, money_text, percent, round_even, tenure_band,
+    allocation_text, clip, member_id, min_max_scale, money_text, percent, round_even, tenure_band,
 )
 from retentio.operators import learn, report
 from retentio.operators.brief import brief, importance_chart
-from retentio.operators.decide import best_channel, decide, with_scenarios
+from retentio.operators.decide import best_channel, decide, decide_scenarios, with_scenarios
 from retentio.operators.population import loyalty_weight_expr, population_scalars, priority_expr
-from retentio.operators.rank import top_k_per_group
-from retentio.operators.scenarios import scenario_decisions, scenario_summary, score_scenarios
+from retentio.operators.scenarios import (
+    scenario_decisions, scenario_summary, scenario_targets, score_scenarios, scored_at_optimum, target_flags,
+)
 from retentio.operators.sweep import (
-    optimal_weight, tradeoff_curve, weight_priorities, with_objective,
+    optimal_weight, pruned_priorities, top_rows, tradeoff_curve, weight_priorities, with_objective,
 )
-from retentio.session import fanout_partitions, materialize
+from retentio.session import materialize
 from retentio.sources.members import drop_unused, member_table
 
 BASE = (SCENARIOS[1],)
@@ -46,21 +47,26 @@ def members(spark, sf):
 
 
 def _members_for(spark, sf, how: str):
-    return materialize(members(spark, sf), how, fanout_partitions(spark) if how != "none" else None)
+    return materialize(members(spark, sf), how)
+
 
+def base_decisions(spark, sf):
+    """Base-margin decisions: row-local columns only, so one pass over the orders."""
+    return decide_scenarios(members(spark, sf), BASE)
 
-def base_decisions(spark, sf, how: str = "none"):
-    """Base-margin decisions; ``how`` materialises the member table under them."""
-    return scenario_decisions(_members_for(spark, sf, how), BASE)
 
+def all_decisions(spark, sf):
+    return decide_scenarios(members(spark, sf), SCENARIOS)
 
-def all_decisions(spark, sf, how: str = "none"):
-    return scenario_decisions(_members_for(spark, sf, how), SCENARIOS)
+
+def scored_decisions(spark, sf, scenarios=BASE, how: str | None = "none"):
+    """Decisions with the population's scalars (loyalty weight, normalised value)."""
+    return scenario_decisions(_members_for(spark, sf, how), scenarios)
 
 
 def _base_report(spark, sf):
     """Base-margin decisions over a materialised member table (the sweep and the lists both read it)."""
-    dec = base_decisions(spark, sf, None)
+    dec = scored_decisions(spark, sf, BASE, None)
     best = optimal_weight(tradeoff_curve(dec, K))
     return dec, best
 
@@ -104,12 +110,14 @@ def p3_scored_columns(spark, sf):
 
 
 def p6_scenario_constants(spark, sf):
-    t = _scenario_table(spark, sf)
-    return t.select("Scenario", "Scenario_Interchange_Pct", "Optimal_Risk_Weight_Pct").distinct()
+    margin = F.element_at(F.create_map(*[F.lit(x) for pair in SCENARIOS for x in pair]), F.col("Scenario"))
+    best = optimal_weight(d9_tradeoff_curve(spark, sf)).withColumn("margin", margin)
+    return best.select("Scenario", percent("margin").alias("Scenario_Interchange_Pct"), "Optimal_Risk_Weight_Pct")
 
 
 def p7_allocation_text(spark, sf):
-    return _scenario_table(spark, sf).select("Scenario", "Recommended_Allocation").distinct()
+    best = optimal_weight(d9_tradeoff_curve(spark, sf))
+    return best.select("Scenario", allocation_text("Optimal_Risk_Weight_Pct").alias("Recommended_Allocation"))
 
 
 def p8_tier_alias(spark, sf):
@@ -147,8 +155,8 @@ def b4_at_risk(spark, sf):
 
 
 def b5_target_rows(spark, sf):
-    t = _scenario_table(spark, sf)
-    return (t.filter((F.col("Scenario") == F.lit(BASE[0][0])) & F.col("In_Target_List"))
+    t = scenario_targets(members(spark, sf), BASE, K)
+    return (t.filter(F.col("In_Target_List"))
             .select("Customer_ID", "Recommended_Action", "Net_ROI"))
 
 
@@ -177,18 +185,17 @@ def j1_member_scenarios(spark, sf):
 
 
 def j2_member_weights(spark, sf):
-    d = base_decisions(spark, sf)
+    d = scored_decisions(spark, sf)
     return weight_priorities(d, ["Scenario"], 2).select("member_key", F.col("w").alias("Risk_Weight_Pct"),
                                               F.col("p").alias("Priority_Score"))
 
 
 def j3_population_scalars(spark, sf):
-    return base_decisions(spark, sf).select("member_key", "Normalized_Value", "Loyalty_Weight")
+    return scored_decisions(spark, sf).select("member_key", "Normalized_Value", "Loyalty_Weight")
 
 
 def j4_best_weight(spark, sf):
-    t = _scenario_table(spark, sf, full=True)
-    return t.select("member_key", "Scenario", "Optimal_Risk_Weight_Pct", "Priority_Score")
+    return scored_at_optimum(members(spark, sf), SCENARIOS, K).select("member_key", "Scenario", "Optimal_Risk_Weight_Pct", "Priority_Score")
 
 
 # ---- 2.5 aggregates --------------------------------------------------------
@@ -244,7 +251,7 @@ def a10_tenure_mix(spark, sf):
 
 
 def a11_scenario_summary(spark, sf):
-    return scenario_summary(_scenario_table(spark, sf))
+    return scenario_summary(scenario_targets(members(spark, sf), SCENARIOS, K))
 
 
 def a12_target_kpis(spark, sf):
@@ -260,7 +267,7 @@ def a14_population_age(spark, sf):
 
 
 def d9_tradeoff_curve(spark, sf):
-    return tradeoff_curve(all_decisions(spark, sf, None), K)
+    return tradeoff_curve(scored_decisions(spark, sf, SCENARIOS, None), K)
 
 
 def a16_objective(spark, sf):
@@ -280,9 +287,8 @@ def w1_global_rank(spark, sf):
 
 
 def w2_top_k_per_weight(spark, sf):
-    d = all_decisions(spark, sf, None)
-    x = weight_priorities(d, ["Scenario"], 2)
-    top = top_k_per_group(x, ["Scenario", "w"], [F.col("p").desc_nulls_last(), F.col("member_key")], K)
+    d = scored_decisions(spark, sf, SCENARIOS, None)
+    top = top_rows(pruned_priorities(d, K), K, ["Scenario"])
     return top.select("Scenario", F.col("w").alias("Risk_Weight_Pct"), "member_key",
                       F.col("rn").cast("int").alias("Position"))
 
@@ -293,7 +299,7 @@ def d11_target_list(spark, sf):
 
 
 def w4_target_flag(spark, sf):
-    return _scenario_table(spark, sf).select("Customer_ID", "Scenario", "In_Target_List")
+    return target_flags(members(spark, sf), SCENARIOS, K)
 
 
 def d16_expected_loss_priority(spark, sf):
@@ -422,7 +428,7 @@ def d7_loyalty_weight(spark, sf):
 
 
 def d8_priority(spark, sf):
-    return base_decisions(spark, sf).select("member_key", priority_expr(MANUAL_W).alias("Priority_Score"))
+    return scored_decisions(spark, sf).select("member_key", priority_expr(MANUAL_W).alias("Priority_Score"))
 
 
 def d12_compare_strategies(spark, sf):

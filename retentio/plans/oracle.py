@@ -9,7 +9,7 @@ divisor, since DuckDB returns inf/NaN there.
 
 from __future__ import annotations
 
-from retentio.constants import SCENARIOS
+from retentio.constants import FEATURES, SCENARIOS
 from retentio.plans.oracle_base import with_members
 
 K = 100
@@ -28,6 +28,7 @@ def _scen(scenarios) -> str:
 def _dec_ctes(scenarios, loyalty: float = 0.0) -> tuple[str, ...]:
     """Decision chain D1-D7 + normalised value for the given scenarios."""
     tgt = "tn" if loyalty >= 0 else "(1 - tn)"
+    weight = f"1e0 + {abs(float(loyalty))!r}e0*0.5e0*{tgt}" if loyalty else "1e0"
     return (
         _scen(scenarios),
         """d1 as (
@@ -72,13 +73,13 @@ def _dec_ctes(scenarios, loyalty: float = 0.0) -> tuple[str, ...]:
   from d6 group by Scenario)""",
         """dec0 as (
   select d6.*,
-    case when pop.pop_max_mob - pop.pop_min_mob = 0 then null
+    case when pop.pop_max_mob - pop.pop_min_mob = 0 then 0e0
          else (Months_on_book - pop.pop_min_mob)/(pop.pop_max_mob - pop.pop_min_mob) end as tn,
     case when pop.pop_max_value = 0 then null else Total_Account_Value / pop.pop_max_value end
       as Normalized_Value
   from d6 join pop using (Scenario))""",
         f"""dec as (
-  select *, 1e0 + {abs(float(loyalty))!r}e0*0.5e0*{tgt} as Loyalty_Weight from dec0)""",
+  select *, {weight} as Loyalty_Weight from dec0)""",
     )
 
 
@@ -118,7 +119,7 @@ TABLE_CTES = (
   from dec join best using (Scenario))""",
     """scored as (
   select *, cast(row_number() over (partition by Scenario order by Priority_Score desc nulls last, member_key)
-                 as integer) as Priority_Rank
+                 as bigint) as Priority_Rank
   from ranked)""",
     f"""tab as (
   select Scenario, margin*100e0 as Scenario_Interchange_Pct, Optimal_Risk_Weight_Pct,
@@ -159,7 +160,7 @@ BAND_CASE = """case when Months_on_book > 0 and Months_on_book <= 24 then 'New (
          when Months_on_book > 36 and Months_on_book <= 48 then '3-4y'
          when Months_on_book > 48 and Months_on_book <= 100 then 'Loyal (4y+)' end"""
 
-TEST_FLAG = "(((member_key % 1000003) + 42) % 1000003) * 2654435761 % 1000 < 200"
+TEST_FLAG = "('0x' || substr(md5('42:' || member_key), 1, 8))::BIGINT % 10000 < 2000"
 RULE_PRED = "case when Churn_Risk_Score > 0.5e0 then 1e0 else 0e0 end"
 
 
@@ -365,5 +366,11 @@ from (select max(Optimal_Risk_Weight_Pct) w, cast(sum(cast(Net_ROI as decimal(38
   {_r('case when mx = 0 then null else Expected_Loss / mx end * 100', 1)} Priority_Score
 from (select member_key, Churn_Risk_Score * Total_Trans_Amt Expected_Loss,
              max(Churn_Risk_Score * Total_Trans_Amt) over () mx from members)"""),
+    # frequency order, ties by name
+    "L1_index_tier": with_members("""select member_key, Card_Category, cast(i as double) Card_Tier_Index
+from members join (select Card_Category, row_number() over (order by count(*) desc, Card_Category) - 1 as i
+                   from members group by Card_Category) using (Card_Category)"""),
+    "L2_assemble": with_members("select member_key, [" + ", ".join(f"cast({c} as double)" for c in FEATURES)
+                                + "] as features from members"),
     "L3_split": with_members(f"select member_key, {TEST_FLAG} as is_test from members"),
 }

@@ -8,6 +8,7 @@ checkpoint folder, and only when the session names none (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,14 +41,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names; set a scratch one only if unset."""
+    """Return the checkpoint folder the cluster names; a local master gets a scratch one if unset.
+
+    A machine-local folder is not shared by the executors of a cluster, so
+    there an unset ``spark.checkpoint.dir`` is an error.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local tests only: a cluster always names a shared folder.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="retentio-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
@@ -80,7 +86,15 @@ def default_materialize(spark: SparkSession) -> str:
     return spark.conf.get(MATERIALIZE_CONF, "table")
 
 
-def materialize(df: DataFrame, how: str | None = None, min_partitions: int | None = None) -> DataFrame:
+def remove_written_tables(spark: SparkSession) -> None:
+    """Remove the tables this application has written; DataFrames on them can't be read any more."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/retentio-tables/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
     """Cut lineage of a table that several later stages read.
 
     ``how=None`` uses the session default (:func:`default_materialize`).
@@ -90,45 +104,18 @@ def materialize(df: DataFrame, how: str | None = None, min_partitions: int | Non
     same folder (row format); either way a lost executor does not send the
     recompute back to the raw scans.  ``persist`` keeps it in executor
     memory/disk (recomputed from lineage on loss); ``none`` leaves the plan lazy.
-
-    ``min_partitions``: a materialised table with fewer partitions than this
-    (a small table that adaptive execution packed into few tasks) is spread
-    round-robin and materialised again, so a fan-out downstream (the weight
-    sweep) runs in parallel without each reader repeating the shuffle.
-    Large tables already have enough partitions and are left as they are.
     """
     how = how or default_materialize(df.sparkSession)
     if how == "table":
-        store = written_table
-    elif how == "checkpoint":
+        return written_table(df)
+    if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        store = lambda d: d.checkpoint(eager=True)
-    elif how == "persist":
-        store = lambda d: d.persist(StorageLevel.MEMORY_AND_DISK)
-    elif how == "none":
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "none":
         return df
-    else:
-        raise ValueError(f"unknown materialize mode: {how}")
-    out = store(df)
-    if min_partitions and out.rdd.getNumPartitions() < min_partitions:
-        # few partitions means a small table: spread it once and keep the
-        # spread copy, so no reader repeats the shuffle
-        out = store(out.repartition(int(min_partitions)))
-    return out
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
-# A materialised table with fewer partitions than this is spread before a
-# fan-out.  Capped, so on a large cluster a big table that already has a few
-# hundred partitions is never reshuffled just to match the core count.
-FANOUT_MIN_PARTITIONS_CAP = 200
-
-
-def fanout_partitions(spark: SparkSession) -> int:
-    return min(default_parallelism(spark), FANOUT_MIN_PARTITIONS_CAP)
+    raise ValueError(f"unknown materialize mode: {how}")
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -30,18 +30,13 @@ SCORED_SCHEMA = T.StructType(
 SCORED_COLUMNS = tuple(f.name for f in SCORED_SCHEMA.fields)
 
 
-def read_scored(spark: SparkSession, path: str, fmt: str | None = None,
+def read_scored(spark: SparkSession, path: str, fmt: str = "csv",
                 schema: T.StructType = SCORED_SCHEMA) -> DataFrame:
-    """Scored members: CSV (header, declared schema) or Parquet.
-
-    ``fmt`` defaults to CSV for a ``.csv`` path and Parquet otherwise.
-    """
-    fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
+    """Scored members: CSV (header, declared schema) as :func:`write_scored` writes it, or Parquet."""
     if fmt != "csv":
         return read_table(spark, path, fmt=fmt)
     # CSV columns bind by position: check the header names against the schema
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .csv(path))
+    return read_table(spark, path, fmt="csv", schema=schema, enforceSchema=False)
 
 
 def write_scored(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -54,12 +49,12 @@ def write_scored(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_scenarios(table: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """The scenario table, one folder per scenario (readers prune by scenario)."""
-    w = table.write.mode(mode).partitionBy("Scenario")
+    """The scenario table: one tidy CSV with a ``Scenario`` column (a folder of parts,
+    each with the header), or Parquet in one folder per scenario (readers prune by scenario)."""
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        table.write.mode(mode).option("header", True).csv(path)
     else:
-        w.parquet(path)
+        table.write.mode(mode).partitionBy("Scenario").parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -75,5 +70,4 @@ def read_metrics(spark: SparkSession, path: str, multiline: bool | None = None)
     """
     if multiline is None:
         multiline = path.endswith(".json")
-    return (spark.read.schema(METRICS_SCHEMA).option("multiLine", multiline)
-            .json(path))
+    return read_table(spark, path, fmt="json", schema=METRICS_SCHEMA, multiLine=multiline)

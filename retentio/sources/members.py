@@ -9,6 +9,7 @@ so no feature sees the label period.
 
 from __future__ import annotations
 
+import csv
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,30 +79,40 @@ def _ts(text: str):
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: T.StructType | None = None, header: bool = True) -> DataFrame:
-    """Scan a table; a missing path raises MissingInputError naming it."""
+               schema: T.StructType | None = None, header: bool = True, **options) -> DataFrame:
+    """Scan a table (``options`` go to the reader); a missing path raises MissingInputError naming it."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", header)
     try:
-        return reader.format(fmt).load(path)
+        return reader.options(**options).format(fmt).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise MissingInputError(f"input not found: {path}") from exc
         raise
 
 
-def read_member_csv(spark: SparkSession, path: str,
-                    schema: T.StructType = RAW_MEMBER_SCHEMA) -> DataFrame:
-    """Raw member file with a declared schema: no inference pass, stable types.
+def read_member_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_MEMBER_SCHEMA,
+                    fmt: str = "csv") -> DataFrame:
+    """Raw member file or folder of parts, columns bound by name.
 
-    Columns not in the schema are not read (CSV is positional, so a file with
-    more columns must be read with its full schema; Parquet prunes by name).
+    CSV columns bind by position, so the header is read first (one line) and
+    gives the order; names in ``schema`` get its types, others are read as
+    text and dropped.  A name of the schema that the header lacks is an error.
+    ``fmt`` is "csv" or "parquet".
     """
-    fmt = "csv" if path.endswith(".csv") else "parquet"
-    return read_table(spark, path, fmt=fmt, schema=schema if fmt == "csv" else None)
+    if fmt != "csv":
+        return read_table(spark, path, fmt=fmt)
+    lines = read_table(spark, path, fmt="text").limit(1).collect()
+    header = next(csv.reader([lines[0][0]])) if lines else []
+    known = {f.name: f.dataType for f in schema.fields}
+    missing = [n for n in known if n not in header]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    layout = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
+    return read_table(spark, path, fmt="csv", schema=layout, enforceSchema=False).select(*known)
 
 
 def drop_unused(df: DataFrame, columns=DROP_COLUMNS, keep_key: str | None = "CLIENTNUM") -> DataFrame:

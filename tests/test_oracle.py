@@ -9,16 +9,11 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from retentio.plans.oracle import SQL
 from tests.conftest import SF0001
 
-# the model ids are checked by bounds in test_io_learn.py; here only a
-# representative slice runs to keep the suite quick (tools/check_oracle.py
-# runs every id)
-FAST = ["S8_preview", "P1_drop_columns", "P9_member_id", "B7_email_fallback", "J1_member_scenarios",
-        "A3_class_weights", "A4_confusion", "A5_precision_recall", "A10_tenure_mix", "A11_scenario_summary",
-        "D5_action_summary", "D9_tradeoff_curve", "D10_optimal_weight", "D12_compare_strategies",
-        "D13_fairness_check", "D15_score_scenarios", "D16_expected_loss_priority", "F10_money_text",
-        "F13_loyalty_direction", "U1_union_scenarios", "W2_top_k_per_weight", "L3_split"]
+# every id that has SQL; the model ids are checked by bounds in test_io_learn.py
+CHECKED = [k for k in SQL if k in queries()]
 
 
 def _norm(v):
@@ -56,7 +51,7 @@ def test_entry_runs(spark):
     assert sum(r.Members for r in rows) == 150
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_oracle(spark, con, name):
     sdf = queries()[name](spark, SF0001)
     cols = sorted(sdf.columns)

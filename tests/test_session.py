@@ -4,17 +4,27 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
+import pytest
 
 from retentio.session import MATERIALIZE_CONF, default_materialize, ensure_checkpoint_dir, materialize
 
 
-def test_small_table_is_spread_once(spark):
-    df = spark.range(1000).coalesce(1).withColumn("x", F.col("id") * 2)
-    for how in ("table", "checkpoint"):
-        out = materialize(df, how, min_partitions=4)
-        assert out.rdd.getNumPartitions() >= 4
-        assert sorted(r.id for r in out.select("id").collect()) == list(range(1000))
+def test_tables_can_be_removed(spark):
+    import subprocess
+    import sys
+    code = ("from retentio.session import *; s = local_session(1); t = written_table(s.range(3)); n = t.count();"
+            "remove_written_tables(s); f = t.inputFiles()[0].split(':', 1)[-1]; print(n, os.path.exists(f))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split()[-2:] == ["3", "False"], out.stderr[-500:]
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace as N
+    unset = N(isDefined=lambda: False)
+    sc = N(_jsc=N(sc=lambda: N(getCheckpointDir=lambda: unset)), master="yarn", getConf=lambda: N(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(N(sparkContext=sc))
 
 
 def test_tables_live_under_the_checkpoint_folder(spark):
@@ -39,6 +49,6 @@ def test_member_reader_parquet_branch(spark, members_small, scratch):
     from retentio.sources.members import read_member_csv
     path = os.path.join(scratch, "members_parquet")
     members_small.write.parquet(path)
-    back = read_member_csv(spark, path)
+    back = read_member_csv(spark, path, fmt="parquet")
     assert back.count() == members_small.count()
     assert "member_key" in back.columns

@@ -60,8 +60,8 @@ def test_curve_matches_brute_force(spark, members_small):
 @pytest.mark.parametrize("capacity", [5, 20, 400])
 def test_prune_is_exact(spark, members_small, capacity):
     dec = scenario_decisions(members_small, SCENARIOS)
-    a = tradeoff_curve(dec, capacity, prune_mode=False).orderBy("Scenario", "Risk_Weight_Pct").collect()
-    b = tradeoff_curve(dec, capacity, prune_mode=True).orderBy("Scenario", "Risk_Weight_Pct").collect()
+    a = tradeoff_curve(dec, capacity, fraction=0.0).orderBy("Scenario", "Risk_Weight_Pct").collect()
+    b = tradeoff_curve(dec, capacity, fraction=0.5).orderBy("Scenario", "Risk_Weight_Pct").collect()
     assert a == b
 
 
@@ -113,20 +113,52 @@ def test_scenario_table_properties(spark, members_small):
     t.unpersist()
 
 
-def test_one_tenure_for_all_gives_null_weight(spark):
+def test_one_tenure_for_all_counts_as_tenure_zero(spark):
     from retentio.operators.population import with_population
     df = spark.createDataFrame([("s", 1, 30, 10.0), ("s", 2, 30, 20.0), ("s", 3, 30, 5.0)],
                                "Scenario string, member_key long, Months_on_book int, Total_Account_Value double")
     out = with_population(df, loyalty=0.5).collect()
-    assert all(r.Loyalty_Weight is None for r in out)
+    assert all(r.Loyalty_Weight == 1.0 for r in out)
+    for loyalty, weight in ((0.0, 1.0), (-0.5, 1.25)):
+        assert {r.Loyalty_Weight for r in with_population(df, loyalty=loyalty).collect()} == {weight}
     assert sorted(r.Normalized_Value for r in out) == [0.25, 0.5, 1.0]
 
 
-def test_partial_group_limit_planned_above_default_threshold(spark, capsys):
+@pytest.mark.parametrize("loyalty", [-0.5, 0.0, 0.5])
+def test_suppressed_last_and_unscored_in_no_list(spark, members_small, loyalty):
+    flat = members_small.withColumn("Months_on_book", F.lit(30)).withColumn(
+        "Churn_Risk_Score", F.when(F.col("member_key") % 10 == 0, F.lit(None)).otherwise(F.col("Churn_Risk_Score")))
+    n = flat.count()
+    rows = score_scenarios(flat, BASE, capacity=n, loyalty=loyalty, full=True).collect()
+    unscored = [r.Priority_Rank for r in rows if r.Priority_Score is None]
+    dogs = [r.Priority_Rank for r in rows if r.Is_Sleeping_Dog]
+    others = [r.Priority_Rank for r in rows if r.Priority_Score is not None and not r.Is_Sleeping_Dog]
+    assert max(others) < min(dogs) and max(dogs) < min(unscored)
+    assert not any(r.In_Target_List for r in rows if r.Priority_Score is None)
+    assert {r.Recommended_Action for r in rows if r.Priority_Score is None} == {"Not Scored"}
+
+
+def test_row_local_queries_read_the_lines_once(spark):
+    from retentio.plans import catalog
+    from tests.conftest import SF0001
+    for q in (catalog.d1_account_value, catalog.d5_best_action, catalog.b3_sleeping_dogs, catalog.w8_best_channel,
+              catalog.f4_round_even, catalog.a14_population_age):
+        plan = q(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReadSchema: struct<l_") == 1, q.__name__
+
+
+def test_no_range_shuffle_where_no_rank_is_asked(spark):
+    from retentio.plans import catalog
+    from tests.conftest import SF0001
+    for q in (catalog.p6_scenario_constants, catalog.p7_allocation_text, catalog.b5_target_rows,
+              catalog.a11_scenario_summary, catalog.w4_target_flag, catalog.j4_best_weight):
+        assert "rangepartitioning" not in q(spark, SF0001)._jdf.queryExecution().executedPlan().toString(), q.__name__
+
+
+def test_large_capacity_changes_no_setting(spark):
     from retentio.operators.rank import top_k_per_group
     df = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"))
-    top = top_k_per_group(df, ["g"], [F.col("k").desc()], 1500)
-    top.explain()
-    plan = capsys.readouterr().out
-    assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert top.count() == 3 * 1500
+    before = dict(spark.conf.getAll)
+    top = top_k_per_group(df, ["g"], [F.col("k").desc()], 1500, key="k")
+    assert top.count() == 3 * 1500 and top.agg(F.max("rn")).first()[0] == 1500
+    assert dict(spark.conf.getAll) == before
