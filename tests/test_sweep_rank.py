@@ -144,7 +144,7 @@ def test_row_local_queries_read_the_lines_once(spark):
     for q in (catalog.d1_account_value, catalog.d5_best_action, catalog.b3_sleeping_dogs, catalog.w8_best_channel,
               catalog.f4_round_even, catalog.a14_population_age):
         plan = q(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("ReadSchema: struct<l_") == 1, q.__name__
+        assert plan.count("FileScan parquet [l_") == 1, (q.__name__, plan)
 
 
 def test_no_range_shuffle_where_no_rank_is_asked(spark):
