@@ -469,8 +469,9 @@ def l1_index_tier(spark, sf):
 
 
 def l2_assemble(spark, sf):
+    values = vector_to_array("features")
     return learn.assemble(members(spark, sf)).select(
-        "member_key", vector_to_array("features").alias("features"))
+        "member_key", *[values[i].alias(f"feature_{i}") for i in range(len(FEATURES))])
 
 
 def l3_split(spark, sf):

@@ -370,7 +370,7 @@ from (select member_key, Churn_Risk_Score * Total_Trans_Amt Expected_Loss,
     "L1_index_tier": with_members("""select member_key, Card_Category, cast(i as double) Card_Tier_Index
 from members join (select Card_Category, row_number() over (order by count(*) desc, Card_Category) - 1 as i
                    from members group by Card_Category) using (Card_Category)"""),
-    "L2_assemble": with_members("select member_key, [" + ", ".join(f"cast({c} as double)" for c in FEATURES)
-                                + "] as features from members"),
+    "L2_assemble": with_members("select member_key, " + ", ".join(
+        f"cast({c} as double) as feature_{i}" for i, c in enumerate(FEATURES)) + " from members"),
     "L3_split": with_members(f"select member_key, {TEST_FLAG} as is_test from members"),
 }
