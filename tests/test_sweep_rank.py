@@ -140,10 +140,10 @@ def test_suppressed_last_and_unscored_in_no_list(spark, members_small, loyalty):
 
 def test_row_local_queries_read_the_lines_once(spark):
     from retentio.plans import catalog
-    from tests.conftest import SF0001
+    from tests.conftest import SF001  # not the folder a fixture caches
     for q in (catalog.d1_account_value, catalog.d5_best_action, catalog.b3_sleeping_dogs, catalog.w8_best_channel,
               catalog.f4_round_even, catalog.a14_population_age):
-        plan = q(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        plan = q(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet [l_") == 1, (q.__name__, plan)
 
 
