@@ -59,9 +59,9 @@ def escape_role(c: Column) -> Column:
 
 
 def unescape_role(c: Column) -> Column:
-    """Undoes ``escape_role``; the marker stands for an escaped backslash meanwhile."""
-    back = F.replace(unescape(c), F.lit("\\\\"), F.lit("\u0000"))
-    return F.replace(F.replace(back, F.lit("\\n"), F.lit("\n")), F.lit("\u0000"), F.lit("\\"))
+    """Undoes ``escape_role``: between escaped backslashes only line breaks are left to undo."""
+    parts = F.split(unescape(c), r"\\\\")
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def turns(rows: DataFrame) -> DataFrame:
