@@ -62,27 +62,26 @@ def held_out_expr(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame | None, need: list[str], limit: int,
-                  condition=None, seed: int = 42) -> list:
+def training_rows(docs: DataFrame, columns: list[str], limit: int, labels: DataFrame | None = None,
+                  label: str | None = None, condition=None, seed: int = 42) -> list:
     """At most ``limit`` labelled rows, chosen by a hash of doc_id (documented bound of a fit).
 
-    Only ids are ordered; the texts of the chosen ids are then read with an
-    ``isin`` filter.  A doc_id that occurs twice keeps one row.
+    ``columns`` come from ``docs`` and ``label`` from ``labels``, whatever else
+    the two hold.  Only ids are ordered; the rows of the chosen ids are then
+    read with an ``isin`` filter.  A doc_id that occurs more than once gives its
+    smallest row, before anything reaches the driver.
     """
-    source = docs if labels is None else labels
-    ids = source.where(F.col("doc_id").isNotNull())
+    ids = (docs if labels is None else labels).where(F.col("doc_id").isNotNull())
     if condition is not None:
         ids = ids.where(condition)
     chosen = [r[0] for r in ids.select("doc_id").distinct()
               .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(limit).collect()]
-    rows = docs.where(F.col("doc_id").isin(chosen))
-    if labels is not None:
-        own = [c for c in need if c in labels.columns]
-        rows = rows.select("doc_id", *[c for c in need if c not in own]).join(
-            F.broadcast(labels.where(F.col("doc_id").isin(chosen)).select("doc_id", *own)
-                        .dropDuplicates(["doc_id"])), "doc_id")
-    got = {r["doc_id"]: r for r in rows.select("doc_id", *need).collect()}
-    return [got[k] for k in sorted(got)]
+    mine = F.col("doc_id").isin(chosen)
+    rows = (ids if labels is None else docs).where(mine).groupBy("doc_id").agg(
+        F.min(F.struct(*columns)).alias("row")).select("doc_id", "row.*")
+    if labels is not None:  # at most ``limit`` rows
+        rows = rows.join(F.broadcast(ids.where(mine).groupBy("doc_id").agg(F.min(label).alias(label))), "doc_id")
+    return sorted(rows.collect(), key=lambda r: r["doc_id"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -183,7 +183,7 @@ def fit_crf(texts: list[bytes], labels: np.ndarray, n_labels: int, epochs: int =
 
 def fit(docs: DataFrame, limit: int = FIT_ROWS):
     """(languages, weights, transitions) from at most ``limit`` rows outside the held-out part."""
-    rows = training_rows(docs.select("doc_id", "text", "lang"), None, ["text", "lang"], limit,
+    rows = training_rows(docs, ["text", "lang"], limit, condition=
                          F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out_expr())
     rows = [r for r in rows if r["text"] and r["lang"] is not None]
     languages = sorted({r["lang"] for r in rows})

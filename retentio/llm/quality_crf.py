@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from retentio.llm.common import byte_slices, ship_package, text_bytes, training_rows
 
@@ -243,7 +244,7 @@ def viterbi(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndar
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS):
     """(emission weights, transitions) from weak line labels of a bounded sample."""
-    rows = training_rows(docs, labels, ["text", "quality"], limit, labels["quality"].isNotNull())
+    rows = training_rows(docs, ["text"], limit, labels, "quality", F.col("quality").isin(0, 1))
     rows = [r for r in rows if r["text"]]
     quality = np.array([r["quality"] for r in rows], dtype=np.int64)
     if len(set(quality.tolist())) < 2:
