@@ -32,7 +32,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents towards the target weights of their sources, globally shuffled."""
-    return poisson_mix.mix(docs).select(*docs.columns)
+    own = [poisson_mix.free_name(docs, c) for c in ("copy_no", "mix_key")]
+    return poisson_mix.mix(docs, copy_no=own[0], mix_key=own[1]).select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

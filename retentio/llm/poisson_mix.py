@@ -17,7 +17,9 @@ the expected number of rows out, by default as many as came in.
 
 Defined cases: a null source is a source of its own; a null doc_id draws like
 the empty id; equal doc_ids draw the same count; sources absent from
-``weights`` get weight 0; an empty table gives an empty result.
+``weights`` get weight 0; an empty table gives an empty result; a column of
+the input that is named like an added one gives way to it (pass other names
+for the added ones to keep it), all others stay.
 """
 
 from __future__ import annotations
@@ -71,30 +73,40 @@ def poisson_cdf(rate: Column) -> Column:
                                         start, step, lambda acc: acc["cdf"])).otherwise(F.array(F.lit(1.0)))
 
 
-def repetitions(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``n_copies``: the Poisson quantile of the document's hashed uniform number."""
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``docs`` is called that."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def repetitions(docs: DataFrame, rates: DataFrame, seed: int = SEED, count: str = "n_copies") -> DataFrame:
+    """``docs`` with ``count``: the Poisson quantile of the document's hashed uniform number."""
+    docs = docs.drop(count)
+    unit, source, cdf = (free_name(docs, c) for c in ("mix_unit", "rate_source", "rate_cdf"))
     rates = written_table(rates)
     cells = rates.agg(F.sum(table_length(F.col("rate")))).first()[0] or 0
-    table = rates.select(F.col("source").alias("rate_source"), poisson_cdf(F.col("rate")).alias("rate_cdf"))
+    table = rates.select(F.col("source").alias(source), poisson_cdf(F.col("rate")).alias(cdf))
     if cells <= BROADCAST_CELLS:  # beyond it the same join is shuffled, and a hot source is split
         table = F.broadcast(table)
-    unit = hash_unit(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return (docs.withColumn("mix_unit", unit)
-            .join(table, F.col("source").eqNullSafe(F.col("rate_source")))
-            .withColumn("n_copies", F.size(F.filter("rate_cdf", lambda p: p <= F.col("mix_unit"))))
-            .drop("rate_source", "rate_cdf", "mix_unit"))
+    drawn = hash_unit(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return (docs.withColumn(unit, drawn)
+            .join(table, F.col("source").eqNullSafe(F.col(source)))
+            .withColumn(count, F.size(F.filter(cdf, lambda p: p <= F.col(unit))))
+            .drop(source, cdf, unit))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: float | None = None,
-        alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """Columns of ``docs`` plus copy_no (from 1) and mix_key, globally shuffled by mix_key."""
+        alpha: float = ALPHA, seed: int = SEED, copy_no: str = "copy_no", mix_key: str = "mix_key") -> DataFrame:
+    """Columns of ``docs`` plus ``copy_no`` (from 1) and ``mix_key``, globally shuffled by ``mix_key``."""
     spark = docs.sparkSession
-    clash = {"copy_no", "mix_key", "mix_unit", "n_copies", "rate_source", "rate_cdf"}
-    docs = docs.drop(*[c for c in docs.columns if c in clash])
-    drawn = repetitions(docs, source_rates(docs, weights, total, alpha), seed).where("n_copies > 0")
-    copies = drawn.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
+    docs = docs.drop(copy_no, mix_key)
+    count = free_name(docs, "n_copies")
+    drawn = repetitions(docs, source_rates(docs, weights, total, alpha), seed, count).where(F.col(count) > 0)
+    copies = drawn.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(copy_no))
     key = hash_unit(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                    F.col("copy_no").cast("string"))
+                    F.col(copy_no).cast("string"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (copies.withColumn("mix_key", key).repartition(parts, "mix_key")
-            .sortWithinPartitions("mix_key", "doc_id", "copy_no"))
+    return (copies.withColumn(mix_key, key).repartition(parts, mix_key)
+            .sortWithinPartitions(mix_key, "doc_id", copy_no))
