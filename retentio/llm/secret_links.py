@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -60,19 +61,30 @@ def _random_looking(s: str) -> bool:
             and len(set(s)) >= 10)
 
 
-def _near(span: Span, others: list[Span], starts: list[int], text: str, reach: int) -> list[Span]:
-    """Members of ``others`` (sorted by start) within ``SCOPE`` of ``span`` and no blank line between.
+class _Intervals:
+    """Spans sorted by start, with the largest end so far: neighbours by binary search."""
 
-    ``reach`` is the longest of the others, so that one which began earlier is not missed.
-    """
-    lo = bisect_left(starts, span[0] - SCOPE - reach)
-    hi = bisect_right(starts, span[1] + SCOPE)
-    out = []
-    for o in others[lo:hi]:
-        a, b = min(span[1], o[1]), max(span[0], o[0])
-        if o[:2] != span[:2] and b - a <= SCOPE and "\n\n" not in text[a:b]:
-            out.append(o)
-    return out
+    def __init__(self, spans):
+        self.spans = sorted(spans)
+        self.starts = [s[0] for s in self.spans]
+        self.reach = list(accumulate((s[1] for s in self.spans), max))
+
+    def between(self, first: int, last: int) -> list[Span]:
+        """Spans that begin at ``last`` or before and may end at ``first`` or after."""
+        return self.spans[bisect_left(self.reach, first):bisect_right(self.starts, last)]
+
+    def near(self, span: Span, text: str) -> list[Span]:
+        """Spans within ``SCOPE`` of ``span`` and no blank line between."""
+        out = []
+        for o in self.between(span[0] - SCOPE, span[1] + SCOPE):
+            a, b = min(span[1], o[1]), max(span[0], o[0])
+            if o[:2] != span[:2] and b - a <= SCOPE and "\n\n" not in text[a:b]:
+                out.append(o)
+        return out
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether a span shares a character with [a, b)."""
+        return any(a < y and x < b for x, y, _ in self.between(a + 1, b - 1))
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
@@ -81,28 +93,23 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     weak_ids = [(m.start(1), m.end(1), "ident") for m in IDENT.finditer(text)] if "id" in text.lower() else []
     if not strong_ids and not weak_ids:
         return []
-    taken = [(a, b) for a, b, _ in base]
-    free = lambda a, b: not any(a < y and x < b for x, y in taken)
-    ids = sorted(strong_ids + [s for s in weak_ids if free(*s[:2])])
+    taken = _Intervals(base)
+    ids = sorted(strong_ids + [s for s in weak_ids if not taken.meets(*s[:2])])
     id_places = {(a, b) for a, b, _ in ids}
-    values = [(m.start(), m.end(), "value") for m in VALUE.finditer(text)
-              if _random_looking(m.group()) and (m.start(), m.end()) not in id_places and free(m.start(), m.end())]
-    values = sorted(values + [s for s in base if s[2] in ("assign", "hex")])
-    starts = [s[0] for s in values]
-    reach = max((s[1] - s[0] for s in values), default=0)
+    weak = [(m.start(), m.end(), "value") for m in VALUE.finditer(text)
+            if _random_looking(m.group()) and (m.start(), m.end()) not in id_places
+            and not taken.meets(m.start(), m.end())]
+    values = _Intervals(weak + [s for s in base if s[2] in ("assign", "hex")])
     pairs, chosen = [], set()
     for i in ids:
-        for v in _near(i, values, starts, text, reach):
+        for v in values.near(i, text):
             chosen |= {i, v}
             pairs.append((min(i[0], v[0]), max(i[1], v[1]), ""))
     if pairs:
-        pairs.sort()
-        ends = [m for m in ENDPOINT.finditer(text)]
-        p_starts = [p[0] for p in pairs]
-        p_reach = max(p[1] - p[0] for p in pairs)
-        for m in ends:
+        scopes = _Intervals(set(pairs))
+        for m in ENDPOINT.finditer(text):
             s = (m.start(), m.end(), "endpoint")
-            if free(*s[:2]) and _near(s, pairs, p_starts, text, p_reach):
+            if not taken.meets(*s[:2]) and scopes.near(s, text):
                 chosen.add(s)
     return [s for s in chosen if s[2] in ("ident", "value", "endpoint")]
 
