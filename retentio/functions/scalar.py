@@ -69,6 +69,16 @@ def pct_text(c: Column | str, places: int = 0) -> Column:
     return F.concat(F.format_number(_c(c) * F.lit(100.0), places), F.lit("%"))
 
 
+def months_text(c: Column | str) -> Column:
+    """Whole months, e.g. 35.6 -> '36 mo'."""
+    return F.concat(F.format_number(_c(c), 0), F.lit(" mo"))
+
+
+def of_capacity_text(n: Column | str, capacity: int) -> Column:
+    """'12 / 100'."""
+    return F.concat(_c(n).cast("string"), F.lit(f" / {int(capacity)}"))
+
+
 def spaced(c: Column | str) -> Column:
     """Underscores to spaces, e.g. feature names on a slide."""
     return F.translate(_c(c), "_", " ")

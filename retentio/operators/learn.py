@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
@@ -134,25 +134,16 @@ def confusion(pred: DataFrame, label: str = LABEL, prediction: str = "prediction
                    F.lit(0.0)).alias("churn_f1"))
 
 
-def evaluator_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """L7-L10 with the MLlib evaluators: ROC-AUC, PR-AUC, accuracy, class-weighted F1."""
-    def binary(metric):
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                             metricName=metric).evaluate(pred)
-
-    def multi(metric):
-        return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                 metricName=metric).evaluate(pred)
-
-    return {"roc_auc": binary("areaUnderROC"), "pr_auc": binary("areaUnderPR"),
-            "accuracy": multi("accuracy"), "f1": multi("f1")}
+def curve_scores(pred: DataFrame, label: str = LABEL, score: str = "rawPrediction",
+                 num_bins: int = 0) -> dict[str, float]:
+    """Areas under the ROC and precision-recall curves (MLlib evaluator).
 
-
-def curve_scores(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """Areas under the ROC and precision-recall curves (MLlib evaluator)."""
+    ``num_bins`` 0 is exact, one point a distinct score; a positive number merges
+    neighbouring scores into about that many points.
+    """
     def binary(metric):
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                             metricName=metric).evaluate(pred)
+        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName=metric,
+                                             numBins=int(num_bins)).evaluate(pred)
 
     return {"roc_auc": binary("areaUnderROC"), "pr_auc": binary("areaUnderPR")}
 

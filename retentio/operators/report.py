@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from retentio.constants import (
     ACTIONS, DEFAULT_CAPACITY, DEFAULT_MANUAL_WEIGHT, FAIRNESS_AGE_GAP, TENURE_BANDS,
 )
-from retentio.functions.scalar import money_text, round_even, tenure_band
+from retentio.functions.scalar import (
+    money_text, months_text, of_capacity_text, pct_text, round_even, tenure_band,
+)
 from retentio.operators.population import priority_expr
 from retentio.operators.rank import top_k
 
@@ -103,9 +105,8 @@ def population_mean_age(dec: DataFrame) -> DataFrame:
     return dec.agg(round_even(F.avg("Customer_Age"), 6).alias("Population_Mean_Age"))
 
 
-def _lists(dec: DataFrame, best: DataFrame, manual_weight: int, capacity: int) -> DataFrame:
-    opt = target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity)
-    man = target_list(dec, int(manual_weight), capacity)
+def tag_lists(opt: DataFrame, man: DataFrame, manual_weight: int) -> DataFrame:
+    """The rows of the optimal and the manual list, tagged with strategy and weight."""
     cols = ["Net_ROI", "Customer_Age", "Live_Priority"]
     return (opt.select(F.lit("optimal").alias("Strategy"),
                        F.col("Optimal_Risk_Weight_Pct").alias("Risk_Weight_Pct"), *cols)
@@ -113,10 +114,18 @@ def _lists(dec: DataFrame, best: DataFrame, manual_weight: int, capacity: int) -
                                     F.lit(int(manual_weight)).alias("Risk_Weight_Pct"), *cols)))
 
 
+def _lists(dec: DataFrame, best: DataFrame, manual_weight: int, capacity: int) -> DataFrame:
+    opt = target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity)
+    return tag_lists(opt, target_list(dec, int(manual_weight), capacity), manual_weight)
+
+
 def compare_strategies(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
-                       capacity: int = DEFAULT_CAPACITY) -> DataFrame:
-    """ROI captured by the optimum and by a manual weight, and the difference."""
-    lists = _lists(dec, best, manual_weight, capacity)
+                       capacity: int = DEFAULT_CAPACITY, lists: DataFrame | None = None) -> DataFrame:
+    """ROI captured by the optimum and by a manual weight, and the difference.
+
+    ``lists``: rows of ``tag_lists``, if the two lists are there already.
+    """
+    lists = _lists(dec, best, manual_weight, capacity) if lists is None else lists
     roi = F.col("Net_ROI").cast("decimal(38,8)")
     agg = lists.agg(
         F.max(F.when(F.col("Strategy") == "optimal", F.col("Risk_Weight_Pct"))).alias("Optimal_Risk_Weight_Pct"),
@@ -134,13 +143,14 @@ def compare_strategies(dec: DataFrame, best: DataFrame, manual_weight: int = DEF
 
 
 def fairness_check(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
-                   capacity: int = DEFAULT_CAPACITY, max_gap: float = FAIRNESS_AGE_GAP) -> DataFrame:
+                   capacity: int = DEFAULT_CAPACITY, max_gap: float = FAIRNESS_AGE_GAP,
+                   lists: DataFrame | None = None) -> DataFrame:
     """Mean age of each target list against the population; alert above ``max_gap``.
 
     The population and both lists go through one aggregate (union of the
     tagged rows), then the two list rows are unpacked.
     """
-    lists = _lists(dec, best, manual_weight, capacity)
+    lists = _lists(dec, best, manual_weight, capacity) if lists is None else lists
     tagged = (dec.select(F.lit("population").alias("Strategy"), F.lit(None).cast("int").alias("Risk_Weight_Pct"),
                          "Customer_Age")
               .unionByName(lists.select("Strategy", "Risk_Weight_Pct", "Customer_Age")))
@@ -190,14 +200,42 @@ def target_profile(tl: DataFrame) -> dict[str, DataFrame]:
     return {"kpis": target_kpis(tl), "by_tier": tier_mix(tl), "by_tenure": tenure_mix(tl)}
 
 
+def profile_table(tl: DataFrame) -> DataFrame:
+    """D14 as one table: (Part, Item, Value) of the KPIs, the card tiers and the tenure bands."""
+    kpis = target_kpis(tl)
+    parts = [kpis.select([F.col(c).cast("double") for c in kpis.columns]).unpivot([], kpis.columns, "Item", "Value")]
+    parts += [mix.toDF("Item", "n").select("Item", F.col("n").cast("double").alias("Value"))
+              for mix in (tier_mix(tl), tenure_mix(tl))]
+    tagged = [p.select(F.lit(name).alias("Part"), "Item", "Value") for name, p in zip(("kpi", "tier", "tenure"), parts)]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+def profile_text(kpis: DataFrame, capacity: int = DEFAULT_CAPACITY) -> DataFrame:
+    """the KPI row as the dashboard prints it."""
+    return kpis.select(
+        pct_text("Avg_Churn_Risk").alias("Avg_Churn_Risk_Text"),
+        months_text("Avg_Tenure_Months").alias("Avg_Tenure_Text"),
+        money_text("Avg_Account_Value", 0).alias("Avg_Account_Value_Text"),
+        money_text("Total_Net_ROI").alias("Total_Net_ROI_Text"),
+        of_capacity_text("High_Touch_Calls", capacity).alias("High_Touch_Calls_Text"))
+
+
+def fairness_text(fairness: DataFrame) -> DataFrame:
+    """one sentence for each strategy, mean ages to one place."""
+    verdict = F.when(F.col("Compliance_Alert"), F.lit("Age gap too wide")).otherwise(F.lit("Age gap within the limit"))
+    return fairness.select("Strategy", F.concat(
+        verdict, F.lit(": target list "), F.format_number("Target_Mean_Age", 1),
+        F.lit(" years, population "), F.format_number("Population_Mean_Age", 1), F.lit(" years")).alias("Fairness_Text"))
+
+
 def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: float = 0.0,
             capacity: int = DEFAULT_CAPACITY, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
             how: str | None = None) -> dict[str, DataFrame]:
     """Every dashboard table for one parameter set (costs, margin, loyalty, capacity, manual weight).
 
-    The member table is materialised once; the curve and the two target lists
-    (small) are kept after first use; every other table is a lazy plan over
-    them (decisions are row-local and recomputed by each reader).
+    The member table, the curve and the two target lists are stored once; every
+    other table is a lazy plan over them (decisions are row-local and
+    recomputed by each reader).
     """
     from retentio.operators.decide import Costs
     from retentio.operators.scenarios import scenario_decisions
@@ -207,21 +245,21 @@ def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: floa
     costs = costs or Costs()
     base = materialize(members, how)
     dec = scenario_decisions(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs, loyalty)
-    # the curve (one row per weight) and the two lists (capacity rows each)
-    # are small and read by several tables: keep them once computed, so the
-    # sweep runs once however many tables are used
-    curve = materialize(tradeoff_curve(dec, capacity), "persist")
+    # the curve (one row per weight) and the two lists (capacity rows each) are
+    # small and read by several tables: stored, so the sweep runs once
+    curve = materialize(tradeoff_curve(dec, capacity))
     best = optimal_weight(curve)
-    opt = materialize(target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity), "persist")
-    man = materialize(target_list(dec, int(manual_weight), capacity), "persist")
+    opt = materialize(target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity))
+    man = materialize(target_list(dec, int(manual_weight), capacity))
+    lists = tag_lists(opt, man, manual_weight)
     return {
         "decisions": dec,
         "curve": curve,
         "optimum": best,
         "optimal_list": target_view(opt),
         "manual_list": target_view(man),
-        "comparison": compare_strategies(dec, best, manual_weight, capacity),
-        "fairness": fairness_check(dec, best, manual_weight, capacity),
+        "comparison": compare_strategies(dec, best, manual_weight, capacity, lists),
+        "fairness": fairness_check(dec, best, manual_weight, capacity, lists=lists),
         "optimal_mix": action_mix(opt),
         "manual_mix": action_mix(man),
         **{f"profile_{k}": v for k, v in target_profile(opt).items()},

@@ -369,6 +369,14 @@ def f10_money_text(spark, sf):
     return s.select("Intervention_Type", money_text(F.col("roi").cast("double")).alias("Net_ROI_Text"))
 
 
+def f10_profile_text(spark, sf):
+    return report.profile_text(report.target_kpis(_optimal_list(spark, sf)), K)
+
+
+def f10_fairness_text(spark, sf):
+    return report.fairness_text(d13_fairness_check(spark, sf))
+
+
 def f12_min_max_scale(spark, sf):
     d = decide(with_scenarios(members(spark, sf), BASE), F.col("margin"))
     scal = population_scalars(d)
@@ -441,6 +449,11 @@ def d13_fairness_check(spark, sf):
     return report.fairness_check(dec, best, MANUAL_W, K)
 
 
+def d14_target_profile(spark, sf):
+    # three tables read the list: stored once
+    return report.profile_table(materialize(_optimal_list(spark, sf)))
+
+
 def d15_score_scenarios(spark, sf):
     return _scenario_table(spark, sf)
 
@@ -497,9 +510,29 @@ def l6_score_population(spark, sf):
         "member_key", "prediction", "Churn_Risk_Score", "is_train")
 
 
+_METRICS: dict = {}
+
+
 def _metrics(spark, sf):
-    t = trained(spark, sf)
-    return learn.metrics_table(t.predictions, t.model)
+    """The metrics row of the fitted model, evaluated once and stored beside it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _METRICS:
+        t = trained(spark, sf)
+        _METRICS[key] = materialize(learn.metrics_table(t.predictions, t.model))
+    return _METRICS[key]
+
+
+def l7_rule_curve_areas(spark, sf):
+    """L7, L8 on the rule risk of the test side, where SQL can check them."""
+    areas = learn.curve_scores(_rule_test_predictions(spark, sf), score="Churn_Risk_Score")
+    return spark.range(1).select(*[round_even(F.lit(float(v)), 6).alias(k) for k, v in areas.items()])
+
+
+def l9_rule_count_scores(spark, sf):
+    """L9, L10 on the rule prediction of the test side, where SQL can check them."""
+    c = learn.confusion(_rule_test_predictions(spark, sf)).first()  # one row of counts
+    scores = learn.count_scores(c.tp, c.fp, c.fn, c.tn)
+    return spark.range(1).select(*[round_even(F.lit(float(v)), 6).alias(k) for k, v in scores.items()])
 
 
 def l7_roc_auc(spark, sf):
@@ -614,6 +647,8 @@ QUERIES: dict[str, Query] = {
     "F7_tenure_band": f7_tenure_band,
     "F8_band_counts": f8_band_counts,
     "F10_money_text": f10_money_text,
+    "F10_profile_text": f10_profile_text,
+    "F10_fairness_text": f10_fairness_text,
     "F12_min_max_scale": f12_min_max_scale,
     "F13_loyalty_direction": f13_loyalty_direction,
     "F14_vector_risk": l6_score_population,
@@ -631,7 +666,7 @@ QUERIES: dict[str, Query] = {
     "D11_target_list": d11_target_list,
     "D12_compare_strategies": d12_compare_strategies,
     "D13_fairness_check": d13_fairness_check,
-    "D14_target_profile": a12_target_kpis,
+    "D14_target_profile": d14_target_profile,
     "D15_score_scenarios": d15_score_scenarios,
     "D15_score_scenarios_learned": d15_score_scenarios_learned,
     "D16_expected_loss_priority": d16_expected_loss_priority,
@@ -646,6 +681,8 @@ QUERIES: dict[str, Query] = {
     "L8_pr_auc": l8_pr_auc,
     "L9_accuracy": l9_accuracy,
     "L10_f1": l10_f1,
+    "L7_rule_curve_areas": l7_rule_curve_areas,
+    "L9_rule_count_scores": l9_rule_count_scores,
     "L11_importances": l11_importances,
     "L12_metrics": l12_metrics,
     "L13_scored_export": l13_scored_export,

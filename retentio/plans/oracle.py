@@ -332,6 +332,17 @@ order by Priority_Score desc nulls last, member_key"""),
     "F10_money_text": _base_opt("""select Intervention_Type,
   '$' || format('{:,.2f}', cast(sum(cast(Net_ROI as decimal(38,2))) as double)) Net_ROI_Text
 from optlist group by 1"""),
+    "F10_profile_text": f"""select format('{{:,.0f}}', Avg_Churn_Risk * 100e0) || '%' Avg_Churn_Risk_Text,
+  format('{{:,.0f}}', Avg_Tenure_Months) || ' mo' Avg_Tenure_Text,
+  '$' || format('{{:,.0f}}', Avg_Account_Value) Avg_Account_Value_Text,
+  '$' || format('{{:,.2f}}', Total_Net_ROI) Total_Net_ROI_Text,
+  High_Touch_Calls || ' / {K}' High_Touch_Calls_Text
+from ({KPI_SQL})""",
+    "F10_fairness_text": f"""select Strategy,
+  case when Compliance_Alert then 'Age gap too wide' else 'Age gap within the limit' end || ': target list '
+  || format('{{:,.1f}}', Target_Mean_Age) || ' years, population ' || format('{{:,.1f}}', Population_Mean_Age)
+  || ' years' Fairness_Text
+from ({FAIRNESS_SQL})""",
     "F12_min_max_scale": _base("select member_key, tn Tenure_Norm, Normalized_Value from dec"),
     "F13_loyalty_direction": _base("""select member_key, 1e0 + 0.5e0*0.5e0*tn as Protect_Loyal_Weight,
   1e0 + 0.5e0*0.5e0*(1 - tn) as Rescue_New_Weight from dec"""),
@@ -360,7 +371,13 @@ from (select max(Optimal_Risk_Weight_Pct) w, cast(sum(cast(Net_ROI as decimal(38
       from optlist join best using (Scenario)) o,
      (select cast(sum(cast(Net_ROI as decimal(38,8))) as double) r from manlist) m""", *MAN_LIST_CTES),
     "D13_fairness_check": FAIRNESS_SQL,
-    "D14_target_profile": KPI_SQL,
+    "D14_target_profile": f"""with k as ({KPI_SQL}), l as ({_base_opt("select Segment, Months_on_book from optlist")})
+select 'kpi' Part, Item, Value from (
+  unpivot (select cast(columns(*) as double) from k) on columns(*) into name Item value Value)
+union all select 'tier', Segment, cast(count(*) as double) from l group by Segment
+union all select 'tenure', b.Tenure_Band, cast(coalesce(c.n, 0) as double)
+from (values ('New (<2y)'), ('2-3y'), ('3-4y'), ('Loyal (4y+)')) b(Tenure_Band)
+left join (select {BAND_CASE} as Tenure_Band, count(*) n from l group by 1) c using (Tenure_Band)""",
     "D15_score_scenarios": _table(f"select {TAB23} from tab"),
     "D16_expected_loss_priority": with_members(f"""select member_key, Expected_Loss,
   {_r('case when mx = 0 then null else Expected_Loss / mx end * 100', 1)} Priority_Score
@@ -372,5 +389,25 @@ from members join (select Card_Category, row_number() over (order by count(*) de
                    from members group by Card_Category) using (Card_Category)"""),
     "L2_assemble": with_members("select member_key, " + ", ".join(
         f"cast({c} as double) as feature_{i}" for i, c in enumerate(FEATURES)) + " from members"),
+    # one curve point a distinct score; trapezoids; the precision curve starts flat
+    "L7_rule_curve_areas": with_members(f"""select {_r('sum((f - f0)*(r + r0)/2e0)', 6)} roc_auc,
+  {_r('sum((r - r0)*(p + p0)/2e0)', 6)} pr_auc
+from (select f, r, p, lag(f, 1, 0e0) over o f0, lag(r, 1, 0e0) over o r0, coalesce(lag(p) over o, p) p0
+  from (select s, fp/n f, tp/t r, tp/(tp + fp) p
+    from (select s, cast(sum(pos) over w as double) tp, cast(sum(neg) over w as double) fp,
+                 cast(sum(pos) over () as double) t, cast(sum(neg) over () as double) n
+      from (select Churn_Risk_Score s, count(*) filter (where Churn_Flag = 1) pos,
+                   count(*) filter (where Churn_Flag = 0) neg
+            from members where {TEST_FLAG} group by 1)
+      window w as (order by s desc)))
+  window o as (order by s desc))"""),
+    "L9_rule_count_scores": with_members(f"""select {_r('(tp + tn)/n', 6)} accuracy,
+  {_r('((tp + fn)*case when 2*tp + fp + fn = 0 then 0e0 else 2*tp/(2*tp + fp + fn) end'
+      ' + (tn + fp)*case when 2*tn + fp + fn = 0 then 0e0 else 2*tn/(2*tn + fp + fn) end)/n', 6)} f1
+from (select cast(count(*) filter (where Churn_Flag = 1 and pred = 1) as double) tp,
+             cast(count(*) filter (where Churn_Flag = 0 and pred = 1) as double) fp,
+             cast(count(*) filter (where Churn_Flag = 1 and pred = 0) as double) fn,
+             cast(count(*) filter (where Churn_Flag = 0 and pred = 0) as double) tn, cast(count(*) as double) n
+      from (select Churn_Flag, {RULE_PRED} pred from members where {TEST_FLAG}))"""),
     "L3_split": with_members(f"select member_key, {TEST_FLAG} as is_test from members"),
 }

@@ -195,9 +195,22 @@ def test_count_scores_equal_mllib_evaluator(spark, members_small):
     t = learn.train_and_evaluate(members_small, trees=8, depth=4)
     c = learn.confusion(t.predictions).first()
     derived = learn.count_scores(c.tp, c.fp, c.fn, c.tn)
-    mllib = learn.evaluator_scores(t.predictions)
-    assert derived["accuracy"] == pytest.approx(mllib["accuracy"], abs=1e-12)
-    assert derived["f1"] == pytest.approx(mllib["f1"], abs=1e-12)
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    for name in ("accuracy", "f1"):
+        mllib = MulticlassClassificationEvaluator(labelCol="Churn_Flag", predictionCol="prediction", metricName=name)
+        assert derived[name] == pytest.approx(mllib.evaluate(t.predictions), abs=1e-12)
+
+
+def test_curve_bins(spark):
+    """0 bins are exact; few bins merge scores and move the areas."""
+    rows = [(float(i % 97) / 97, int((i * i) % 7 < 3)) for i in range(2000)]
+    pred = spark.createDataFrame(rows, "rawPrediction double, Churn_Flag int")
+    exact = learn.curve_scores(pred)
+    wins = sum((a > b) + (a == b) / 2 for a, y in rows if y for b, z in rows if not z)
+    n = sum(y for _, y in rows)
+    assert exact["roc_auc"] == pytest.approx(wins / (n * (len(rows) - n)), abs=1e-12)
+    assert learn.curve_scores(pred, num_bins=1000) == exact  # fewer distinct scores than bins
+    assert learn.curve_scores(pred, num_bins=5) != exact
 
 
 def test_count_scores_reproduce_published_metrics():

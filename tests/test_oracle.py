@@ -41,7 +41,7 @@ def con():
 
 def test_every_sql_key_is_registered():
     assert set(oracle_sql()) <= set(queries())
-    assert len(oracle_sql()) >= 70
+    assert len(oracle_sql()) >= 80
 
 
 def test_entry_runs(spark):
