@@ -38,7 +38,7 @@ ASSIGN = re.compile(r"""(?ia:(?:password|passwd|secret|token|api_?key)["']?\x20*
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 IDENT = re.compile(r"""(?ia:(?:client|account|access|user|key)[_-]?id["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.-]{6,}))""")
-VALUE = re.compile(r"(?a:(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-]))")
+VALUE = re.compile(r"(?a:(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-]))")
 ENDPOINT = re.compile(r"(?a:https?://[^\s\"'<>]+|(?<![\w.-])[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com)")
 
 Span = tuple[int, int, str]
@@ -103,6 +103,8 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     pairs, chosen = [], set()
     for i in ids:
         for v in values.near(i, text):
+            if i[2] == "ident" and v[2] == "value" and i[0] < v[1] and v[0] < i[1]:
+                continue  # an identifier's own text is no second part
             chosen |= {i, v}
             pairs.append((min(i[0], v[0]), max(i[1], v[1]), ""))
     if pairs:
