@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentio.llm import chat_fsm, lang_crf, metric_join, poisson_mix, quality_crf, rans_tokens, secret_links
-from retentio.llm import simhash_ring, spm_wfst, toxic_cnn
+from retentio.llm import chat_fsm, cover_codes, fill_middle, lang_crf, metric_join, phrase_automata, poisson_mix
+from retentio.llm import quality_crf, rans_tokens, secret_links, simhash_ring, spm_wfst, toxic_cnn
 from retentio.llm.common import read_table
 
 
@@ -77,6 +77,25 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.language_table(docs, lang_crf.fit(docs))
 
 
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_automata.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = cover_codes.encode_vectors(read_table(spark, sf_dir, "embeddings"))
+    return cover_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(cover_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    restored = fill_middle.restored_text(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_metric_join, op2_chat_fsm, op3_poisson_mix, op4_rans_tokens, op5_toxic_cnn,
                                    op6_sentencepiece_wfst, op7_simhash_ring, op8_secret_links, op9_quality_crf,
-                                   op10_lang_crf)}
+                                   op10_lang_crf, op11_phrase_automata, op12_cover_codes, op13_fill_middle)}
