@@ -48,7 +48,7 @@ from retentio.session import written_table
 WINDOW = 50
 GRAM = 16
 PIECE = 256  # windows a piece holds
-HOT = 20_000  # documents of an anchor beyond which its windows are salted
+HOT = 500  # documents of an anchor beyond which its windows are salted
 SHARD_WORDS = 200_000  # words of the passages of one automaton
 CHUNK = 1 << 22  # bytes whose words are hashed at once
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
