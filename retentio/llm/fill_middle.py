@@ -43,7 +43,7 @@ def check_marks(marks) -> None:
     for m in marks:
         if not m or any(m.startswith(m[k:]) for k in range(1, len(m))):
             raise ValueError(f"a mark may not be empty or begin with its own end: {m!r}")
-    if any(a in b for a in marks for b in marks if a is not b):
+    if any(a in b for i, a in enumerate(marks) for j, b in enumerate(marks) if i != j):
         raise ValueError("a mark may not hold another one")
 
 
