@@ -16,10 +16,6 @@ import numpy as np
 FIRST = "\n\n"  # marks the first word of a text; a split never gives it
 
 
-def _is_first(key: str) -> bool:
-    return key.startswith(FIRST)
-
-
 class ChunkCache:
     """``encode_words`` maps word keys to their ids, one after another, and the numbers
     of ids; ``encode_whole`` maps a text to its ids.
@@ -30,9 +26,10 @@ class ChunkCache:
     one, and what is still used moves on from there without being encoded again.
     """
 
-    def __init__(self, encode_words, encode_whole, usable, dtype, limit: int = 350_000):
+    def __init__(self, encode_words, encode_whole, usable, dtype, limit: int = 350_000, plain_usable: bool = False):
+        """``plain_usable``: every word without white space at its edges is usable."""
         self.encode_words, self.encode_whole, self.usable = encode_words, encode_whole, usable
-        self.dtype, self.limit = dtype, limit
+        self.dtype, self.limit, self.plain_usable = dtype, limit, plain_usable
         self.old: tuple = ({}, None, None, None)
         self.clear()
 
@@ -52,11 +49,16 @@ class ChunkCache:
             if seen:
                 self.take_over(seen)
                 keys = [k for k in keys if k not in self.old[0]]
-        bad = [k for k in keys if not self.usable(k)]
+        # a key that strip() leaves as it is has no white space at its edges
+        odd = [k for k in keys if k.strip() is not k or not k]
+        bad = [k for k in odd if not self.usable(k)] if self.plain_usable else [k for k in keys if not self.usable(k)]
         if bad:
             known = set(bad)
             keys = [k for k in keys if k not in known]
-        keys.sort(key=_is_first)  # first words come last: they can't be joined to others
+        first = [k for k in odd if k.startswith(FIRST)]
+        if first:  # first words come last: they can't be joined to others
+            known = set(first)
+            keys = [k for k in keys if k not in known] + [k for k in keys if k in known]
         flat, sizes = self.encode_words(keys) if keys else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
         # -1: no cut beside these words
         self.store(keys + bad, flat, np.append(sizes, np.full(len(bad), -1, dtype=np.int64)))

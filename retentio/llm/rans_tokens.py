@@ -21,8 +21,15 @@ checked when it is read.
 Reading back, each document's first id is placed by prefix sums: a segment
 says how many ids its range has before it, and one sum a range is gathered.
 
+:func:`token_spans` decodes in parallel: each stretch from one checkpoint to the
+next is a row of its own, with its slice of the payload, and goes to any task.
+
 Defined cases: null or empty text is the end id alone; a null doc_id sorts
-first; repeated rows are all written; an empty table gives an empty result.
+first; rows of one doc_id stand in the order of their texts' hashes, so that a
+retry gives the same files; repeated rows are all written; extra columns are
+not read; a long text is written whole, so its segment may exceed
+``SEGMENT_TOKENS``; a segment can hold 2**18 distinct ids (more raise
+``ValueError``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,6 +52,7 @@ LANES = 2048
 CHECKPOINT_STEPS = 256
 SCALE = 18  # bits of the frequency table's total
 LOW = np.uint64(1 << 31)  # smallest state between steps
+JOINED = 500  # words encoded in one call
 MAGIC = b"RTK1"
 _HEAD = struct.Struct("<4sQIII")
 _BLOCK = struct.Struct("<IIII")
@@ -179,6 +187,91 @@ def decode_segment(payload: bytes) -> np.ndarray:
     return out
 
 
+def span_directory(payload: bytes) -> tuple[int, int, list[tuple[int, int, int, int, int]]]:
+    """(bytes of the head, bytes of a state, spans as (first id, ids, state offset, words offset, words)).
+
+    A span runs from one checkpoint to the next or to the end of its block.
+    """
+    magic, total, distinct, _, packed = _HEAD.unpack_from(payload)
+    if magic != MAGIC:
+        raise ValueError("not a token segment")
+    lanes, width = packed & 0xFFFFFF, packed >> 24
+    at = _HEAD.size + distinct * (width + 4)
+    spans, done = [], 0
+    while done < total:
+        n, n_words, n_marks, _ = _BLOCK.unpack_from(payload, at)
+        at += _BLOCK.size
+        words = at + n_marks * (8 + 8 * lanes)
+        marks = [(*struct.unpack_from("<II", payload, at + k * (8 + 8 * lanes)), at + k * (8 + 8 * lanes) + 8)
+                 for k in range(n_marks)]
+        for k, (step, place, state) in enumerate(marks):
+            ends = (marks[k + 1][0] * lanes, marks[k + 1][1]) if k + 1 < n_marks else (n, n_words)
+            spans.append((done + step * lanes, ends[0] - step * lanes, state, words + 4 * place, ends[1] - place))
+        at = words + 4 * n_words
+        done += n
+    return _HEAD.size + distinct * (width + 4), 8 * lanes, spans
+
+
+def decode_span(head: bytes, state: bytes, words: bytes, n: int) -> np.ndarray:
+    """The ``n`` ids of one span from the segment's head (with its table), a checkpoint and its words."""
+    _, _, distinct, _, packed = _HEAD.unpack_from(head)
+    width = packed >> 24
+    symbols = np.frombuffer(head, dtype=f"<u{width}", count=distinct, offset=_HEAD.size).astype(np.uint32)
+    freq = np.frombuffer(head, dtype="<u4", count=distinct, offset=_HEAD.size + distinct * width).astype(np.uint64)
+    table = np.repeat(np.arange(distinct, dtype=np.uint32), freq.astype(np.int64))
+    states = np.frombuffer(state, dtype=np.uint64)
+    found = np.empty(n, dtype=np.uint32)
+    decode_steps(states, np.frombuffer(words, dtype="<u4").astype(np.uint64), 0, 0, -(-n // len(states)), n,
+                 table, freq, np.cumsum(freq) - freq, found)
+    return symbols[found]
+
+
+def token_spans(segments: DataFrame) -> DataFrame:
+    """(part, seg, first, ids): every stretch between checkpoints, decoded as a row of its own.
+
+    The payloads are cut in the JVM, so that a span's task gets the segment's
+    table, one checkpoint and the span's words, not the segment.
+    """
+    spark = segments.sparkSession
+    ship_package(spark)
+    fields = ("first", "n", "state_at", "words_at", "n_words")
+
+    def directory(batches):
+        import pyarrow as pa
+        kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields]))
+        for b in batches:
+            for r in range(b.num_rows):
+                payload = b.column(2)[r].as_py()
+                head, state, found = span_directory(payload)
+                spans = [dict(zip(fields, s)) for s in found]
+                yield pa.record_batch([
+                    b.column(0).slice(r, 1), b.column(1).slice(r, 1), b.column(2).slice(r, 1),
+                    pa.array([head]), pa.array([state]), pa.array([spans], kind)],
+                    names=["part", "seg", "payload", "head", "state", "spans"])
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            for r in range(b.num_rows):
+                head, state, words, n = (b.column(k)[r].as_py() for k in range(3, 7))
+                ids = decode_span(head, state, words, n)
+                yield pa.record_batch([b.column(0).slice(r, 1), b.column(1).slice(r, 1), b.column(2).slice(r, 1),
+                                       pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))],
+                                      names=["part", "seg", "first", "ids"])
+
+    struct_type = ", ".join(f"{f}: long" for f in fields)
+    rows = segments.select("part", "seg", "payload").mapInArrow(
+        directory, f"part int, seg int, payload binary, head long, state long, spans array<struct<{struct_type}>>")
+    cut = lambda at, size: F.expr(f"substring(payload, cast({at} + 1 as int), cast({size} as int))")
+    spans = rows.select("*", F.explode("spans").alias("s")).select(
+        "part", "seg", F.col("s.first").alias("first"), cut("0", "head").alias("head"),
+        cut("s.state_at", "state").alias("state"), cut("s.words_at", "4 * s.n_words").alias("words"),
+        F.col("s.n").alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spans.repartition(parts, "part", "seg", "first").mapInArrow(
+        run, "part int, seg int, first long, ids array<long>")
+
+
 class BpeEncoder:
     """Word-cached encoding with a tokenizers file; equal to encoding whole texts."""
 
@@ -190,10 +283,10 @@ class BpeEncoder:
         n = self.tokenizer.get_vocab_size()
         # byte-level tokens are written with one character a byte
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)], dtype=np.int64)
-        self.cache = ChunkCache(self.words, self.whole, self.usable, np.uint32, limit)
+        self.cache = ChunkCache(self.words, self.whole, self.usable, np.uint32, limit, True)
 
     def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     @staticmethod
     def usable(key: str) -> bool:
@@ -206,11 +299,15 @@ class BpeEncoder:
         cross, and the tokens' byte lengths tell where each word ends."""
         sizes = np.zeros(len(keys), dtype=np.int64)
         parts: list[np.ndarray] = []
-        for a in range(0, len(keys), 2000):
-            some = keys[a:a + 2000]
-            texts = [k[2:] if k.startswith(FIRST) else k if k[0] == "\n" else " " + k for k in some]
+        for a in range(0, len(keys), JOINED):
+            some = keys[a:a + JOINED]
             ids = want = None
-            if not any(k.startswith(FIRST) for k in some):
+            joined = not some[-1].startswith(FIRST)  # first words come last
+            if joined:
+                texts = [k if k[0] == "\n" else " " + k for k in some]
+            else:
+                texts = [k[2:] if k.startswith(FIRST) else k if k[0] == "\n" else " " + k for k in some]
+            if joined:
                 ids = np.array(self.whole("".join(texts)), dtype=np.uint32)
                 ends = np.cumsum(self.width[ids])
                 want = np.cumsum([len(t.encode()) for t in texts])
@@ -292,8 +389,11 @@ def token_segments(docs: DataFrame, tokenizer: str, segment: int = SEGMENT_TOKEN
         if held_docs:
             yield flush()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(run, SEGMENT_SCHEMA)
+    # rows of one doc_id, however many, stand in the order of their texts
+    keys = ["doc_id", "text_hash", "text"]
+    ordered = (docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+               .repartitionByRange(parts, *keys[:2]).sortWithinPartitions(*keys))
+    return ordered.select("doc_id", "text").mapInArrow(run, SEGMENT_SCHEMA)
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:

@@ -34,6 +34,29 @@ def test_segment_round_trip(n):
             rans_tokens.decode_segment(bytes(broken))
 
 
+def test_spans_decode_in_parallel(spark):
+    rng = np.random.default_rng(3)
+    kept = [(50_000 * rng.random(n) ** 3).astype(np.uint32) for n in (0, 1, 900, 60_000, 300_000)]
+    rows = [(1, k, rans_tokens.encode_segment(ids, block=1 << 16, lanes=16)) for k, ids in enumerate(kept)]
+    spans = rans_tokens.token_spans(spark.createDataFrame(rows, "part int, seg int, payload binary")).collect()
+    assert len(spans) > 30
+    for k, ids in enumerate(kept):
+        own = sorted((r.first, r.ids) for r in spans if r.seg == k)
+        assert [f for f, _ in own] == np.cumsum([0, *[len(x) for _, x in own]])[:-1].tolist()
+        assert [i for _, x in own for i in x] == ids.tolist()
+
+
+def test_rows_of_one_doc_id_keep_one_order(spark):
+    """Repeated ids with other texts stand alike whatever the input's order and partitions."""
+    rows = [(7, f"text {k % 9} " * (k % 5 + 1), f"x{k}") for k in range(200)] + [(3, "a", "b"), (9, None, None)]
+    files = []
+    for n, order in ((1, rows), (5, rows[::-1])):
+        docs = spark.createDataFrame(order, "doc_id long, text string, payload string").repartition(n)
+        found = rans_tokens.document_tokens(rans_tokens.write_tokens(docs, BPE)).collect()
+        files.append(sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in found))
+    assert files[0] == files[1] and len(files[0]) == 202
+
+
 def test_token_files_equal_the_library(spark, documents, odd):
     from tokenizers import Tokenizer
     own = Tokenizer.from_file(BPE)
