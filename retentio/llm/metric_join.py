@@ -23,7 +23,9 @@ A chunk returns one count a home vector and a spanning star of its links.
 Defined cases: a vector that is null, of length zero, or holds a null or
 non-finite component has no links and is its own component; so has one whose
 number of components differs from another's towards that one; repeated rows
-each get a row and link with each other; an empty table gives an empty result.
+each get a row and link with each other; so does each vector of a vec_id that
+stands on several; extra columns are not read; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -45,17 +47,22 @@ APART = 0.8  # least distance of two pivots
 SLACK = 1e-6  # on bounds, far above rounding
 
 
-def valid_vectors(rows: DataFrame) -> DataFrame:
-    """(vec_id, embedding array<double>) of the rows that can link."""
-    good = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(
-        F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
+def _can_link():
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return good.where(finite & F.exists("embedding", lambda x: x != 0))
+    return F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists(
+        "embedding", lambda x: x != 0)
+
+
+def valid_vectors(rows: DataFrame) -> DataFrame:
+    """(vec_id, embedding) of the rows that can link; single-precision components stay so until they are compared."""
+    kind = rows.schema["embedding"].dataType.simpleString()
+    vector = F.col("embedding") if kind == "array<float>" else F.col("embedding").cast("array<double>")
+    return rows.select("vec_id", vector.alias("embedding")).where(_can_link())
 
 
 def unit_rows(column) -> list[np.ndarray]:
     """Unit vectors of an Arrow list column; scaled by the largest component first."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     ends = np.asarray(column.value_lengths()).cumsum()
     out = []
     for v in np.split(flat, ends[:-1]):
@@ -88,7 +95,8 @@ def replicas(vectors: np.ndarray, home: np.ndarray, pivots: np.ndarray, nearest:
     """Boolean (vectors, cells): cells whose home vectors may be within ``radius``."""
     near = vectors @ pivots.T
     own = near[np.arange(len(vectors)), home]
-    gap = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))[home]
+    homes, which = np.unique(home, return_inverse=True)  # only the pivots that occur
+    gap = np.sqrt(np.maximum(2.0 - 2.0 * (pivots[homes] @ pivots.T), 0.0))[which]
     with np.errstate(divide="ignore", invalid="ignore"):
         plane = np.where(gap > 0, (own[:, None] - near) / gap, 0.0)
     d = np.sqrt(np.maximum(2.0 - 2.0 * near, 0.0))
@@ -202,7 +210,8 @@ def _join_cells(min_cosine: float):
 def _cells_of_dimension(vectors: DataFrame, dim: int, rows: int, radius: float) -> DataFrame:
     """(cell, part, dim, away, rep, count, vector): home rows and copies of one vector length."""
     count = max(1, math.ceil(math.sqrt(rows) / ROWS_A_PIVOT))
-    sample = vectors.orderBy(F.xxhash64(F.lit(7), "rep"), "rep").limit(SAMPLE_A_PIVOT * count)
+    kind = vectors.schema["vector"].dataType.simpleString()
+    sample = vectors.orderBy(F.xxhash64(F.lit(7), "vector"), "vector").limit(SAMPLE_A_PIVOT * count)
     scaled = [v / np.abs(v).max() for v in (np.array(r[0]) for r in sample.select("vector").collect())]
     pivots = choose_pivots([v / np.linalg.norm(v) for v in scaled], count)
 
@@ -217,7 +226,7 @@ def _cells_of_dimension(vectors: DataFrame, dim: int, rows: int, radius: float)
                                       names=["rep", "count", "vector", "home", "distance"])
 
     placed = written_table(vectors.mapInArrow(
-        homes, "rep long, count long, vector array<double>, home int, distance double"))
+        homes, f"rep long, count long, vector {kind}, home int, distance double"))
     sizes = {r["home"]: r for r in placed.groupBy("home").agg(  # a row a pivot
         F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high")).collect()}
     cells = range(len(pivots))
@@ -253,7 +262,7 @@ def _cells_of_dimension(vectors: DataFrame, dim: int, rows: int, radius: float)
                         names=["cell", "part", "dim", "away", "rep", "count", "vector"])
 
     return placed.mapInArrow(
-        deal, "cell int, part int, dim int, away boolean, rep long, count long, vector array<double>")
+        deal, f"cell int, part int, dim int, away boolean, rep long, count long, vector {kind}")
 
 
 def near_duplicates(rows: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
@@ -262,33 +271,33 @@ def near_duplicates(rows: DataFrame, min_cosine: float = MIN_COSINE) -> DataFram
     ship_package(spark)
     radius = math.sqrt(2 - 2 * min_cosine)
     valid = valid_vectors(rows)
-    # equal vectors: one row each, named by the smallest id
+    # equal vectors: one row each, named by a number of its own, as a vec_id may stand on several vectors
     distinct = written_table(valid.groupBy(F.col("embedding").alias("vector")).agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("count")).select("rep", "count", "vector"))
+        F.min("vec_id").alias("smallest"), F.count("*").alias("count"))
+        .select(F.monotonically_increasing_id().alias("rep"), "smallest", "count", "vector"))
     dims = {r[0]: r[1] for r in distinct.groupBy(F.size("vector")).count().collect()}  # a row a vector length
     empty = spark.createDataFrame([], "rep long, links long, other long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = empty
     for dim, n in sorted(dims.items()):
-        cells = _cells_of_dimension(distinct.where(F.size("vector") == dim), dim, n, radius)
+        of_dim = distinct.where(F.size("vector") == dim).select("rep", "count", "vector")
+        cells = _cells_of_dimension(of_dim, dim, n, radius)
         dealt = cells.repartition(parts, "cell", "part", "dim").sortWithinPartitions("cell", "part", "dim", "away")
         found = found.unionByName(dealt.mapInArrow(_join_cells(min_cosine), "rep long, links long, other long"))
     found = written_table(found)
     roots = connected_components(found.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     labelled = written_table(
-        distinct.select("rep", "count").join(links, "rep", "left")
+        distinct.select("rep", "smallest", "count").join(links, "rep", "left")
         .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", (F.coalesce("links", F.lit(0)) + F.col("count") - 1).alias("n_links"),
+        .select("rep", "smallest", (F.coalesce("links", F.lit(0)) + F.col("count") - 1).alias("n_links"),
                 F.coalesce("root", "rep").alias("root")))
-    smallest = written_table(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))
+    smallest = written_table(labelled.groupBy("root").agg(F.min("smallest").alias("component_id")))
     classes = written_table(labelled.join(smallest, "root").select("rep", "n_links", "component_id"))
     named = distinct.select("vector", "rep").join(classes, "rep").select("vector", "n_links", "component_id")
     linked = valid.join(written_table(named), valid["embedding"] == F.col("vector")).select(
         "vec_id", "n_links", "component_id")
-    alone = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(
-        "embedding", lambda x: x != 0) & F.col("vec_id").isNotNull()
-    rest = alone.where(~F.coalesce(good, F.lit(False))).select(
+    alone = rows.select("vec_id", F.col("embedding"))
+    rest = alone.where(~F.coalesce(_can_link(), F.lit(False))).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -169,26 +169,48 @@ def fingerprint_edges(distinct: DataFrame) -> DataFrame:
     return rows.mapInArrow(_bucket_edges, "a long, b long")
 
 
+def fingerprint_roots(fps: DataFrame) -> DataFrame:
+    """(fp, root) of every distinct fingerprint; ``root`` is the same for all of a class."""
+    distinct = written_table(fps.select("fp").distinct())
+    roots = connected_components(fingerprint_edges(distinct)).withColumnRenamed("node", "fp")
+    return written_table(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id): one row per input row, smallest doc_id of its class."""
     fps = written_table(fingerprint_table(docs))
-    distinct = written_table(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    roots = connected_components(fingerprint_edges(distinct))
-    labelled = written_table(
-        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
-    smallest = written_table(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))
-    classes = written_table(labelled.join(smallest, "root").select("fp", "component_id"))
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = fingerprint_roots(fps)
+    reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).join(classes, "fp")
+    smallest = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = written_table(classes.join(smallest, "root").select("fp", "component_id"))
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its class; all columns kept.
+    """One row of each class: that with the smallest (doc_id, fingerprint, hash of the text).
 
-    Repeated rows with the kept id count as copies: one stays.  Rows without
-    a doc_id can't be compared by id and stay.
+    A class is told by its fingerprints, not by doc_ids, so that two unlinked
+    texts under one doc_id both stay.  Of rows with the same doc_id and text
+    the one with the smallest hash of its columns stays.  Rows without a
+    doc_id can't be compared by id and stay.  All columns are kept.
     """
-    keep = near_duplicates(docs.where(F.col("doc_id").isNotNull())).where(
-        F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    with_id = docs.where(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where(F.col("doc_id").isNull()))
+    ship_package(docs.sparkSession)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    with_id = docs.where(F.col("doc_id").isNotNull())
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fingerprints(text_bytes(b.column(2))))],
+                                  names=["doc_id", "text_hash", "fp"])
+
+    keyed = with_id.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    fps = written_table(keyed.mapInArrow(run, "doc_id long, text_hash long, fp long"))
+    first = (fps.join(fingerprint_roots(fps), "fp").groupBy("root")
+             .agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("first"))
+             .select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")))
+    kept = with_id.join(first, (F.col("doc_id") == F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_hash")))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    one = kept.groupBy("_kept_id", "_kept_hash").agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*plain)).alias("_kept_row"))
+    return one.select("_kept_row.*").unionByName(docs.where(F.col("doc_id").isNull()))

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from retentio.llm import chat_fsm, poisson_mix, quality_crf, secret_links, toxic_cnn
+from retentio.llm import chat_fsm, poisson_mix, quality_crf, secret_links, simhash_ring, toxic_cnn
 from retentio.llm.common import training_rows
 
 
@@ -105,3 +105,30 @@ def test_long_text_full_of_parts():
     text = "0a" * 500_000 + " " + part * 20_000
     base, spans = secret_links.scan(text)
     assert len(base) == 20_001 and len(spans) == len(base) + 40_000
+
+
+TEXT_A = "the quick brown fox jumps over the lazy dog while the cat sleeps " * 6
+TEXT_B = "entirely different words about ships harbours storms and lighthouses " * 6
+TEXT_C = "a third text on gardens seeds watering cans and patient gardeners here " * 6
+
+
+def test_deduplicate_tells_rows_of_one_id_by_their_texts(spark):
+    """A unique text under a repeated id stays, in whatever order the rows come."""
+    rows = [(3, TEXT_A, "x"), (5, TEXT_A, "y"), (5, TEXT_B, "y"), (5, TEXT_C, "z"), (8, TEXT_C, "w"),
+            (5, TEXT_B, "b"), (5, TEXT_B.upper(), "u"), (None, TEXT_A, "n"), (9, None, "v"), (10, "", "v")]
+    seen = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").withColumn("root", F.lit(1))
+        out = simhash_ring.deduplicate(docs)
+        assert out.columns == docs.columns
+        seen.add(tuple(sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=str)))
+    assert len(seen) == 1
+    kept = seen.pop()
+    assert {(i, t.lower() if t else t) for i, t, _ in kept} == {
+        (3, TEXT_A.lower()), (5, TEXT_B.lower()), (5, TEXT_C.lower()), (None, TEXT_A.lower()), (9, None)}
+    assert len(kept) == 5
+
+
+def test_pipeline_stage_keeps_unlinked_texts_of_one_id(spark):
+    docs = spark.createDataFrame([(3, TEXT_A), (5, TEXT_A), (5, TEXT_B)], "doc_id long, text string")
+    assert {tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {(3, TEXT_A), (5, TEXT_B)}

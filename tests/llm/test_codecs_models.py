@@ -176,6 +176,20 @@ def test_vectors_odd_rows_hot_cell_and_empty(spark, monkeypatch):
     assert metric_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vec_ids_on_several_vectors(spark):
+    """Each row is told by its vector; a component is named by the smallest id in it."""
+    near = lambda e: (np.array(e) + 0.01).tolist()
+    e = np.eye(6).tolist()
+    rows = [(1, e[0]), (1, e[1]), (2, near(e[0])), (3, near(e[1])), (3, e[2]), (0, near(e[2])), (3, e[3]), (3, e[3]),
+            (9, e[4]), (9, near(e[4])), (8, [0.0] * 6), (8, e[5])]
+    for kind in ("double", "float"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+        got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in metric_join.near_duplicates(df).collect())
+        assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 1, 0, False),
+                              (0, 1, 0, True), (3, 1, 3, True), (3, 1, 3, True), (9, 1, 9, True), (9, 1, 9, True),
+                              (8, 0, 8, True), (8, 0, 8, True)])
+
+
 def test_blocked_forward_backward_is_exact():
     from retentio.llm.quality_crf import chain_marginals
     rng = np.random.default_rng(2)
