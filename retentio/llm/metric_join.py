@@ -5,7 +5,8 @@ distance <= r = sqrt(2 - 2 * MIN_COSINE).  Equal vectors are first collapsed
 to one row with a count.
 
 Cells.  Pivots are vectors of a hash-ordered sample, taken greedily so that no
-two are close; their number grows with the square root of the rows.  A
+two are close; there is about one for each ``HOMES`` rows, and never more than
+grow with the square root of the rows.  A
 vector's home is the cell of its nearest pivot p.  The triangle inequality
 sets the replication: if u is at home in q and within r of v, then
 d(v, q) - d(v, p) <= 2r, and on the sphere the sharper form holds that v is at
@@ -15,7 +16,7 @@ Each cell is then joined alone: its home vectors meet all vectors in it, so
 every link of a home vector is found there and nowhere else, and nothing is
 counted twice.
 
-A cell with more than ``HOMES`` home vectors is cut into chunks of homes, and
+A cell with more than ``HOMES`` home vectors (fewer if they are long) is cut into chunks of homes, and
 each chunk meets the cell's vectors in a stream of bounded batches, so that a
 cell with a third of all rows neither lands in one task nor fills its memory.
 A chunk returns one count a home vector and a spanning star of its links.
@@ -40,8 +41,11 @@ from retentio.llm.common import connected_components, ship_package
 from retentio.session import written_table
 
 MIN_COSINE = 0.95
-HOMES = 4096
-ROWS_A_PIVOT = 16  # pivots: square root of the rows over this
+HOMES = 16_384  # home vectors of a chunk
+HOME_NUMBERS = 1 << 23  # components of a chunk's home vectors
+MET = 1 << 22  # pairs compared at once
+LEAST_PIVOTS = 8
+ROWS_A_PIVOT = 16  # pivots at most: square root of the rows over this
 SAMPLE_A_PIVOT = 8
 APART = 0.8  # least distance of two pivots
 SLACK = 1e-6  # on bounds, far above rounding
@@ -120,10 +124,14 @@ class _Chunk:
         self.links = np.zeros(len(self.ids), dtype=np.int64)
         self.label = np.arange(len(self.ids))
         self.ready = True
-        step = 1024
+        step = self.step()
         for a in range(0, len(self.ids), step):
             self.meet(self.ids[a:a + step], self.vectors[a:a + step], self.counts[a:a + step], None, a)
 
+    def step(self) -> int:
+        """Vectors met at once."""
+        return max(64, min(2048, MET // max(1, len(self.ids))))
+
     def meet(self, ids, vectors, counts, edges, own: int | None = None) -> None:
         linked = self.vectors @ vectors.T >= self.min_cosine
         if own is not None:
@@ -189,16 +197,17 @@ def _join_cells(min_cosine: float):
                             chunk.close()
                         yield finish()
                     chunk, key, edges = _Chunk(min_cosine), now, []
-                for a in range(s, e, 2048):
-                    z = min(a + 2048, e)
+                if away[s] and len(chunk.ids) and not chunk.ready:
+                    chunk.close()
+                step = chunk.step() if chunk.ready else 2048
+                for a in range(s, e, step):
+                    z = min(a + step, e)
                     own = _matrix(vectors.slice(a, z - a))
                     if not away[a]:
                         chunk.ids.append(rep[a:z])
                         chunk.vectors.append(own)
                         chunk.counts.append(count[a:z])
                     elif len(chunk.ids):
-                        if not chunk.ready:
-                            chunk.close()
                         chunk.meet(rep[a:z], own, count[a:z], edges)
         if chunk is not None and len(chunk.ids):
             if not chunk.ready:
@@ -209,7 +218,8 @@ def _join_cells(min_cosine: float):
 
 def _cells_of_dimension(vectors: DataFrame, dim: int, rows: int, radius: float) -> DataFrame:
     """(cell, part, dim, away, rep, count, vector): home rows and copies of one vector length."""
-    count = max(1, math.ceil(math.sqrt(rows) / ROWS_A_PIVOT))
+    in_chunk = max(1, min(HOMES, HOME_NUMBERS // max(1, dim)))
+    count = max(LEAST_PIVOTS, min(math.ceil(rows / in_chunk), math.ceil(math.sqrt(rows) / ROWS_A_PIVOT)))
     kind = vectors.schema["vector"].dataType.simpleString()
     sample = vectors.orderBy(F.xxhash64(F.lit(7), "vector"), "vector").limit(SAMPLE_A_PIVOT * count)
     scaled = [v / np.abs(v).max() for v in (np.array(r[0]) for r in sample.select("vector").collect())]
@@ -232,7 +242,7 @@ def _cells_of_dimension(vectors: DataFrame, dim: int, rows: int, radius: float)
     cells = range(len(pivots))
     low = np.array([sizes[c]["low"] if c in sizes else np.inf for c in cells])
     high = np.array([sizes[c]["high"] if c in sizes else -np.inf for c in cells])
-    chunks = np.array([-(-sizes[c]["n"] // HOMES) if c in sizes else 0 for c in cells])
+    chunks = np.array([-(-sizes[c]["n"] // in_chunk) if c in sizes else 0 for c in cells])
 
     def deal(batches):
         import pyarrow as pa
