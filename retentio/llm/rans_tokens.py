@@ -41,8 +41,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentio.llm.chunk_cache import FIRST, ChunkCache
-from retentio.llm.common import ship_package
+from retentio.llm.common import ship_package, text_bytes
+from retentio.llm.word_table import BREAK, FIRST, SPACE, WordTable
 from retentio.session import written_table
 
 END_ID = 0
@@ -54,6 +54,7 @@ SCALE = 18  # bits of the frequency table's total
 LOW = np.uint64(1 << 31)  # smallest state between steps
 JOINED = 500  # words encoded in one call
 MAGIC = b"RTK1"
+_BLANK = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"  # white space beside space and line break
 _HEAD = struct.Struct("<4sQIII")
 _BLOCK = struct.Struct("<IIII")
 
@@ -272,10 +273,21 @@ def token_spans(segments: DataFrame) -> DataFrame:
         run, "part int, seg int, first long, ids array<long>")
 
 
+def cuts_at_words(path: str) -> bool:
+    """Whether the file's tokens never join a word with what follows its space: plain byte-level rules."""
+    import json
+    with open(path, encoding="utf-8") as f:
+        own = json.load(f)
+    pre = own.get("pre_tokenizer") or {}
+    spaced = any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in own.get("added_tokens", []))
+    return (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+            and own.get("normalizer") is None and not spaced)
+
+
 class BpeEncoder:
     """Word-cached encoding with a tokenizers file; equal to encoding whole texts."""
 
-    def __init__(self, path: str, limit: int = 350_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -283,48 +295,54 @@ class BpeEncoder:
         n = self.tokenizer.get_vocab_size()
         # byte-level tokens are written with one character a byte
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)], dtype=np.int64)
-        self.cache = ChunkCache(self.words, self.whole, self.usable, np.uint32, limit, True)
+        self.table = WordTable(self.words, self.whole, self.usable, np.uint16 if n <= 1 << 16 else np.uint32,
+                               limit) if cuts_at_words(path) else None
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def whole(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
 
     @staticmethod
-    def usable(key: str) -> bool:
+    def usable(word: bytes) -> bool:
         """A cut needs a visible character on both sides of its space or line break."""
-        w = key[2:] if key.startswith(FIRST) else key[1:] if key.startswith("\n") else key
-        return bool(w) and not w[0].isspace() and not w[-1].isspace()
+        if word.isascii():
+            return word.strip(_BLANK) == word
+        w = word.decode()
+        return w.strip() == w
 
-    def words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, words: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words with a space or line break in front are encoded joined: their tokens can't
-        cross, and the tokens' byte lengths tell where each word ends."""
-        sizes = np.zeros(len(keys), dtype=np.int64)
+        cross, and the tokens' byte lengths tell where each word ends.  First words come last."""
+        sizes = np.zeros(len(words), dtype=np.int64)
+        before = {FIRST: b"", SPACE: b" ", BREAK: b"\n"}
+        texts = [before[k] + w for w, k in zip(words, kinds.tolist())]
+        stop = int(np.searchsorted(kinds == FIRST, True))
         parts: list[np.ndarray] = []
-        for a in range(0, len(keys), JOINED):
-            some = keys[a:a + JOINED]
-            ids = want = None
-            joined = not some[-1].startswith(FIRST)  # first words come last
-            if joined:
-                texts = [k if k[0] == "\n" else " " + k for k in some]
-            else:
-                texts = [k[2:] if k.startswith(FIRST) else k if k[0] == "\n" else " " + k for k in some]
-            if joined:
-                ids = np.array(self.whole("".join(texts)), dtype=np.uint32)
+        for a in range(0, len(words), JOINED):
+            some = texts[a:a + JOINED]
+            fits = False
+            if a + len(some) <= stop:
+                ids = np.array(self.whole(b"".join(some)), dtype=np.uint32)
                 ends = np.cumsum(self.width[ids])
-                want = np.cumsum([len(t.encode()) for t in texts])
+                want = np.cumsum([len(t) for t in some])
                 cut = np.searchsorted(ends, want)
-                if not len(ids) or ends[-1] != want[-1] or (ends[cut] != want).any():
-                    ids = None
-            if ids is None:
-                own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                fits = len(ids) > 0 and ends[-1] == want[-1] and bool((ends[cut] == want).all())
+            if fits:
+                sizes[a:a + len(some)] = np.diff(cut, prepend=-1)
+            else:
+                own = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in some],
+                                                                       add_special_tokens=False)]
                 sizes[a:a + len(own)] = [len(o) for o in own]
                 ids = np.array([i for o in own for i in o], dtype=np.uint32)
-            else:
-                sizes[a:a + len(some)] = np.diff(cut, prepend=-1)
             parts.append(ids)
         return np.concatenate(parts), sizes
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.cache.encode(texts)
+    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of strings or their UTF-8 bytes."""
+        texts = [t.encode() if isinstance(t, str) else t for t in texts]
+        if self.table is not None:
+            return self.table.encode(texts)
+        own = [np.array(self.whole(t), dtype=np.uint32) for t in texts]
+        return np.concatenate(own), np.array([len(o) for o in own], dtype=np.int64)
 
 
 _ENCODERS: dict[str, BpeEncoder] = {}
@@ -365,7 +383,7 @@ def token_segments(docs: DataFrame, tokenizer: str, segment: int = SEGMENT_TOKEN
 
         for b in batches:
             doc_ids = b.column(0).to_pylist()
-            texts = [t or "" for t in b.column(1).to_pylist()]
+            texts = text_bytes(b.column(1))
             i = 0
             while i < len(texts):
                 j, size = i, 0

@@ -34,6 +34,40 @@ def test_segment_round_trip(n):
             rans_tokens.decode_segment(bytes(broken))
 
 
+WORDS = ["a", "the", "The", "don't", "it's.", "x.", "x..", "x,!", "9.", "%.", "é.", "漢字,", "words", "longer-than-sixteen-bytes",
+         "longer-than-sixteen-bytes.", "Antidisestablishmentarianism!", "\t", "\u00a0z", "z\u3000", "", "\n", "<|endoftext|>",
+         "<|endoftext|>.", "'s", "?", "a?b", "12345678", "12345678.", "1234567890123456", "12345678901234567", "\x00", "\x00\x00"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(WORDS), st.sampled_from([" ", "\n", " ", " ", "  "])), max_size=12),
+                min_size=1, max_size=5))
+def test_word_table_equals_the_library(parts):
+    texts = ["".join(w + gap for w, gap in p)[:-1] if k % 2 else "".join(w + gap for w, gap in p)
+             for k, p in enumerate(parts)]
+    own = rans_tokens.encoder(BPE)
+    ids, sizes = own.encode([t.encode() for t in texts])
+    at = 0
+    for t, n in zip(texts, sizes):
+        assert ids[at:at + n].tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids
+        at += n
+    assert at == len(ids)
+
+
+def test_word_table_starts_anew_and_grows(documents):
+    texts = [(r.text or "").encode() for r in documents.collect()]
+    want = rans_tokens.BpeEncoder(BPE).encode(texts)
+    small = rans_tokens.BpeEncoder(BPE, limit=500)
+    for k in range(0, len(texts), 7):
+        ids, sizes = small.encode(texts[k:k + 7])
+        at = int(want[1][:k].sum())
+        assert sizes.tolist() == want[1][k:k + 7].tolist() and ids.tolist() == want[0][at:at + len(ids)].tolist()
+
+
+def test_tokenizers_with_other_rules_encode_whole_texts():
+    assert rans_tokens.cuts_at_words(BPE) and not rans_tokens.cuts_at_words(tokenizer_path("word_bpe_49k.json"))
+
+
 def test_spans_decode_in_parallel(spark):
     rng = np.random.default_rng(3)
     kept = [(50_000 * rng.random(n) ** 3).astype(np.uint32) for n in (0, 1, 900, 60_000, 300_000)]
