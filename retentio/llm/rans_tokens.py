@@ -298,8 +298,9 @@ class BpeEncoder:
         self.table = WordTable(self.words, self.whole, self.usable, np.uint16 if n <= 1 << 16 else np.uint32,
                                limit) if cuts_at_words(path) else None
 
-    def whole(self, text: bytes) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
+    def whole(self, text: str | bytes) -> list[int]:
+        text = text if isinstance(text, str) else text.decode()
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     @staticmethod
     def usable(word: bytes) -> bool:
