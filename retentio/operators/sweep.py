@@ -7,12 +7,18 @@ top-K is ``row_number() <= K`` over (scenario, w) ordered by (priority desc,
 member_key), which Catalyst turns into a partial WindowGroupLimit before the
 shuffle (each task ships at most K rows per group) and a final one after it.
 
-First the rows that cannot reach any top-K are dropped (``prune``), at every
-input size: the K-th best priority inside a random sample is never above the
-K-th best of the whole table, so rows below that bound at every weight can go
-before the weight fan-out.  The bound only shrinks the input; results are
-exact whatever the sample holds, and a group whose sample holds fewer than K
-scored rows is not pruned.
+Before the fan-out, rows that can reach no top-K are dropped by a K-skyband
+(``skyband``).  A priority is a mix of two numbers, risk and value after the
+loyalty factor, so a row that K rows beat in both is in no top-K at any
+weight.  Beaters are counted on a grid: the cuts are tail quantiles (any cuts
+give exact results), each cut value is a cell of its own, and rows are
+counted a cell - a summary that merges by addition and holds at most
+(2 * cuts + 1)^2 cells a scenario.  Sums over the cells above and right of a
+cell then bound the beaters of all its rows from below.  Only cells that are
+surely apart count (``APART`` is far above any rounding of a priority), so
+rows that tie with others are kept and ties are cut by key as always.  At the
+ends, weights 0 and 100, one of the two numbers alone decides; a row that can
+only win there is fanned out to that end alone.
 
 The top-K itself has two stages: K rows per (scenario, weight, salt), then K
 per (scenario, weight), so that no task sorts a whole group.  While K is at
@@ -26,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, SEED, WEIGHT_STEP
+from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, WEIGHT_STEP
 from retentio.functions.scalar import round_even
 from retentio.operators.decide import RISK, at_risk_flag
 from retentio.operators.population import priority_expr
@@ -34,11 +40,11 @@ from retentio.operators.rank import top_k_per_group
 
 GROUP = ("Scenario",)
 SWEEP_COLUMNS = ("member_key", RISK, "Normalized_Value", "Loyalty_Weight", "Is_Sleeping_Dog", "Net_ROI")
-# Share of the rows whose K-th best priority bounds the prune.
-PRUNE_FRACTION = 0.1
-# Priorities lie in [-1, 1.5]; float rounding moves them by ~1e-16, so a
-# margin of 1e-9 keeps the cheap end-point test on the safe side.
-PRUNE_ROUNDING_MARGIN = 1e-9
+# Quantiles that cut the grid: tails of 2^0 to 2^-12, three an octave.
+TAIL_LEVELS = tuple(1.0 - 2.0 ** (-k / 3) for k in range(37))
+QUANTILE_ACCURACY = 20_000
+# Least relative distance of two cuts: priorities round to about 1e-15.
+APART = 1e-9
 
 
 def _weights(step: int):
@@ -57,64 +63,115 @@ def top_rows(x: DataFrame, capacity: int, group_cols) -> DataFrame:
                            [F.col("p").desc(), F.col("member_key")], capacity)
 
 
-def prune_bounds(df: DataFrame, capacity: int, fraction: float = PRUNE_FRACTION, group_cols=GROUP,
-                 step: int = WEIGHT_STEP, seed: int = SEED) -> DataFrame:
-    """Per group, an array of (w, bound) with bound <= the true K-th best priority.
+def _pair(df: DataFrame, group_cols) -> DataFrame:
+    """Scored rows with the two numbers that a priority mixes: ``_a`` (weight 100) and ``_b`` (weight 0)."""
+    base = df.select(*group_cols, *SWEEP_COLUMNS)
 
-    A group gets a row only if its sample held at least K scored members at
-    every weight; other groups are not pruned.
-    """
-    n_weights = len(range(0, 101, step))
-    smp = df.select(*group_cols, *SWEEP_COLUMNS).sample(fraction=fraction, seed=seed)
-    top = top_rows(weight_priorities(smp, group_cols, step), capacity, group_cols)
-    per_w = top.groupBy(*group_cols, "w").agg(F.min("p").alias("bound"), F.count("*").alias("n"))
-    return (per_w.groupBy(*group_cols)
-            .agg(F.sort_array(F.collect_list(F.struct("w", "bound"))).alias("bounds"),
-                 F.min("bound").alias("min_bound"),
-                 F.min("n").alias("n_min"), F.count("*").alias("n_w"))
-            .filter((F.col("n_min") >= F.lit(int(capacity))) & (F.col("n_w") == F.lit(n_weights)))
-            .select(*group_cols, "bounds", "min_bound"))
-
-
-def prune(df: DataFrame, bounds: DataFrame, group_cols=GROUP, step: int = WEIGHT_STEP) -> DataFrame:
-    """Keep rows that reach the bound at some weight (all rows of unbounded groups).
-
-    The test evaluates the same priority expression as the ranking, so a row
-    tied with the bound is kept.  (An OR of 51 inlined comparisons was tried:
-    it outgrows the generated-method size limit and runs slower.)
+    def side(c):
+        return F.when(F.col("Is_Sleeping_Dog"), F.lit(-1.0)).otherwise(F.col(c) * F.col("Loyalty_Weight"))
+
+    return base.withColumns({"_a": side(RISK), "_b": side("Normalized_Value")}).filter(
+        F.col("_a").isNotNull() & F.col("_b").isNotNull())
+
+
+def _cuts(pairs: DataFrame, group_cols) -> DataFrame:
+    """Per group the cut values of both numbers, ascending and ``APART`` from each other."""
+    levels = F.array(*[F.lit(x) for x in TAIL_LEVELS])
+    size = F.lit(1.0) + F.max(F.abs("_a")) + F.max(F.abs("_b"))
+    found = pairs.groupBy(*group_cols).agg(
+        *[F.percentile_approx(c, levels, QUANTILE_ACCURACY).alias(c) for c in ("_a", "_b")], size.alias("_size"))
+
+    def spaced(c):
+        own = F.array_sort(F.array_distinct(c))
+        before = F.transform(own, lambda x, i: F.struct(x.alias("x"), F.when(i > 0, F.get(own, i - 1)).alias("last")))
+        far = F.filter(before, lambda s: s["last"].isNull() | (s["x"] - s["last"] >= F.lit(APART) * F.col("_size")))
+        return F.transform(far, lambda s: s["x"])
+
+    return found.select(*group_cols, spaced("_a").alias("_cuts_a"), spaced("_b").alias("_cuts_b"))
+
+
+def _cell(x: str, cuts: str):
+    """2k + 1 on the k-th cut (from 0), else twice the number of cuts below."""
+    below = F.size(F.filter(cuts, lambda c: c < F.col(x)))
+    return F.lit(2) * below + F.array_contains(cuts, F.col(x)).cast("int")
+
+
+def _in_cells(pairs: DataFrame, cuts: DataFrame, group_cols) -> DataFrame:
+    # one row a group of the parameter list: bounded broadcast
+    return (pairs.join(F.broadcast(cuts), list(group_cols))
+            .withColumns({"_i": _cell("_a", "_cuts_a"), "_j": _cell("_b", "_cuts_b")}).drop("_cuts_a", "_cuts_b"))
+
+
+def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
+    """Rows that can reach a top-K, with flags: at weight 0, at weights between, at weight 100.
+
+    A cell's even number names an open interval, an odd one a single value.
+    Values of cell x' are at least those of x if x' > x, or x' = x is odd; they
+    are surely larger (by a whole interval) if x' >= x + 3, or x + 2 for odd x.
+    Rows of (i', j') beat all rows of (i, j) between the ends if they are at
+    least as large in both numbers and surely larger in one.
     """
-    # one row per group; the optimizer broadcasts it when it is small
-    j = df.join(bounds, list(group_cols), "left")
-    # Cheap necessary test first (compiled): priority is linear in the weight,
-    # so its largest value over the weights is at an end (0 or 100); a row
-    # whose ends stay below the smallest bound, by more than any rounding
-    # difference, cannot reach a bound.  Survivors get the exact test.
-    ends = F.greatest(priority_expr(0), priority_expr(100))
-    may_reach = ends + F.lit(PRUNE_ROUNDING_MARGIN) >= F.col("min_bound")
-    reach = F.exists(F.col("bounds"), lambda b: priority_expr(b["w"]) >= b["bound"])
-    keep = F.col("bounds").isNull() | (F.coalesce(may_reach, F.lit(False)) & F.coalesce(reach, F.lit(False)))
-    return j.filter(keep).drop("bounds", "min_bound")
+    group_cols = list(group_cols)
+    pairs = _pair(df, group_cols)
+    cuts = _cuts(pairs, group_cols)
+    rows = _in_cells(pairs, cuts, group_cols)
+    counts = rows.groupBy(*group_cols, "_i", "_j").agg(F.count("*").alias("_n"))
+    last = 2 * len(TAIL_LEVELS) + 1
+    grid = (cuts.select(*group_cols, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_i"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_j"))
+            .join(counts, [*group_cols, "_i", "_j"], "left").withColumn("_n", F.coalesce("_n", F.lit(0))))
+    up = Window.partitionBy(*group_cols, "_i").orderBy(F.col("_j").desc())
+    right = Window.partitionBy(*group_cols, "_j").orderBy(F.col("_i").desc())
+
+    def shifted(total, window, x):
+        """Sums over cells at least as large, and over cells surely larger, than cell ``x``."""
+        at = [F.coalesce(F.lag(total, k).over(window), F.lit(0)) if k else F.col(total) for k in range(4)]
+        odd = F.col(x) % 2 == 1
+        return F.when(odd, at[0]).otherwise(at[1]), F.when(odd, at[2]).otherwise(at[3])
+
+    grid = grid.withColumn("_row", F.sum("_n").over(Window.partitionBy(*group_cols, "_i")))
+    grid = grid.withColumn("_sum", F.sum("_n").over(up))
+    weak, sure = shifted("_sum", up, "_j")
+    grid = grid.withColumns({"_weak": weak, "_sure": sure})
+    grid = grid.withColumns({"_cw": F.sum("_weak").over(right), "_cs": F.sum("_sure").over(right),
+                             "_cr": F.sum("_row").over(right),
+                             "_low_end": F.sum("_sure").over(Window.partitionBy(*group_cols, "_j"))})
+    (cs_weak, cs_sure), (_, cw_sure), (_, cr_sure) = (shifted(c, right, "_i") for c in ("_cs", "_cw", "_cr"))
+    k = F.lit(int(capacity))
+    flags = grid.select(*group_cols, "_i", "_j", "_n", (F.col("_low_end") < k).alias("_at_0"),
+                        (cs_weak + cw_sure - cs_sure < k).alias("_between"), (cr_sure < k).alias("_at_100"))
+    flags = flags.filter((F.col("_n") > 0) & (F.col("_at_0") | F.col("_between") | F.col("_at_100"))).drop("_n")
+    # at most (2 * cuts + 2)^2 rows a group: bounded broadcast
+    return rows.join(F.broadcast(flags), [*group_cols, "_i", "_j"]).drop("_i", "_j", "_a", "_b")
 
 
 def pruned_priorities(df: DataFrame, capacity: int, step: int = WEIGHT_STEP, group_cols=GROUP,
-                      fraction: float = PRUNE_FRACTION) -> DataFrame:
+                      prune: bool = True) -> DataFrame:
     """Rows of ``weight_priorities`` that can reach a top-K (all that do are there)."""
     group_cols = list(group_cols)
-    base = df.select(*group_cols, *SWEEP_COLUMNS)
-    if group_cols:
-        base = prune(base, prune_bounds(base, capacity, fraction, group_cols, step), group_cols, step)
-    return weight_priorities(base, group_cols, step)
+    if not prune or not group_cols:
+        return weight_priorities(df, group_cols, step)
+    none = F.array().cast("array<int>")
+    ends = {"_at_0": [w for w in range(0, 101, int(step)) if w == 0],
+            "_between": [w for w in range(0, 101, int(step)) if 0 < w < 100],
+            "_at_100": [w for w in range(0, 101, int(step)) if w == 100]}
+    weights = F.concat(*[F.when(F.col(flag), F.array(*map(F.lit, ws)).cast("array<int>")).otherwise(none)
+                         for flag, ws in ends.items()])
+    x = skyband(df, capacity, group_cols).select(*group_cols, *SWEEP_COLUMNS, F.explode(weights).alias("w"))
+    return x.withColumn("p", priority_expr(F.col("w")))
 
 
 def tradeoff_curve(df: DataFrame, capacity: int = DEFAULT_CAPACITY, step: int = WEIGHT_STEP,
-                   group_cols=GROUP, fraction: float = PRUNE_FRACTION) -> DataFrame:
+                   group_cols=GROUP, fraction: float = 1.0) -> DataFrame:
     """One row per (scenario, weight): captured ROI and at-risk members reached.
 
+    ``fraction`` 0 ranks all rows at all weights, without the skyband.
+
     ROI is summed as decimal, so equal top-K sets give equal sums whatever the
     summation order; it is reported as a double rounded to 4 places.
     """
     group_cols = list(group_cols)
-    top = top_rows(pruned_priorities(df, capacity, step, group_cols, fraction), capacity, group_cols)
+    top = top_rows(pruned_priorities(df, capacity, step, group_cols, fraction > 0), capacity, group_cols)
     return (top.groupBy(*group_cols, F.col("w").cast("int").alias("Risk_Weight_Pct"))
             .agg(F.sum(F.col("Net_ROI").cast("decimal(38,8)")).alias("_roi"),
                  F.count_if(at_risk_flag()).cast("long").alias("At_Risk_Reached"))

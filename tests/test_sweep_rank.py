@@ -162,3 +162,61 @@ def test_large_capacity_changes_no_setting(spark):
     top = top_k_per_group(df, ["g"], [F.col("k").desc()], 1500, key="k")
     assert top.count() == 3 * 1500 and top.agg(F.max("rn")).first()[0] == 1500
     assert dict(spark.conf.getAll) == before
+
+
+def _sweep_rows(kind: str, n: int = 1500):
+    """(risk, value, loyalty, dog) by member key: smooth, tied, copied, degenerate and odd populations."""
+    rng = np.random.default_rng(8)
+    risk, value, loyal = rng.random(n), rng.lognormal(0, 2, n), 1 + 0.5 * rng.random(n)
+    value /= value.max()
+    dog = rng.random(n) < 0.3
+    if kind == "ties":  # capped, rounded and with few values
+        risk, value, loyal = np.minimum(1, np.round(risk * 1.4, 1)), np.round(value, 2), np.ones(n)
+    elif kind == "copies":  # a third share one row at the very top
+        risk[::3], value[::3], loyal[::3], dog[::3] = 1.0, 1.0, 1.5, False
+    elif kind == "one":
+        risk[:], value[:], loyal[:] = 0.25, 0.5, 1.0
+    elif kind == "against":  # no row beats another
+        risk = np.sort(rng.random(n))
+        value, loyal, dog = 1 - risk, np.ones(n), np.zeros(n, bool)
+    elif kind == "close":  # neighbours differ by single roundings
+        risk, loyal, dog = 0.5 + np.arange(n) % 7 * 2.0 ** -53, np.ones(n), np.zeros(n, bool)
+        value = 0.5 + np.arange(n) % 5 * 2.0 ** -53
+    return risk, value, loyal, dog
+
+
+@pytest.mark.parametrize("kind", ["smooth", "ties", "copies", "one", "against", "close"])
+def test_skyband_equals_brute_force(spark, kind):
+    from retentio.operators.sweep import pruned_priorities, top_rows
+    risk, value, loyal, dog = _sweep_rows(kind)
+    n = len(risk)
+    key = np.random.default_rng(1).permutation(n)
+    rows = [("s", int(key[i]), float(risk[i]), float(value[i]), float(loyal[i]), bool(dog[i]), float(i))
+            for i in range(n)] + [("s", n + 1, None, 0.9, 1.0, None, 1.0), ("s", n + 2, 0.9, None, 1.0, False, 1.0)]
+    df = spark.createDataFrame(rows, "Scenario string, member_key long, Churn_Risk_Score double, "
+                               "Normalized_Value double, Loyalty_Weight double, Is_Sleeping_Dog boolean, "
+                               "Net_ROI double").repartition(4).cache()
+    for capacity in (1, 100, n + 10):
+        got: dict = {}
+        for r in top_rows(pruned_priorities(df, capacity), capacity, ["Scenario"]).collect():
+            got.setdefault(r.w, {})[r.rn] = r.member_key
+        assert sorted(got) == list(range(0, 101, 2))
+        for w in range(0, 101, 2):
+            p = (risk * w / 100 + value * (100 - w) / 100) * loyal
+            p[dog] = -1.0
+            want = key[np.lexsort((key, -p))[:capacity]].tolist()
+            assert [got[w][k] for k in sorted(got[w])] == want, (kind, capacity, w)
+    df.unpersist()
+
+
+def test_skyband_drops_most_rows_and_draws_no_sample(spark):
+    from retentio.operators.sweep import pruned_priorities, skyband
+    df = spark.range(40_000).select(
+        (F.col("id") % 2).cast("string").alias("Scenario"), F.col("id").alias("member_key"), F.rand(1).alias("Churn_Risk_Score"),
+        F.rand(2).alias("Normalized_Value"), F.lit(1.0).alias("Loyalty_Weight"),
+        (F.rand(3) < 0.3).alias("Is_Sleeping_Dog"), F.lit(1.0).alias("Net_ROI"))
+    kept = skyband(df, 100).count()
+    assert 200 <= kept < 5000
+    assert pruned_priorities(df, 100).count() < 100_000  # of 2,040,000
+    plan = pruned_priorities(df, 100)._jdf.queryExecution().toString()
+    assert "Sample" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
