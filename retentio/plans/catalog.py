@@ -20,7 +20,7 @@ from retentio.constants import (
 from retentio.functions.scalar import (
     allocation_text, clip, member_id, min_max_scale, money_text, percent, round_even, tenure_band,
 )
-from retentio.operators import learn, report
+from retentio.operators import forest, learn, report
 from retentio.operators.brief import brief, importance_chart
 from retentio.operators.decide import best_channel, decide, decide_scenarios, with_scenarios
 from retentio.operators.population import loyalty_weight_expr, population_scalars, priority_expr
@@ -511,6 +511,7 @@ def l6_score_population(spark, sf):
 
 
 _METRICS: dict = {}
+_NODES: dict = {}
 
 
 def _metrics(spark, sf):
@@ -574,6 +575,29 @@ def d15_score_scenarios_learned(spark, sf):
     return score_scenarios(scored, SCENARIOS, K)
 
 
+def _nodes(spark, sf):
+    """The node table of the fitted model, stored once beside it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _NODES:
+        _NODES[key] = materialize(forest.node_table(trained(spark, sf).model))
+    return _NODES[key]
+
+
+def l4_node_table(spark, sf):
+    return _nodes(spark, sf)
+
+
+def l6_score_by_nodes(spark, sf):
+    """L6, F14 as joins with the node table (equal to L6_score_population)."""
+    model = trained(spark, sf).model
+    return forest.score_by_nodes(_trained_members(spark, sf), _nodes(spark, sf), model.getNumTrees,
+                                 model.getOrDefault("maxDepth"))
+
+
+def l11_importances_by_nodes(spark, sf):
+    return forest.importances_by_nodes(_nodes(spark, sf))
+
+
 def l14_headline(spark, sf):
     return learn.headline(_metrics(spark, sf))
 
@@ -687,4 +711,7 @@ QUERIES: dict[str, Query] = {
     "L12_metrics": l12_metrics,
     "L13_scored_export": l13_scored_export,
     "L14_headline": l14_headline,
+    "L4_node_table": l4_node_table,
+    "L6_score_by_nodes": l6_score_by_nodes,
+    "L11_importances_by_nodes": l11_importances_by_nodes,
 }
