@@ -41,9 +41,13 @@ def loyalty_weight_expr(loyalty: float = DEFAULT_LOYALTY) -> Column:
     return F.lit(1.0) + F.lit(abs(float(loyalty))) * F.lit(0.5) * target
 
 
-def with_population(df: DataFrame, loyalty: float = DEFAULT_LOYALTY, group_cols=GROUP) -> DataFrame:
-    """Attach the scalars, loyalty weight and normalised value (value / max value)."""
-    scal = population_scalars(df, group_cols)
+def with_population(df: DataFrame, loyalty: float = DEFAULT_LOYALTY, group_cols=GROUP,
+                    scalars: DataFrame | None = None) -> DataFrame:
+    """Attach the scalars, loyalty weight and normalised value (value / max value).
+
+    ``scalars``: rows of :func:`population_scalars`, if they are known already.
+    """
+    scal = population_scalars(df, group_cols) if scalars is None else scalars
     return (
         df.join(F.broadcast(scal), list(group_cols))
         .withColumn("Loyalty_Weight", loyalty_weight_expr(loyalty))

@@ -3,8 +3,9 @@
 One plan for all margin scenarios: the scenario list is expanded per member
 (no join), population scalars come from one aggregate per scenario, and the
 rank runs distributed (see rank.py).  Building it writes two tables, the
-members and the ranked rows; members without a score are ranked last and are
-in no target list.
+members and the rows to rank (scenario, priority, key); the sweep's optimum
+is small and recomputed by its readers.  Members without a score are ranked
+last and are in no target list.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from retentio.constants import (
 )
 from retentio.functions.scalar import allocation_text, member_id, percent, round_even, tenure_band
 from retentio.operators.decide import Costs, decide_scenarios
-from retentio.operators.population import priority_expr, with_population
-from retentio.operators.rank import global_rank, top_k_per_group
+from retentio.operators.population import population_scalars, priority_expr, with_population
+from retentio.operators.rank import counted_rank, top_k_per_group
 from retentio.operators.sweep import optimal_weight, tradeoff_curve
 from retentio.session import materialize
 
@@ -37,25 +38,48 @@ def score_scenarios(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEF
 
     The member table is materialised once (the population aggregate, the
     sweep and the rank read it); the decisions on top of it are row-local
-    projections, recomputed by each reader instead of stored.
+    projections, recomputed by each reader instead of stored.  Ranks are made
+    on (scenario, priority, key) alone and joined back by key, once a member
+    and before the scenarios are expanded.  ``member_key`` must be unique; a
+    repeated one raises an error.
     """
-    scored = scored_at_optimum(members, scenarios, capacity, costs, loyalty, step, how)
-    if not full:
-        scored = scored.select(*_NEEDED)
-    ranked = global_rank(scored, rank_order(), ["Scenario"], rank_col="Priority_Rank", how=how)
-    return _finish(ranked, capacity, full)
+    members = materialize(members, how)
+    scored, best, scalars = _scored(members, scenarios, capacity, costs, loyalty, step)
+    narrow = materialize(scored.select("Scenario", "member_key", "Priority_Score"), how)
+    ranks = counted_rank(narrow, "Priority_Score", "member_key", rank_col="Priority_Rank")
+    n = len(scenarios)
+    by_member = ranks.groupBy("member_key").agg(
+        F.collect_list(F.struct("Scenario", "Priority_Rank")).alias("_ranks")).select(
+        F.col("member_key").alias("_key"), F.when(F.size("_ranks") == n, F.map_from_entries("_ranks")).otherwise(
+            F.raise_error(F.concat(F.lit("member_key is not unique: "), F.coalesce(F.col("member_key").cast("string"), F.lit("null")))))
+        .alias("_ranks"))
+    ranked = members.join(by_member, F.col("member_key").eqNullSafe(F.col("_key"))).drop("_key")
+    table = _at_optimum(with_population(decide_scenarios(ranked, scenarios, costs), loyalty, scalars=scalars), best)
+    table = table.withColumn("Priority_Rank", F.element_at("_ranks", F.col("Scenario"))).drop("_ranks")
+    return _finish(table if full else table.select(*_NEEDED, "Priority_Rank"), capacity, full)
+
+
+def _at_optimum(dec: DataFrame, best: DataFrame) -> DataFrame:
+    # one row per scenario of the parameter list: bounded broadcast
+    return (dec.join(F.broadcast(best.select("Scenario", "Optimal_Risk_Weight_Pct")), "Scenario")
+            .withColumn("Priority_Score", priority_expr(F.col("Optimal_Risk_Weight_Pct"))))
+
+
+def _scored(members: DataFrame, scenarios, capacity: int, costs: Costs, loyalty: float,
+            step: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Decisions at the optimum, the optimum and the population's scalars, over a stored member table."""
+    decided = decide_scenarios(members, scenarios, costs)
+    scalars = population_scalars(decided)
+    dec = with_population(decided, loyalty, scalars=scalars)
+    best = optimal_weight(tradeoff_curve(dec, capacity, step))
+    return _at_optimum(dec, best), best, scalars
 
 
 def scored_at_optimum(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY,
                       costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY, step: int = WEIGHT_STEP,
                       how: str | None = None) -> DataFrame:
     """Every member and scenario with the scenario's best weight and the priority at it."""
-    members = materialize(members, how)
-    dec = scenario_decisions(members, scenarios, costs, loyalty)
-    best = optimal_weight(tradeoff_curve(dec, capacity, step))
-    # one row per scenario of the parameter list: bounded broadcast
-    return (dec.join(F.broadcast(best.select("Scenario", "Optimal_Risk_Weight_Pct")), "Scenario")
-            .withColumn("Priority_Score", priority_expr(F.col("Optimal_Risk_Weight_Pct"))))
+    return _scored(materialize(members, how), scenarios, capacity, costs, loyalty, step)[0]
 
 
 def scenario_targets(members: DataFrame, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY) -> DataFrame:

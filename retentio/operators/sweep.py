@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, WEIGHT_STEP
+from retentio.functions.cuts import blocked, cell
 from retentio.functions.scalar import round_even
 from retentio.operators.decide import RISK, at_risk_flag
 from retentio.operators.population import priority_expr
@@ -87,19 +88,14 @@ def _cuts(pairs: DataFrame, group_cols) -> DataFrame:
         far = F.filter(before, lambda s: s["last"].isNull() | (s["x"] - s["last"] >= F.lit(APART) * F.col("_size")))
         return F.transform(far, lambda s: s["x"])
 
-    return found.select(*group_cols, spaced("_a").alias("_cuts_a"), spaced("_b").alias("_cuts_b"))
-
-
-def _cell(x: str, cuts: str):
-    """2k + 1 on the k-th cut (from 0), else twice the number of cuts below."""
-    below = F.size(F.filter(cuts, lambda c: c < F.col(x)))
-    return F.lit(2) * below + F.array_contains(cuts, F.col(x)).cast("int")
+    return found.select(*group_cols, blocked(spaced("_a")).alias("_cuts_a"), blocked(spaced("_b")).alias("_cuts_b"))
 
 
 def _in_cells(pairs: DataFrame, cuts: DataFrame, group_cols) -> DataFrame:
     # one row a group of the parameter list: bounded broadcast
     return (pairs.join(F.broadcast(cuts), list(group_cols))
-            .withColumns({"_i": _cell("_a", "_cuts_a"), "_j": _cell("_b", "_cuts_b")}).drop("_cuts_a", "_cuts_b"))
+            .withColumns({"_i": cell(F.col("_a"), "_cuts_a"), "_j": cell(F.col("_b"), "_cuts_b")})
+            .drop("_cuts_a", "_cuts_b"))
 
 
 def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:

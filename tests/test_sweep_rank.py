@@ -220,3 +220,38 @@ def test_skyband_drops_most_rows_and_draws_no_sample(spark):
     assert pruned_priorities(df, 100).count() < 100_000  # of 2,040,000
     plan = pruned_priorities(df, 100)._jdf.queryExecution().toString()
     assert "Sample" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 7, 40])
+def test_counted_rank_equals_row_number(spark, pieces):
+    """Hot values, nulls, NaN, a group without values, null groups and keys of either type."""
+    from retentio.operators.rank import counted_rank
+    n = 4000
+    df = spark.range(n).select(
+        (F.col("id") * 7919 % n).alias("k"),
+        F.when(F.col("id") % 5 < 3, (F.col("id") % 2).cast("string")).when(F.col("id") % 5 == 3, "none").alias("g"),
+        F.when((F.col("id") % 5 == 3) | (F.col("id") % 17 == 0), F.lit(None)).when(F.col("id") % 19 == 0, float("nan"))
+        .when(F.col("id") % 3 == 0, -1.0).otherwise((F.col("id") * 31 % 500) / 10.0).alias("p"))
+    w = Window.partitionBy("g").orderBy(F.col("p").desc_nulls_last(), F.col("k"))
+    for rows in (df, df.withColumn("k", F.format_string("key%05d", "k"))):
+        want = rows.withColumn("r", F.row_number().over(w))
+        got = counted_rank(rows, "p", "k", ["g"], "r", pieces)
+        key = lambda x: str(x)
+        assert sorted(((x.g, x.k, x.r) for x in got.collect()), key=key) == sorted(
+            ((x.g, x.k, x.r) for x in want.select("g", "k", "r").collect()), key=key)
+    assert counted_rank(df.limit(0), "p", "k", ["g"], "r", pieces).count() == 0
+
+
+def test_rank_sorts_narrow_rows_and_shuffles_members_once(spark, members_small):
+    from retentio.session import materialize
+    table = score_scenarios(materialize(members_small, "table"), SCENARIOS, capacity=20)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    sorted_rows = [line for line in plan.splitlines() if "row_number()" in line and "_at#" in line]
+    assert sorted_rows and all("Credit_Limit" not in x and "Total_Account_Value" not in x for x in sorted_rows)
+    assert "rangepartitioning" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_member_keys_are_refused(spark, members_small):
+    twice = members_small.unionByName(members_small.limit(3))
+    with pytest.raises(Exception, match="member_key is not unique"):
+        score_scenarios(twice, BASE, capacity=5).collect()
