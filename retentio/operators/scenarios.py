@@ -69,9 +69,10 @@ def _scored(members: DataFrame, scenarios, capacity: int, costs: Costs, loyalty:
             step: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Decisions at the optimum, the optimum and the population's scalars, over a stored member table."""
     decided = decide_scenarios(members, scenarios, costs)
-    scalars = population_scalars(decided)
+    # a row a scenario each, read by several steps: stored
+    scalars = materialize(population_scalars(decided))
     dec = with_population(decided, loyalty, scalars=scalars)
-    best = optimal_weight(tradeoff_curve(dec, capacity, step))
+    best = materialize(optimal_weight(tradeoff_curve(dec, capacity, step)))
     return _at_optimum(dec, best), best, scalars
 
 

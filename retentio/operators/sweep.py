@@ -29,8 +29,10 @@ K a session may raise it, the results don't depend on it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, WEIGHT_STEP
 from retentio.functions.cuts import blocked, cell
@@ -91,15 +93,8 @@ def _cuts(pairs: DataFrame, group_cols) -> DataFrame:
     return found.select(*group_cols, blocked(spaced("_a")).alias("_cuts_a"), blocked(spaced("_b")).alias("_cuts_b"))
 
 
-def _in_cells(pairs: DataFrame, cuts: DataFrame, group_cols) -> DataFrame:
-    # one row a group of the parameter list: bounded broadcast
-    return (pairs.join(F.broadcast(cuts), list(group_cols))
-            .withColumns({"_i": cell(F.col("_a"), "_cuts_a"), "_j": cell(F.col("_b"), "_cuts_b")})
-            .drop("_cuts_a", "_cuts_b"))
-
-
-def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
-    """Rows that can reach a top-K, with flags: at weight 0, at weights between, at weight 100.
+def beaten(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that surely beat all rows of each cell of ``counts`` (i, j): at weight 0, between, at weight 100.
 
     A cell's even number names an open interval, an odd one a single value.
     Values of cell x' are at least those of x if x' > x, or x' = x is odd; they
@@ -107,38 +102,45 @@ def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
     Rows of (i', j') beat all rows of (i, j) between the ends if they are at
     least as large in both numbers and surely larger in one.
     """
+    n, m = counts.shape
+    above = np.zeros((n + 4, m + 4), dtype=np.int64)  # rows of cells (i', j') with i' >= i and j' >= j
+    above[:n, :m] = counts[::-1, ::-1].cumsum(axis=0).cumsum(axis=1)[::-1, ::-1]
+    i, j = np.arange(n)[:, None], np.arange(m)[None, :]
+    weak = lambda x: x + 1 - x % 2
+    sure = lambda x: x + 3 - x % 2
+    between = above[weak(i), sure(j)] + above[sure(i), weak(j)] - above[sure(i), sure(j)]
+    return above[0 * i, sure(j)] + 0 * i, between, above[sure(i), 0 * j] + 0 * j
+
+
+def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
+    """Rows that can reach a top-K, with ``_ends``: bit 1 at weight 0, 2 between the ends, 4 at weight 100.
+
+    Runs two jobs over ``df``: the cut values, and the counts a cell.  The
+    driver sees a row a group and the cells, a number set by the cuts alone.
+    """
     group_cols = list(group_cols)
+    spark = df.sparkSession
     pairs = _pair(df, group_cols)
     cuts = _cuts(pairs, group_cols)
-    rows = _in_cells(pairs, cuts, group_cols)
-    counts = rows.groupBy(*group_cols, "_i", "_j").agg(F.count("*").alias("_n"))
-    last = 2 * len(TAIL_LEVELS) + 1
-    grid = (cuts.select(*group_cols, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_i"))
-            .select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_j"))
-            .join(counts, [*group_cols, "_i", "_j"], "left").withColumn("_n", F.coalesce("_n", F.lit(0))))
-    up = Window.partitionBy(*group_cols, "_i").orderBy(F.col("_j").desc())
-    right = Window.partitionBy(*group_cols, "_j").orderBy(F.col("_i").desc())
-
-    def shifted(total, window, x):
-        """Sums over cells at least as large, and over cells surely larger, than cell ``x``."""
-        at = [F.coalesce(F.lag(total, k).over(window), F.lit(0)) if k else F.col(total) for k in range(4)]
-        odd = F.col(x) % 2 == 1
-        return F.when(odd, at[0]).otherwise(at[1]), F.when(odd, at[2]).otherwise(at[3])
-
-    grid = grid.withColumn("_row", F.sum("_n").over(Window.partitionBy(*group_cols, "_i")))
-    grid = grid.withColumn("_sum", F.sum("_n").over(up))
-    weak, sure = shifted("_sum", up, "_j")
-    grid = grid.withColumns({"_weak": weak, "_sure": sure})
-    grid = grid.withColumns({"_cw": F.sum("_weak").over(right), "_cs": F.sum("_sure").over(right),
-                             "_cr": F.sum("_row").over(right),
-                             "_low_end": F.sum("_sure").over(Window.partitionBy(*group_cols, "_j"))})
-    (cs_weak, cs_sure), (_, cw_sure), (_, cr_sure) = (shifted(c, right, "_i") for c in ("_cs", "_cw", "_cr"))
-    k = F.lit(int(capacity))
-    flags = grid.select(*group_cols, "_i", "_j", "_n", (F.col("_low_end") < k).alias("_at_0"),
-                        (cs_weak + cw_sure - cs_sure < k).alias("_between"), (cr_sure < k).alias("_at_100"))
-    flags = flags.filter((F.col("_n") > 0) & (F.col("_at_0") | F.col("_between") | F.col("_at_100"))).drop("_n")
-    # at most (2 * cuts + 2)^2 rows a group: bounded broadcast
-    return rows.join(F.broadcast(flags), [*group_cols, "_i", "_j"]).drop("_i", "_j", "_a", "_b")
+    schema, held = cuts.schema, cuts.collect()
+
+    def placed(table: DataFrame) -> DataFrame:
+        # one row a group of the parameter list: bounded broadcast
+        return pairs.join(F.broadcast(table), group_cols).withColumns(
+            {"_i": cell(F.col("_a"), "_cuts_a"), "_j": cell(F.col("_b"), "_cuts_b")}).drop("_cuts_a", "_cuts_b")
+
+    counted = (placed(spark.createDataFrame(held, schema)).groupBy(*group_cols, "_i", "_j").count().collect())
+    side = 2 * len(TAIL_LEVELS) + 1
+    grids = {tuple(r[g] for g in group_cols): np.zeros((side, side), dtype=np.int64) for r in held}
+    for r in counted:
+        grids[tuple(r[g] for g in group_cols)][r["_i"], r["_j"]] = r["count"]
+    rows = []
+    for r in held:
+        low, between, high = (b < capacity for b in beaten(grids[tuple(r[g] for g in group_cols)]))
+        rows.append((*r, (low * 1 + between * 2 + high * 4).reshape(-1).tolist()))
+    ends = T.StructType([*schema.fields, T.StructField("_flags", T.ArrayType(T.IntegerType()))])
+    found = placed(spark.createDataFrame(rows, ends)).withColumn("_ends", F.get("_flags", F.col("_i") * side + F.col("_j")))
+    return found.filter(F.col("_ends") > 0).drop("_i", "_j", "_a", "_b", "_flags")
 
 
 def pruned_priorities(df: DataFrame, capacity: int, step: int = WEIGHT_STEP, group_cols=GROUP,
@@ -148,11 +150,10 @@ def pruned_priorities(df: DataFrame, capacity: int, step: int = WEIGHT_STEP, gro
     if not prune or not group_cols:
         return weight_priorities(df, group_cols, step)
     none = F.array().cast("array<int>")
-    ends = {"_at_0": [w for w in range(0, 101, int(step)) if w == 0],
-            "_between": [w for w in range(0, 101, int(step)) if 0 < w < 100],
-            "_at_100": [w for w in range(0, 101, int(step)) if w == 100]}
-    weights = F.concat(*[F.when(F.col(flag), F.array(*map(F.lit, ws)).cast("array<int>")).otherwise(none)
-                         for flag, ws in ends.items()])
+    every = range(0, 101, int(step))
+    ends = {1: [w for w in every if w == 0], 2: [w for w in every if 0 < w < 100], 4: [w for w in every if w == 100]}
+    weights = F.concat(*[F.when(F.col("_ends").bitwiseAND(bit) > 0, F.array(*map(F.lit, ws)).cast("array<int>"))
+                         .otherwise(none) for bit, ws in ends.items()])
     x = skyband(df, capacity, group_cols).select(*group_cols, *SWEEP_COLUMNS, F.explode(weights).alias("w"))
     return x.withColumn("p", priority_expr(F.col("w")))
 
