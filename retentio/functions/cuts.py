@@ -6,8 +6,11 @@ row is compared with the last cut of each block and then with one block.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = 16
 
@@ -28,3 +31,18 @@ def cell(x: Column, held: str | Column) -> Column:
     block = F.slice(held["cuts"], skipped + 1, F.lit(BLOCK))
     below = skipped + F.size(F.filter(block, lambda c: c < x))
     return F.when(x.isNotNull(), 2 * below + F.coalesce(F.get(held["cuts"], below) == x, F.lit(False)).cast("int"))
+
+
+def constant_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few known rows as a constant of the plan (no Python worker, no job)."""
+    values = F.from_json(F.lit(json.dumps(rows, default=str)), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(values))
+
+
+def held_rows(df: DataFrame) -> DataFrame:
+    """``df``, a table of a few rows such as the cuts, evaluated once and held as a constant.
+
+    Quantile sketches may differ from run to run; two readers of one plan must
+    see the same cuts.
+    """
+    return constant_rows(df.sparkSession, [r.asDict(recursive=True) for r in df.collect()], df.schema)

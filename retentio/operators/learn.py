@@ -12,8 +12,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +20,6 @@ from retentio.constants import FEATURES, RF_DEPTH, RF_TREES, SEED, TEST_FRACTION
 from retentio.functions.scalar import round_even
 
 LABEL = "Churn_Flag"
-# FIXED VALUES: split hash (prime modulus and multiplicative constant)
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("roc_auc", T.DoubleType()),
@@ -134,9 +132,79 @@ def confusion(pred: DataFrame, label: str = LABEL, prediction: str = "prediction
                    F.lit(0.0)).alias("churn_f1"))
 
 
+CURVE_CELLS = 1 << 16  # equal parts of the score's range, the unit of the curve's prefix sums
+
+
+def curve_counts(pred: DataFrame, label: str = LABEL, score: str | Column = "Churn_Risk_Score",
+                 prediction: str = "prediction", top: float = 1.0) -> DataFrame:
+    """One row: ``roc_auc``, ``pr_auc`` and the confusion counts, in one lazy pass.
+
+    Rows are counted a distinct score, in cells of the range 0..``top`` (scores
+    beyond it share the end cells).  Running sums are taken inside the cells,
+    which are spread over the tasks, and started from the sums of the cells
+    above, a table of at most ``CURVE_CELLS`` + 1 rows.  The areas are those of
+    the trapezoid rule with one point a distinct score: positives against
+    negatives from (0, 0) to (1, 1), and precision against recall from recall
+    0 at the first precision.  No negatives: ROC area 1; no positives: both 0.
+    """
+    x = F.col(score) if isinstance(score, str) else score
+    cells = F.lit(float(CURVE_CELLS))
+    y, p = F.col(label), F.col(prediction)
+    rows = pred.select(x.cast("double").alias("_x"), y.alias("_y"), p.alias("_p")).withColumn(
+        "_cell", F.floor(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_x") / F.lit(float(top)))) * cells))
+    counts = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+    ties = rows.groupBy("_cell", "_x").agg(
+        F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"),
+        *[F.count_if((F.col("_y") == a) & (F.col("_p") == b)).alias(n) for n, (a, b) in counts.items()])
+    down = Window.partitionBy("_cell").orderBy(F.col("_x").desc())
+    ties = ties.withColumns({"_cp": F.sum("_pos").over(down), "_cn": F.sum("_neg").over(down)})
+    # a row a cell: bounded by CURVE_CELLS
+    totals = rows.groupBy(F.col("_cell").alias("_of")).agg(
+        F.count_if(F.col("_y") == 1).alias("_tp"), F.count_if(F.col("_y") == 0).alias("_tn"))
+    above = Window.orderBy(F.col("_of").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(F.col("_of").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = F.lit(0)
+    totals = totals.select("_of", F.coalesce(F.sum("_tp").over(above), zero).alias("_bp"),
+                           F.coalesce(F.sum("_tn").over(above), zero).alias("_bn"),
+                           F.sum("_tp").over(every).alias("_P"), F.sum("_tn").over(every).alias("_N"))
+    points = ties.join(totals, F.col("_cell").eqNullSafe(F.col("_of")))
+    tp, fp = F.col("_bp") + F.col("_cp"), F.col("_bn") + F.col("_cn")
+    points = points.withColumns({"_tp": tp, "_fp": fp}).filter(F.col("_pos") + F.col("_neg") > 0)
+    before = F.col("_tp") - F.col("_pos"), F.col("_fp") - F.col("_neg")
+    precision = F.col("_tp") / (F.col("_tp") + F.col("_fp"))
+    last = F.when(before[0] + before[1] > 0, F.try_divide(before[0], before[0] + before[1])).otherwise(precision)
+    exact = "decimal(38,0)"
+    roc = F.sum(F.col("_neg").cast("decimal(19,0)") * (before[0] + F.col("_tp")).cast("decimal(19,0)")).cast(exact)
+    one = points.agg(
+        roc.alias("_roc"), F.sum(F.col("_pos") * (precision + last)).alias("_pr"),
+        F.max("_P").alias("_P"), F.max("_N").alias("_N"), *[F.sum(n).alias(n) for n in counts])
+    area = F.col("_roc").cast("double") / F.lit(2.0) / F.col("_P").cast("double") / F.col("_N").cast("double")
+    some = F.col("_P") > 0
+    return one.select(
+        F.when(F.col("_N") == 0, F.lit(1.0)).when(some, area).otherwise(F.lit(0.0)).alias("roc_auc"),
+        F.when(some, F.col("_pr") / F.lit(2.0) / F.col("_P")).otherwise(F.lit(0.0)).alias("pr_auc"),
+        *[F.coalesce(F.col(n), zero).cast("long").alias(n) for n in counts])
+
+
+def with_count_scores(one: DataFrame) -> DataFrame:
+    """Adds test size, precision, recall, both F1 scores and accuracy to rows of tp, fp, fn, tn."""
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+
+    def share(a, b):
+        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+
+    f1 = share(2 * tp, 2 * tp + fp + fn)
+    other = share(2 * tn, 2 * tn + fn + fp)
+    return one.withColumns({
+        "test_set_size": (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).cast("long"),
+        "precision": share(tp, tp + fp), "recall": share(tp, tp + fn), "churn_f1": f1,
+        "accuracy": share(tp + tn, n), "f1": share((tp + fn) * f1 + (tn + fp) * other, n)})
+
+
 def curve_scores(pred: DataFrame, label: str = LABEL, score: str = "rawPrediction",
                  num_bins: int = 0) -> dict[str, float]:
-    """Areas under the ROC and precision-recall curves (MLlib evaluator).
+    """L7, L8 by MLlib's evaluator (two passes, run at once); :func:`curve_counts` is the lazy form.
 
     ``num_bins`` 0 is exact, one point a distinct score; a positive number merges
     neighbouring scores into about that many points.
@@ -197,39 +265,20 @@ def metrics_table(pred: DataFrame, model: RandomForestClassificationModel, featu
                   places: int = 4) -> DataFrame:
     """One-row metrics document (scores, confusion, top five, test size).
 
-    The held-out predictions feed three passes (two curve evaluators, one
-    confusion aggregate, from which accuracy and F1 follow), so they are
-    persisted for the duration.
+    A lazy plan: one pass over the held-out predictions gives both areas and
+    the confusion counts, from which the other scores follow.
     """
-    pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scores = curve_scores(pred)
-        # one row of counts, fetched while the predictions are persisted
-        counts = confusion(pred).first().asDict()
-        conf = _literal_rows([counts])
-    finally:
-        pred.unpersist()
-    scores.update(count_scores(counts["tp"], counts["fp"], counts["fn"], counts["tn"]))
+    votes = vector_to_array(F.col("rawPrediction")).getItem(1)
+    one = with_count_scores(curve_counts(pred, score=votes, top=float(model.getNumTrees)))
     vals = model.featureImportances.toArray().tolist()
     order = sorted(range(len(vals)), key=lambda i: -vals[i])[:5]   # stable: ties keep input order
-    top = _literal_rows([{"k": r, "feature": features[i], "importance": float(vals[i])}
-                         for r, i in enumerate(order)]).agg(
-        F.sort_array(F.collect_list(F.struct(
-            F.col("k"), F.col("feature"), round_even("importance", places).alias("importance")))).alias("tf"))
-    top_arr = top.select(F.transform(
-        "tf", lambda s: F.struct(s["feature"].alias("feature"), s["importance"].alias("importance")))).scalar()
-    return conf.select(
-        F.lit(round(scores["roc_auc"], places)).alias("roc_auc"),
-        F.lit(round(scores["pr_auc"], places)).alias("pr_auc"),
-        F.lit(round(scores["accuracy"], places)).alias("accuracy"),
-        F.lit(round(scores["f1"], places)).alias("f1"),
-        round_even("precision", places).alias("precision"),
-        round_even("recall", places).alias("recall"),
-        F.struct(*[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")]).alias("confusion"),
-        top_arr.alias("top_features"),
-        F.col("test_set_size").cast("long").alias("test_set_size"),
-        round_even("churn_f1", places).alias("churn_f1"),
-    )
+    top = F.array(*[F.struct(F.lit(features[i]).alias("feature"),
+                             round_even(F.lit(float(vals[i])), places).alias("importance")) for i in order])
+    scores = ("roc_auc", "pr_auc", "accuracy", "f1", "precision", "recall")
+    return one.select(
+        *[round_even(c, places).alias(c) for c in scores],
+        F.struct("tp", "fp", "fn", "tn").alias("confusion"), top.alias("top_features"),
+        "test_set_size", round_even("churn_f1", places).alias("churn_f1"))
 
 
 def headline(metrics: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retentio.functions.cuts import blocked, cell
+from retentio.functions.cuts import blocked, cell, held_rows
 from retentio.session import materialize
 
 
@@ -70,7 +70,7 @@ def counted_rank(df: DataFrame, value: str, key: str, group_cols=("Scenario",),
     table bounded by the cuts - and sorted inside their cell only: rank = rows
     of the cells before + place in the cell.  Any cuts give exact ranks.  Only
     the groups, the value and the key are shuffled; read ``df`` from a stored
-    table, as it is scanned three times.
+    table, as it is scanned three times, once at once for the cuts.
     """
     group_cols = list(group_cols)
     pieces = int(pieces or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -83,6 +83,7 @@ def counted_rank(df: DataFrame, value: str, key: str, group_cols=("Scenario",),
     none = F.array()
     cuts = cuts.select(*[F.col(g).alias(f"_c{n}") for n, g in enumerate(group_cols)],
                        blocked(F.coalesce("_v", none)).alias("_v"), blocked(F.coalesce("_k", none)).alias("_k"))
+    cuts = held_rows(cuts)
     on = [F.col(g).eqNullSafe(F.col(f"_c{n}")) for n, g in enumerate(group_cols)]
     # one row a group, each bounded by the number of pieces
     placed = rows.join(F.broadcast(cuts), on) if on else rows.crossJoin(F.broadcast(cuts))

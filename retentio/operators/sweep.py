@@ -29,15 +29,13 @@ K a session may raise it, the results don't depend on it.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retentio.constants import DEFAULT_CAPACITY, OBJECTIVE_EPS, WEIGHT_STEP
-from retentio.functions.cuts import blocked, cell
+from retentio.functions.cuts import blocked, cell, constant_rows
 from retentio.functions.scalar import round_even
 from retentio.operators.decide import RISK, at_risk_flag
 from retentio.operators.population import priority_expr
@@ -95,12 +93,6 @@ def _cuts(pairs: DataFrame, group_cols) -> DataFrame:
     return found.select(*group_cols, blocked(spaced("_a")).alias("_cuts_a"), blocked(spaced("_b")).alias("_cuts_b"))
 
 
-def _constant_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
-    """A few known rows as a constant of the plan (no Python worker, no job)."""
-    values = F.from_json(F.lit(json.dumps(rows, default=str)), T.ArrayType(schema))
-    return spark.range(1).select(F.inline(values))
-
-
 def beaten(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows that surely beat all rows of each cell of ``counts`` (i, j): at weight 0, between, at weight 100.
 
@@ -137,7 +129,7 @@ def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
         return pairs.join(F.broadcast(table), group_cols).withColumns(
             {"_i": cell(F.col("_a"), "_cuts_a"), "_j": cell(F.col("_b"), "_cuts_b")}).drop("_cuts_a", "_cuts_b")
 
-    counted = placed(_constant_rows(spark, held, schema)).groupBy(*group_cols, "_i", "_j").count().collect()
+    counted = placed(constant_rows(spark, held, schema)).groupBy(*group_cols, "_i", "_j").count().collect()
     side = 2 * len(TAIL_LEVELS) + 1
     grids = {tuple(r[g] for g in group_cols): np.zeros((side, side), dtype=np.int64) for r in held}
     for r in counted:
@@ -147,7 +139,7 @@ def skyband(df: DataFrame, capacity: int, group_cols=GROUP) -> DataFrame:
         low, between, high = (b < capacity for b in beaten(grids[tuple(r[g] for g in group_cols)]))
         rows.append({**r, "_flags": (low * 1 + between * 2 + high * 4).reshape(-1).tolist()})
     ends = T.StructType([*schema.fields, T.StructField("_flags", T.ArrayType(T.IntegerType()))])
-    found = placed(_constant_rows(spark, rows, ends)).withColumn("_ends", F.get("_flags", F.col("_i") * side + F.col("_j")))
+    found = placed(constant_rows(spark, rows, ends)).withColumn("_ends", F.get("_flags", F.col("_i") * side + F.col("_j")))
     return found.filter(F.col("_ends") > 0).drop("_i", "_j", "_a", "_b", "_flags")
 
 

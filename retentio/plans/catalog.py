@@ -523,17 +523,18 @@ def _metrics(spark, sf):
     return _METRICS[key]
 
 
+def _rule_scores(spark, sf):
+    return learn.with_count_scores(learn.curve_counts(_rule_test_predictions(spark, sf)))
+
+
 def l7_rule_curve_areas(spark, sf):
     """L7, L8 on the rule risk of the test side, where SQL can check them."""
-    areas = learn.curve_scores(_rule_test_predictions(spark, sf), score="Churn_Risk_Score")
-    return spark.range(1).select(*[round_even(F.lit(float(v)), 6).alias(k) for k, v in areas.items()])
+    return _rule_scores(spark, sf).select(*[round_even(c, 6).alias(c) for c in ("roc_auc", "pr_auc")])
 
 
 def l9_rule_count_scores(spark, sf):
     """L9, L10 on the rule prediction of the test side, where SQL can check them."""
-    c = learn.confusion(_rule_test_predictions(spark, sf)).first()  # one row of counts
-    scores = learn.count_scores(c.tp, c.fp, c.fn, c.tn)
-    return spark.range(1).select(*[round_even(F.lit(float(v)), 6).alias(k) for k, v in scores.items()])
+    return _rule_scores(spark, sf).select(*[round_even(c, 6).alias(c) for c in ("accuracy", "f1")])
 
 
 def l7_roc_auc(spark, sf):

@@ -253,3 +253,45 @@ def test_scenarios_on_learned_risk(spark, members_small):
     assert all(r.hi == n and r.k == 20 for r in agg.collect())
     assert tab.filter((F.col("Churn_Risk_Score") < 0) | (F.col("Churn_Risk_Score") > 1)).count() == 0
     tab.unpersist()
+
+
+def _curve_cases():
+    yield "spread", [(float(i % 997) / 997, int((i * i) % 7 < 3)) for i in range(3000)]
+    yield "ties", [(float(i % 5) / 4, int(i % 3 == 0)) for i in range(900)]
+    yield "one cell", [(0.5 + (i % 400) * 1e-9, int((i * 7) % 11 < 4)) for i in range(1500)]
+    yield "beyond the range", [(float(i % 50) - 20, int(i % 4 == 1)) for i in range(500)]
+    yield "one score", [(0.25, i % 2) for i in range(40)]
+
+
+def test_curve_counts_equal_the_evaluator(spark):
+    for name, rows in _curve_cases():
+        pred = spark.createDataFrame([(*r, float(r[0] > 0.5)) for r in rows],
+                                     "rawPrediction double, Churn_Flag int, prediction double").repartition(5)
+        want = learn.curve_scores(pred)
+        got = learn.curve_counts(pred, score="rawPrediction").first()
+        assert (got.roc_auc, got.pr_auc) == pytest.approx((want["roc_auc"], want["pr_auc"]), abs=1e-12), name
+        c = learn.confusion(pred).first()
+        assert (got.tp, got.fp, got.fn, got.tn) == (c.tp, c.fp, c.fn, c.tn)
+    for label, areas in ((1, (1.0, 1.0)), (0, (0.0, 0.0))):
+        pred = spark.createDataFrame([(0.1, label, 0.0), (0.7, label, 1.0)],
+                                     "Churn_Risk_Score double, Churn_Flag int, prediction double")
+        r = learn.curve_counts(pred).first()
+        assert (r.roc_auc, r.pr_auc) == pytest.approx(areas)
+    none = learn.with_count_scores(learn.curve_counts(pred.limit(0))).first()
+    assert none.test_set_size == 0 and none.accuracy == 0.0
+
+
+def test_metrics_are_a_lazy_plan(spark, members_small):
+    t = learn.train_and_evaluate(members_small, trees=6, depth=4)
+    want = learn.curve_scores(t.predictions)
+    group = "metrics-plan"
+    spark.sparkContext.setJobGroup(group, "building the metrics plan")
+    plan = learn.metrics_table(t.predictions, t.model, places=12)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("other", "")
+    assert not jobs
+    r = plan.first()
+    assert (r.roc_auc, r.pr_auc) == pytest.approx((want["roc_auc"], want["pr_auc"]), abs=1e-10)
+    counts = learn.confusion(t.predictions).first()
+    scores = learn.count_scores(counts.tp, counts.fp, counts.fn, counts.tn)
+    assert (r.accuracy, r.f1) == pytest.approx((scores["accuracy"], scores["f1"]), abs=1e-10)
