@@ -2,8 +2,8 @@
 
 Inputs are decision tables from :func:`retentio.operators.scenarios.scenario_decisions`.
 Target lists are top-K rows (a k-row heap per task); profiles are single
-aggregates; comparisons over several lists use one union + one conditional
-aggregate, never a join of one-row tables.
+aggregates; comparisons over several lists take all lists from one scan and
+use one conditional aggregate, never a join of one-row tables.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from retentio.constants import (
     ACTIONS, DEFAULT_CAPACITY, DEFAULT_MANUAL_WEIGHT, FAIRNESS_AGE_GAP, TENURE_BANDS,
 )
 from retentio.functions.scalar import (
-    money_text, months_text, of_capacity_text, pct_text, round_even, tenure_band,
+    allocation_text, money_text, months_text, of_capacity_text, pct_text, round_even, tenure_band,
 )
-from retentio.operators.population import priority_expr
-from retentio.operators.rank import top_k
+from retentio.operators.population import population_state, priority_expr, with_population
+from retentio.operators.rank import top_k, top_k_per_group
 
 
 
@@ -105,27 +105,32 @@ def population_mean_age(dec: DataFrame) -> DataFrame:
     return dec.agg(round_even(F.avg("Customer_Age"), 6).alias("Population_Mean_Age"))
 
 
-def tag_lists(opt: DataFrame, man: DataFrame, manual_weight: int) -> DataFrame:
-    """The rows of the optimal and the manual list, tagged with strategy and weight."""
-    cols = ["Net_ROI", "Customer_Age", "Live_Priority"]
-    return (opt.select(F.lit("optimal").alias("Strategy"),
-                       F.col("Optimal_Risk_Weight_Pct").alias("Risk_Weight_Pct"), *cols)
-            .unionByName(man.select(F.lit("manual").alias("Strategy"),
-                                    F.lit(int(manual_weight)).alias("Risk_Weight_Pct"), *cols)))
+def strategy_lists(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
+                   capacity: int = DEFAULT_CAPACITY, columns=("Net_ROI", "Customer_Age")) -> DataFrame:
+    """The target lists of the optimum and of a manual weight, from one scan of the decisions.
 
-
-def _lists(dec: DataFrame, best: DataFrame, manual_weight: int, capacity: int) -> DataFrame:
-    opt = target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity)
-    return tag_lists(opt, target_list(dec, int(manual_weight), capacity), manual_weight)
+    Every row is scored for both strategies, and a top-K per strategy keeps
+    ``capacity`` rows of each (each task ships at most that many).  Returns
+    ``Strategy``, ``Risk_Weight_Pct``, ``Live_Priority`` and ``columns``.
+    """
+    weights = F.array(
+        F.struct(F.lit("optimal").alias("Strategy"), F.col("Optimal_Risk_Weight_Pct").cast("int").alias("Risk_Weight_Pct")),
+        F.struct(F.lit("manual").alias("Strategy"), F.lit(int(manual_weight)).alias("Risk_Weight_Pct")))
+    scored = with_optimum(dec, best).select("*", F.inline(weights)).withColumn(
+        "Live_Priority", priority_expr(F.col("Risk_Weight_Pct")))
+    scored = scored.filter(F.col("Live_Priority").isNotNull()).select(
+        "Strategy", "Risk_Weight_Pct", "Live_Priority", "member_key", *[c for c in columns if c != "member_key"])
+    top = top_k_per_group(scored, ["Strategy"], priority_order(), capacity)
+    return top.select("Strategy", "Risk_Weight_Pct", "Live_Priority", *columns)
 
 
 def compare_strategies(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
                        capacity: int = DEFAULT_CAPACITY, lists: DataFrame | None = None) -> DataFrame:
     """ROI captured by the optimum and by a manual weight, and the difference.
 
-    ``lists``: rows of ``tag_lists``, if the two lists are there already.
+    ``lists``: rows of ``strategy_lists``, if the two lists are there already.
     """
-    lists = _lists(dec, best, manual_weight, capacity) if lists is None else lists
+    lists = strategy_lists(dec, best, manual_weight, capacity) if lists is None else lists
     roi = F.col("Net_ROI").cast("decimal(38,8)")
     agg = lists.agg(
         F.max(F.when(F.col("Strategy") == "optimal", F.col("Risk_Weight_Pct"))).alias("Optimal_Risk_Weight_Pct"),
@@ -142,18 +147,30 @@ def compare_strategies(dec: DataFrame, best: DataFrame, manual_weight: int = DEF
     )
 
 
+def strategy_text(comparison: DataFrame) -> DataFrame:
+    """the comparison row as the dashboard prints it: allocations, sums and the difference."""
+    return comparison.select(
+        allocation_text("Optimal_Risk_Weight_Pct").alias("Optimal_Allocation"),
+        allocation_text("Manual_Risk_Weight_Pct").alias("Manual_Allocation"),
+        money_text("Optimal_Net_ROI").alias("Optimal_Net_ROI_Text"),
+        money_text("Manual_Net_ROI").alias("Manual_Net_ROI_Text"),
+        F.concat(money_text("Delta_vs_Optimum"), F.lit(" vs optimum")).alias("Delta_Text"))
+
+
 def fairness_check(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT_MANUAL_WEIGHT,
                    capacity: int = DEFAULT_CAPACITY, max_gap: float = FAIRNESS_AGE_GAP,
-                   lists: DataFrame | None = None) -> DataFrame:
+                   lists: DataFrame | None = None, population: DataFrame | None = None) -> DataFrame:
     """Mean age of each target list against the population; alert above ``max_gap``.
 
-    The population and both lists go through one aggregate (union of the
-    tagged rows), then the two list rows are unpacked.
+    ``population``: rows with ``pop_n_age`` and ``pop_age`` (members with an
+    age, and their ages' sum), such as a stored ``population_state``; else the
+    decisions are read once more.
     """
-    lists = _lists(dec, best, manual_weight, capacity) if lists is None else lists
-    tagged = (dec.select(F.lit("population").alias("Strategy"), F.lit(None).cast("int").alias("Risk_Weight_Pct"),
-                         "Customer_Age")
-              .unionByName(lists.select("Strategy", "Risk_Weight_Pct", "Customer_Age")))
+    lists = strategy_lists(dec, best, manual_weight, capacity) if lists is None else lists
+    if population is None:
+        population = dec.agg(F.count("Customer_Age").alias("pop_n_age"), F.sum("Customer_Age").alias("pop_age"))
+    # one row of sums beside the aggregate of the lists
+    ages = population.agg(F.try_divide(F.sum("pop_age"), F.sum("pop_n_age"))).scalar()
 
     def avg_of(tag):
         return F.avg(F.when(F.col("Strategy") == tag, F.col("Customer_Age")))
@@ -161,9 +178,8 @@ def fairness_check(dec: DataFrame, best: DataFrame, manual_weight: int = DEFAULT
     def weight_of(tag):
         return F.max(F.when(F.col("Strategy") == tag, F.col("Risk_Weight_Pct")))
 
-    one = tagged.agg(avg_of("population").alias("pop"),
-                     avg_of("optimal").alias("opt"), weight_of("optimal").alias("w_opt"),
-                     avg_of("manual").alias("man"), weight_of("manual").alias("w_man"))
+    one = lists.agg(avg_of("optimal").alias("opt"), weight_of("optimal").alias("w_opt"),
+                    avg_of("manual").alias("man"), weight_of("manual").alias("w_man")).withColumn("pop", ages)
     rows = F.array(
         F.struct(F.lit("optimal").alias("Strategy"), F.col("w_opt").alias("Risk_Weight_Pct"),
                  F.col("opt").alias("t"), F.col("pop").alias("p")),
@@ -237,29 +253,32 @@ def what_if(members: DataFrame, margin: float = 0.025, costs=None, loyalty: floa
     other table is a lazy plan over them (decisions are row-local and
     recomputed by each reader).
     """
-    from retentio.operators.decide import Costs
-    from retentio.operators.scenarios import scenario_decisions
+    from retentio.operators.decide import Costs, decide_scenarios
     from retentio.operators.sweep import optimal_weight, tradeoff_curve
     from retentio.session import materialize
 
     costs = costs or Costs()
     base = materialize(members, how)
-    dec = scenario_decisions(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs, loyalty)
+    decided = decide_scenarios(base, ((f"Margin {margin * 100:g}%", float(margin)),), costs)
+    state = materialize(population_state(decided))
+    dec = with_population(decided, loyalty, scalars=state)
     # the curve (one row per weight) and the two lists (capacity rows each) are
     # small and read by several tables: stored, so the sweep runs once
     curve = materialize(tradeoff_curve(dec, capacity))
     best = optimal_weight(curve)
-    opt = materialize(target_list(with_optimum(dec, best), "Optimal_Risk_Weight_Pct", capacity))
-    man = materialize(target_list(dec, int(manual_weight), capacity))
-    lists = tag_lists(opt, man, manual_weight)
+    lists = materialize(strategy_lists(dec, best, manual_weight, capacity, dec.columns)
+                        .withColumn("Intervention_Type", F.col("Recommended_Action")))
+    opt, man = (lists.filter(F.col("Strategy") == s) for s in ("optimal", "manual"))
+    comparison = compare_strategies(dec, best, manual_weight, capacity, lists)
     return {
         "decisions": dec,
         "curve": curve,
         "optimum": best,
         "optimal_list": target_view(opt),
         "manual_list": target_view(man),
-        "comparison": compare_strategies(dec, best, manual_weight, capacity, lists),
-        "fairness": fairness_check(dec, best, manual_weight, capacity, lists=lists),
+        "comparison": comparison,
+        "comparison_text": strategy_text(comparison),
+        "fairness": fairness_check(dec, best, manual_weight, capacity, lists=lists, population=state),
         "optimal_mix": action_mix(opt),
         "manual_mix": action_mix(man),
         **{f"profile_{k}": v for k, v in target_profile(opt).items()},

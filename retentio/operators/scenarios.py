@@ -148,6 +148,18 @@ def scenario_summary(table: DataFrame) -> DataFrame:
         ("n_email", "n_rep_call", "n_senior_call", "n_sleeping_dog"))})
 
 
+def action_counts(table: DataFrame) -> DataFrame:
+    """Target rows by scenario and action, (Scenario, Recommended_Action, Members)."""
+    return (table.filter(F.col("In_Target_List")).groupBy("Scenario", "Recommended_Action")
+            .agg(F.count("*").cast("long").alias("Members")))
+
+
+def action_maps(table: DataFrame) -> DataFrame:
+    """A11 in map form: one row a scenario with its actions and counts, at most one entry an action."""
+    pairs = F.array_sort(F.collect_list(F.struct("Recommended_Action", "Members")))
+    return action_counts(table).groupBy("Scenario").agg(F.map_from_entries(pairs).alias("Actions"))
+
+
 def export_scenarios(members: DataFrame, path: str, scenarios=SCENARIOS, capacity: int = DEFAULT_CAPACITY,
                      costs: Costs = Costs(), loyalty: float = DEFAULT_LOYALTY, fmt: str = "csv") -> DataFrame:
     """Score every scenario, write the tidy table (one folder per scenario) and

@@ -23,9 +23,11 @@ from retentio.functions.scalar import (
 from retentio.operators import forest, learn, report
 from retentio.operators.brief import brief, importance_chart
 from retentio.operators.decide import best_channel, decide, decide_scenarios, with_scenarios
-from retentio.operators.population import loyalty_weight_expr, population_scalars, priority_expr
+from retentio.operators.population import (
+    loyalty_weight_expr, population_scalars, population_state, priority_expr, with_population,
+)
 from retentio.operators.scenarios import (
-    scenario_decisions, scenario_summary, scenario_targets, score_scenarios, scored_at_optimum, target_flags,
+    action_counts, scenario_decisions, scenario_summary, scenario_targets, score_scenarios, scored_at_optimum, target_flags,
 )
 from retentio.operators.sweep import (
     optimal_weight, pruned_priorities, top_rows, tradeoff_curve, weight_priorities, with_objective,
@@ -66,11 +68,18 @@ def scored_decisions(spark, sf, scenarios=BASE, how: str | None = "none"):
 
 def _base_report(spark, sf):
     """Base-margin decisions over a materialised member table (the sweep and the lists both read it)."""
-    dec = scored_decisions(spark, sf, BASE, None)
-    best = optimal_weight(tradeoff_curve(dec, K))
+    dec, best, _ = _base_state(spark, sf)
     return dec, best
 
 
+def _base_state(spark, sf):
+    """(decisions, optimum, population's state); the last two hold a row a scenario and are stored."""
+    decided = decide_scenarios(_members_for(spark, sf, None), BASE)
+    state = materialize(population_state(decided))
+    dec = with_population(decided, scalars=state)
+    return dec, materialize(optimal_weight(tradeoff_curve(dec, K))), state
+
+
 def _optimal_list(spark, sf):
     dec, best = _base_report(spark, sf)
     return report.target_list(report.with_optimum(dec, best), "Optimal_Risk_Weight_Pct", K)
@@ -445,8 +454,16 @@ def d12_compare_strategies(spark, sf):
 
 
 def d13_fairness_check(spark, sf):
-    dec, best = _base_report(spark, sf)
-    return report.fairness_check(dec, best, MANUAL_W, K)
+    dec, best, state = _base_state(spark, sf)
+    return report.fairness_check(dec, best, MANUAL_W, K, population=state)
+
+
+def f10_strategy_text(spark, sf):
+    return report.strategy_text(d12_compare_strategies(spark, sf))
+
+
+def a11_action_counts(spark, sf):
+    return action_counts(scenario_targets(members(spark, sf), SCENARIOS, K))
 
 
 def d14_target_profile(spark, sf):
@@ -649,6 +666,7 @@ QUERIES: dict[str, Query] = {
     "A9_tier_mix": a9_tier_mix,
     "A10_tenure_mix": a10_tenure_mix,
     "A11_scenario_summary": a11_scenario_summary,
+    "A11_action_counts": a11_action_counts,
     "A12_target_kpis": a12_target_kpis,
     "A13_high_touch": a13_high_touch,
     "A14_population_age": a14_population_age,
@@ -674,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "F10_money_text": f10_money_text,
     "F10_profile_text": f10_profile_text,
     "F10_fairness_text": f10_fairness_text,
+    "F10_strategy_text": f10_strategy_text,
     "F12_min_max_scale": f12_min_max_scale,
     "F13_loyalty_direction": f13_loyalty_direction,
     "F14_vector_risk": l6_score_population,

@@ -212,6 +212,13 @@ from (
   from (select avg(Customer_Age) a from manlist) m, (select avg(Customer_Age) a from dec) p)""",
                          *MAN_LIST_CTES)
 
+COMPARE_SQL = _base_opt(f"""select o.w Optimal_Risk_Weight_Pct, {MANUAL_W} Manual_Risk_Weight_Pct,
+  {_r('o.r', 4)} Optimal_Net_ROI, {_r('m.r', 4)} Manual_Net_ROI, {_r('m.r - o.r', 4)} Delta_vs_Optimum,
+  '$' || format('{{:,.2f}}', o.r) Optimal_Net_ROI_Text
+from (select max(Optimal_Risk_Weight_Pct) w, cast(sum(cast(Net_ROI as decimal(38,8))) as double) r
+      from optlist join best using (Scenario)) o,
+     (select cast(sum(cast(Net_ROI as decimal(38,8))) as double) r from manlist) m""", *MAN_LIST_CTES)
+
 SQL: dict[str, str] = {
     "S8_preview": with_members(
         "select member_key, Customer_Age, Total_Trans_Ct, Churn_Flag, Card_Category from members "
@@ -291,6 +298,8 @@ left join (select {BAND_CASE} as Tenure_Band, count(*) n from optlist group by 1
   cast(count(*) filter (where Recommended_Action = 'Senior Call + 10% Waiver') as bigint) n_senior_call,
   cast(count(*) filter (where Recommended_Action = 'Flagged: Sleeping Dog') as bigint) n_sleeping_dog
 from tab where In_Target_List group by Scenario"""),
+    "A11_action_counts": _table("""select Scenario, Recommended_Action, cast(count(*) as bigint) Members
+from tab where In_Target_List group by Scenario, Recommended_Action"""),
     "A12_target_kpis": KPI_SQL,
     "A13_high_touch": _base_opt(
         "select cast(count(*) as bigint) Target_List_Size, "
@@ -343,6 +352,13 @@ from ({KPI_SQL})""",
   || format('{{:,.1f}}', Target_Mean_Age) || ' years, population ' || format('{{:,.1f}}', Population_Mean_Age)
   || ' years' Fairness_Text
 from ({FAIRNESS_SQL})""",
+    "F10_strategy_text": f"""select printf('%d%% Risk / %d%% Value', Optimal_Risk_Weight_Pct, 100 - Optimal_Risk_Weight_Pct)
+    Optimal_Allocation,
+  printf('%d%% Risk / %d%% Value', Manual_Risk_Weight_Pct, 100 - Manual_Risk_Weight_Pct) Manual_Allocation,
+  '$' || format('{{:,.2f}}', Optimal_Net_ROI) Optimal_Net_ROI_Text,
+  '$' || format('{{:,.2f}}', Manual_Net_ROI) Manual_Net_ROI_Text,
+  '$' || format('{{:,.2f}}', Delta_vs_Optimum) || ' vs optimum' Delta_Text
+from ({COMPARE_SQL})""",
     "F12_min_max_scale": _base("select member_key, tn Tenure_Norm, Normalized_Value from dec"),
     "F13_loyalty_direction": _base("""select member_key, 1e0 + 0.5e0*0.5e0*tn as Protect_Loyal_Weight,
   1e0 + 0.5e0*0.5e0*(1 - tn) as Rescue_New_Weight from dec"""),
@@ -364,12 +380,7 @@ from dec group by 1"""),
         f"select Scenario, Optimal_Risk_Weight_Pct, {_r('Best_Objective', 9)} Best_Objective from best", *SWEEP_CTES),
     "D11_target_list": _base_opt(
         "select member_key, Live_Priority, Intervention_Type, Net_ROI, Customer_Age from optlist"),
-    "D12_compare_strategies": _base_opt(f"""select o.w Optimal_Risk_Weight_Pct, {MANUAL_W} Manual_Risk_Weight_Pct,
-  {_r('o.r', 4)} Optimal_Net_ROI, {_r('m.r', 4)} Manual_Net_ROI, {_r('m.r - o.r', 4)} Delta_vs_Optimum,
-  '$' || format('{{:,.2f}}', o.r) Optimal_Net_ROI_Text
-from (select max(Optimal_Risk_Weight_Pct) w, cast(sum(cast(Net_ROI as decimal(38,8))) as double) r
-      from optlist join best using (Scenario)) o,
-     (select cast(sum(cast(Net_ROI as decimal(38,8))) as double) r from manlist) m""", *MAN_LIST_CTES),
+    "D12_compare_strategies": COMPARE_SQL,
     "D13_fairness_check": FAIRNESS_SQL,
     "D14_target_profile": f"""with k as ({KPI_SQL}), l as ({_base_opt("select Segment, Months_on_book from optlist")})
 select 'kpi' Part, Item, Value from (

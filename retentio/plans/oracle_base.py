@@ -12,7 +12,8 @@ MEMBERS_CTE = """
 tx as (
   select o.o_custkey k, l.l_shipdate d, o.o_orderpriority pri, l.l_returnflag rf,
          cast(l.l_extendedprice as decimal(18,2)) amt
-  from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
+  from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+  where l.l_shipdate < timestamp '2000-10-01'),
 f as (
   select k,
     sum(case when d>=timestamp '1999-06-01' and d<timestamp '2000-06-01' then 1 else 0 end) ct,

@@ -57,6 +57,16 @@ def write_scenarios(table: DataFrame, path: str, fmt: str = "parquet", mode: str
         table.write.mode(mode).partitionBy("Scenario").parquet(path)
 
 
+def replace_scenarios(table: DataFrame, path: str) -> None:
+    """Replaces the scenarios that ``table`` holds in a Parquet scenario table, and no others.
+
+    Spark moves the new folders in when all tasks are done (dynamic partition
+    overwrite), so a repeat gives the same table.
+    """
+    (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("Scenario").parquet(path))
+
+
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The one-row metrics document as JSON (one part file)."""
     metrics.coalesce(1).write.mode(mode).json(path)

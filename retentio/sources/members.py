@@ -105,14 +105,53 @@ def read_member_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_M
     """
     if fmt != "csv":
         return read_table(spark, path, fmt=fmt)
+    known, layout = _csv_layout(spark, path, schema)
+    rows = read_table(spark, path, fmt="csv", schema=layout, enforceSchema=False)
+    return rows.select(*[F.col(f"`{c}`").alias(n) for n, c in known.items()])
+
+
+BOM = "\ufeff"  # may stand before the header line
+BAD_LINE = "_bad_line"
+
+
+def _csv_layout(spark: SparkSession, path: str, schema: T.StructType) -> tuple[dict[str, str], T.StructType]:
+    """({name of the schema: column of the file}, types of the file's columns in the header's order)."""
     lines = read_table(spark, path, fmt="text").limit(1).collect()
     header = next(csv.reader([lines[0][0]])) if lines else []
-    known = {f.name: f.dataType for f in schema.fields}
-    missing = [n for n in known if n not in header]
+    types = {f.name: f.dataType for f in schema.fields}
+    plain = [n.lstrip(BOM).strip('"') if i == 0 else n for i, n in enumerate(header)]
+    missing = [n for n in types if n not in plain]
     if missing:
         raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
-    layout = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
-    return read_table(spark, path, fmt="csv", schema=layout, enforceSchema=False).select(*known)
+    layout = T.StructType([T.StructField(h, types.get(n, T.StringType())) for h, n in zip(header, plain)])
+    return {n: header[plain.index(n)] for n in types}, layout
+
+
+def _ddl(schema: T.StructType) -> str:
+    quoted = [f.name.replace("`", "``") for f in schema.fields]
+    return ", ".join(f"`{n}` {f.dataType.simpleString()}" for n, f in zip(quoted, schema.fields))
+
+
+def read_member_csv_with_rejects(spark: SparkSession, path: str,
+                                 schema: T.StructType = RAW_MEMBER_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """S1 with its losses: (members, rejects).
+
+    A line with a cell that its type can't hold, or with more or fewer cells
+    than the header, is no member: it stands in the rejects as (file, line).
+    A mark of byte order before the header is skipped.
+    """
+    known, layout = _csv_layout(spark, path, schema)
+    layout = T.StructType([*layout.fields, T.StructField(BAD_LINE, T.StringType())])
+    raw = read_table(spark, path, fmt="text").select(
+        F.ltrim(F.col("value"), F.lit(BOM)).alias("line"), F.col("_metadata.file_path").alias("file"))
+    header = read_table(spark, path, fmt="text").limit(1).collect()[0][0].lstrip(BOM)
+    # each file begins with the header; lines are parsed by themselves, all cells of each
+    raw = raw.filter((F.col("line") != F.lit(header)) & (F.trim("line") != F.lit("")))
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    rows = raw.withColumn("cells", F.from_csv("line", _ddl(layout), how))
+    bad = F.col("cells").getField(BAD_LINE).isNotNull()
+    good = rows.filter(~bad).select(*[F.col("cells").getField(c).alias(n) for n, c in known.items()])
+    return good, rows.filter(bad).select("file", "line")
 
 
 def drop_unused(df: DataFrame, columns=DROP_COLUMNS, keep_key: str | None = "CLIENTNUM") -> DataFrame:
@@ -175,11 +214,12 @@ def _order_activity(lineitem: DataFrame) -> DataFrame:
     inq4 = (d >= _ts(Q4_START)) & (d < _ts(CUTOFF))
     inq1 = (d >= _ts(FEATURE_START)) & (d < _ts(Q1_END))
     before = d < _ts(CUTOFF)
-    future = (d >= _ts(CUTOFF)) & (d < _ts(LABEL_END))
+    future = d >= _ts(CUTOFF)
     months_back = ((F.lit(CUTOFF_YEAR) - F.year(d)) * F.lit(12)
                    + F.lit(CUTOFF_MONTH) - F.month(d))
+    # lines after the label period say nothing: the scan skips them (a pushed filter on the date)
     # conditions and derived values once per line, then plain aggregates
-    lines = lineitem.select(
+    lines = lineitem.filter(d < _ts(LABEL_END)).select(
         "l_orderkey",
         in12.alias("in12"), inq4.alias("inq4"), inq1.alias("inq1"), future.alias("fut"),
         (in12 & (F.col("l_returnflag") == F.lit(RETURNED_FLAG))).alias("ret12"),
@@ -238,11 +278,38 @@ def _money(cents: Column) -> Column:
     return cents.cast("double") / F.lit(100.0)
 
 
+def order_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(lineitem, orders, customer): the columns that the member table reads."""
+    schemas = {"lineitem": LINEITEM_SCHEMA, "orders": ORDERS_SCHEMA, "customer": CUSTOMER_SCHEMA}
+    return tuple(read_table(spark, table_path(sf_dir, n), schema=t) for n, t in schemas.items())
+
+
+def write_bucketed_orders(spark: SparkSession, sf_dir: str, database: str, path: str, buckets: int) -> None:
+    """The order lines and orders as tables of ``database`` under ``path``, in ``buckets`` buckets by order key.
+
+    Member tables over :func:`bucketed_order_tables` then aggregate the lines
+    and join the orders without a shuffle of either.
+    """
+    spark.sql(f"create database if not exists {database}")
+    lineitem, orders, _ = order_tables(spark, sf_dir)
+    for name, df, key in (("lineitem", lineitem, "l_orderkey"), ("orders", orders, "o_orderkey")):
+        (df.repartition(int(buckets), key).write.mode("overwrite").option("path", f"{path.rstrip('/')}/{name}")
+         .bucketBy(int(buckets), key).sortBy(key).saveAsTable(f"{database}.{name}"))
+
+
+def bucketed_order_tables(spark: SparkSession, sf_dir: str, database: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like :func:`order_tables`, with the bucketed lines and orders of ``database``."""
+    return (spark.table(f"{database}.lineitem"), spark.table(f"{database}.orders"), order_tables(spark, sf_dir)[2])
+
+
 def member_table(spark: SparkSession, sf_dir: str, with_risk: bool = True) -> DataFrame:
-    """Stand-in member table (one row per customer with activity)."""
-    lineitem = read_table(spark, table_path(sf_dir, "lineitem"), schema=LINEITEM_SCHEMA)
-    orders = read_table(spark, table_path(sf_dir, "orders"), schema=ORDERS_SCHEMA)
-    customer = read_table(spark, table_path(sf_dir, "customer"), schema=CUSTOMER_SCHEMA)
+    """Stand-in member table (one row per customer with activity up to the end of the label period)."""
+    return members_from_orders(*order_tables(spark, sf_dir), with_risk)
+
+
+def members_from_orders(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
+                        with_risk: bool = True) -> DataFrame:
+    """The member table of any order tables; bucketed ones by order key join without a shuffle."""
     f = _customer_activity(_order_activity(lineitem), orders)
     c = customer.select("c_custkey", "c_acctbal", "c_mktsegment")
     j = c.join(f, c["c_custkey"] == f["k"])
