@@ -20,7 +20,7 @@ from retentio.constants import (
 from retentio.functions.scalar import (
     allocation_text, clip, member_id, min_max_scale, money_text, percent, round_even, tenure_band,
 )
-from retentio.operators import forest, learn, report
+from retentio.operators import forest, learn, report, tree
 from retentio.operators.brief import brief, importance_chart
 from retentio.operators.decide import best_channel, decide, decide_scenarios, with_scenarios
 from retentio.operators.population import (
@@ -616,6 +616,30 @@ def l11_importances_by_nodes(spark, sf):
     return forest.importances_by_nodes(_nodes(spark, sf))
 
 
+def _tree(spark, sf):
+    """(nodes, members): the single checkable tree, fitted on the training side."""
+    m = _members_for(spark, sf, None)
+    return tree.fit_tree(learn.split(m)[0]), m
+
+
+def l4_gini_tree(spark, sf):
+    nodes, _ = _tree(spark, sf)
+    return nodes.select("node", "feature", round_even("threshold", 6).alias("threshold"),
+                        round_even("gain", 9).alias("gain"), "pos", "neg")
+
+
+def l5_tree_scores(spark, sf):
+    """Test members with their leaf and its share of churn."""
+    nodes, m = _tree(spark, sf)
+    scored = tree.tree_scores(learn.split(m)[1], nodes)
+    return scored.select("member_key", "node", "prediction", round_even("Churn_Risk_Score", 9).alias("Churn_Risk_Score"))
+
+
+def l11_tree_importances(spark, sf):
+    imp = tree.tree_importances(_tree(spark, sf)[0])
+    return imp.select("feature", round_even("importance", 9).alias("importance"))
+
+
 def l14_headline(spark, sf):
     return learn.headline(_metrics(spark, sf))
 
@@ -732,6 +756,9 @@ QUERIES: dict[str, Query] = {
     "L13_scored_export": l13_scored_export,
     "L14_headline": l14_headline,
     "L4_node_table": l4_node_table,
+    "L4_gini_tree": l4_gini_tree,
+    "L5_tree_scores": l5_tree_scores,
+    "L11_tree_importances": l11_tree_importances,
     "L6_score_by_nodes": l6_score_by_nodes,
     "L11_importances_by_nodes": l11_importances_by_nodes,
 }

@@ -212,6 +212,51 @@ from (
   from (select avg(Customer_Age) a from manlist) m, (select avg(Customer_Age) a from dec) p)""",
                          *MAN_LIST_CTES)
 
+def _tree(body: str, depth: int = 4, bins: int = 32) -> str:
+    """The single class-weighted tree, level by level, and ``body`` over its ``nodes`` and test ``leaves``."""
+    values = ", ".join(f"cast({c} as double)" for c in FEATURES)
+    names = ", ".join(f"'{c}'" for c in FEATURES)
+
+    def impurity(p, n):
+        return f"(1e0 - ({p})/(({p})+({n}))*(({p})/(({p})+({n}))) - ({n})/(({p})+({n}))*(({n})/(({p})+({n}))))"
+
+    lp, ln, rp, rn = "lp*wp", "ln*wn", "(p - lp)*wp", "(n - ln)*wn"
+    t = "(p*wp + n*wn)"
+    gain = (f"{impurity('p*wp', 'n*wn')} - ({lp} + {ln})/{t}*{impurity(lp, ln)}"
+            f" - ({rp} + {rn})/{t}*{impurity(rp, rn)}")
+    ctes = [f"rows0 as (select member_key r, Churn_Flag y, {TEST_FLAG} as test, [{values}] x from members)",
+            "cells as (select r, y, test, unnest(x) v, generate_subscripts(x, 1) - 1 f from rows0)",
+            f"""cuts as materialized (
+  select f, list_sort(list_distinct([lo + (hi - lo)*k/{bins}e0 for k in range(1, {bins})])) c
+  from (select f, min(v) lo, max(v) hi from cells where not test group by f))""",
+            """binned as materialized (
+  select r, y, test, f, len([q for q in c if q < v]) b from cells join cuts using (f))""",
+            """w as (select count(*)/(2e0*sum(y)) wp, count(*)/(2e0*(count(*) - sum(y))) wn, sum(y) p, count(*) - sum(y) n
+  from rows0 where not test)""",
+            "placed0 as (select r, y, test, cast(1 as bigint) node from rows0)"]
+    for i in range(depth):
+        ctes += [f"""hist{i} as (select node, f, b, sum(b1.y) cp, count(*) - sum(b1.y) cn
+  from placed{i} join binned b1 using (r) where not b1.test and node >= {2 ** i} group by node, f, b)""",
+                 f"""sums{i} as (select node, f, b, sum(cp) over u lp, sum(cn) over u ln, sum(cp) over a p, sum(cn) over a n
+  from hist{i} window u as (partition by node, f order by b), a as (partition by node, f))""",
+                 f"""gains{i} as (select node, f, b, lp, ln, p, n, round_even(({gain})*1e12, 0)/1e12 gain
+  from sums{i}, (select wp, wn from w) where lp + ln < p + n)""",
+                 f"""best{i} as materialized (select * from gains{i} where gain > 0
+  qualify row_number() over (partition by node order by gain desc, f, b) = 1)""",
+                 f"""placed{i + 1} as materialized (
+  select r, pl.y, pl.test, case when s.node is null then pl.node when bi.b <= s.b then 2*pl.node else 2*pl.node + 1 end node
+  from placed{i} pl left join best{i} s using (node) left join binned bi using (r, f))"""]
+    every = " union all ".join(f"select * from best{i}" for i in range(depth))
+    ctes += [f"splits as ({every})",
+             """counted as (select 1 node, p, n from w union all select 2*node, lp, ln from splits
+  union all select 2*node + 1, p - lp, n - ln from splits)""",
+             f"""nodes as (select c.node, [{names}][s.f + 1] feature, q.c[s.b + 1] threshold, s.gain, c.p pos, c.n neg,
+    c.p*wp + c.n*wn weight, c.p*wp/(c.p*wp + c.n*wn) p_churn
+  from counted c left join splits s using (node) left join cuts q using (f), (select wp, wn from w))""",
+             f"leaves as (select r member_key, node from placed{depth} where test)"]
+    return with_members(body, *ctes)
+
+
 COMPARE_SQL = _base_opt(f"""select o.w Optimal_Risk_Weight_Pct, {MANUAL_W} Manual_Risk_Weight_Pct,
   {_r('o.r', 4)} Optimal_Net_ROI, {_r('m.r', 4)} Manual_Net_ROI, {_r('m.r - o.r', 4)} Delta_vs_Optimum,
   '$' || format('{{:,.2f}}', o.r) Optimal_Net_ROI_Text
@@ -421,4 +466,13 @@ from (select cast(count(*) filter (where Churn_Flag = 1 and pred = 1) as double)
              cast(count(*) filter (where Churn_Flag = 0 and pred = 0) as double) tn, cast(count(*) as double) n
       from (select Churn_Flag, {RULE_PRED} pred from members where {TEST_FLAG}))"""),
     "L3_split": with_members(f"select member_key, {TEST_FLAG} as is_test from members"),
+    "L4_gini_tree": _tree(f"""select cast(node as bigint) node, feature, {_r('threshold', 6)} threshold,
+  {_r('gain', 9)} gain, cast(pos as bigint) pos, cast(neg as bigint) neg from nodes"""),
+    "L5_tree_scores": _tree(f"""select member_key, cast(node as bigint) node,
+  case when p_churn > 0.5e0 then 1e0 else 0e0 end prediction, {_r('p_churn', 9)} Churn_Risk_Score
+from leaves join nodes using (node)"""),
+    "L11_tree_importances": _tree("select feature, " + _r("coalesce(g, 0e0)/(select sum(gain*weight) from nodes)", 9)
+                                  + " importance from (select unnest([" + ", ".join(f"'{c}'" for c in FEATURES)
+                                  + "]) feature) left join (select feature, sum(gain*weight) g from nodes "
+                                  "where feature is not null group by feature) using (feature)"),
 }
