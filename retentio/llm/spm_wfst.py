@@ -17,8 +17,16 @@ in the tropical semiring is the encoding.  In a byte-pair model exactly one
 piece can end the encoding of each prefix, so a position needs one state only,
 and relaxing the arcs position by position, many words at a time, finds the
 path.  No piece spans a space or line break, so the lattice falls into words
-and distinct words are solved once (``ChunkCache``).  Runs of spaces have
-pieces of equal weight; ties go to the leftmost merge, as in the library.
+and distinct words are solved once (``ChunkCache``).
+
+A long word of a byte-pair model is solved in overlapping windows, all
+relaxed together.  An arc reaches back at most the longest piece, so once two
+neighbours agree on the last pieces of that many positions in a row, the
+later one goes on exactly as the word's own search would; from there on its
+states are taken.  Where two never agree (texts of one period), and in runs
+of spaces, whose pieces have equal weights, the word is merged by rank with a
+heap, ties to the left, as in the library; either way the work grows with the
+length, not its square.
 
 Decoding joins the pieces' bytes, turns marks into spaces and drops the first.
 
@@ -40,6 +48,10 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 FILTER_BITS = 20
+LONG = 4096  # characters beyond which a word is solved in windows
+STRIDE = 1024
+OVERLAP = 256
+WINDOWS = 512  # windows solved at once
 
 
 def _fields(raw: bytes):
@@ -169,6 +181,8 @@ class Transducer:
 
     def merge(self, word: str, below: int | None = None) -> list[str]:
         """Plain merging by rank; ``below``: a piece not to be made (its last merge is wanted)."""
+        if below is None and len(word) > 32:
+            return self.merge_long(word)
         parts = list(word)
         scores = self.model.scores
         while len(parts) > 1:
@@ -183,6 +197,76 @@ class Transducer:
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
+    def merge_long(self, word: str) -> list[str]:
+        """:meth:`merge` with a heap of pairs over a linked list: n log n steps."""
+        import heapq
+        part: list[str | None] = list(word)
+        n = len(part)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        ids, scores = self.ids, self.model.scores
+
+        def pair(a: int):
+            b = after[a]
+            if b < n:
+                i = ids.get(part[a] + part[b])
+                if i is not None:
+                    return -scores[i], a, len(part[a]), len(part[b])
+            return None
+
+        heap = [p for p in map(pair, range(n)) if p]
+        heapq.heapify(heap)
+        while heap:
+            _, a, size_a, size_b = heapq.heappop(heap)
+            if part[a] is None or len(part[a]) != size_a:
+                continue  # one side has grown or is gone
+            b = after[a]
+            if b >= n or len(part[b]) != size_b:
+                continue
+            part[a] += part[b]
+            part[b] = None
+            after[a] = after[b]
+            if after[b] < n:
+                before[after[b]] = a
+            for at in (before[a], a):
+                p = pair(at) if at >= 0 else None
+                if p:
+                    heapq.heappush(heap, p)
+        return [p for p in part if p is not None]
+
+    def long_path(self, word: str) -> np.ndarray | None:
+        """Pieces of a long word by windows; None if two neighbours don't come to agree."""
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        n, reach = len(chars), self.longest
+        starts = np.arange(0, max(1, n - OVERLAP), STRIDE)
+        size = STRIDE + OVERLAP
+        piece, length = np.full(n + 1, -1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
+        for a in range(0, len(starts), WINDOWS):
+            some = starts[a:a + WINDOWS + 1]  # the last one begins the next round too
+            span = max(size, n - int(some[-1])) if a + WINDOWS + 1 >= len(starts) else size
+            room = np.zeros(int(some[-1]) + span, dtype=np.uint32)
+            room[:min(n, len(room))] = chars[:len(room)]
+            p, k = self._relax(room[some[:, None] + np.arange(span)[None, :]])
+            same = (p[:-1, STRIDE + 1:size + 1] == p[1:, 1:OVERLAP + 1]) & (
+                k[:-1, STRIDE + 1:size + 1] == k[1:, 1:OVERLAP + 1])
+            total = np.cumsum(np.pad(same, ((0, 0), (1, 0))), axis=1)
+            agreed = total[:, reach:] - total[:, :-reach] == reach
+            if len(some) > 1 and not agreed.any(axis=1).all():
+                return None
+            take = np.append(0, agreed.argmax(axis=1) + reach + 1)  # first position of each window's own
+            for r, start in enumerate(some):
+                if r == 0 and a:
+                    continue  # taken in the round before
+                end = min(n, int(start) + span)
+                piece[start + max(1, take[r]):end + 1] = p[r, max(1, take[r]):end - start + 1]
+                length[start + max(1, take[r]):end + 1] = k[r, max(1, take[r]):end - start + 1]
+        path, at = [], n
+        while at > 0:
+            if piece[at] < 0:
+                return None
+            path.append(int(piece[at]))
+            at -= int(length[at])
+        return np.array(path[::-1], dtype=np.int64) if at == 0 else None
+
     def may_follow(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """True where merging by rank leaves the border between the two pieces standing.
 
@@ -279,6 +363,12 @@ class Transducer:
             size = int(lengths[group[0]]) if len(group) else 0
             if not size:
                 continue
+            if self.model.byte_pair and size > LONG:
+                for i in group:
+                    word = words[i]
+                    path = None if MARK * 2 in word else self.long_path(word)
+                    special[int(i)] = self.ids_of(self.merge(word)) if path is None else self._with_bytes(word, path)
+                continue
             step = max(1, 400_000 // size)
             for a in range(0, len(group), step):
                 some = group[a:a + step]

@@ -139,6 +139,78 @@ def test_encoders_on_any_text(text):
     assert bpe.encode([text])[0].tolist() == bpe.whole(text)
 
 
+def test_long_words_and_runs_of_spaces_equal_the_library(monkeypatch):
+    import time
+
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=SPM)
+    own = spm_wfst.Codec(SPM)
+    rng = np.random.default_rng(6)
+    letters = np.array(list("etaoinshrdlucmfw.,0123456789ABCé漢▁"))
+    texts = ["".join(rng.choice(letters[:-1], n)) for n in (4095, 4096, 4097, 5376, 5377, 20_000)]
+    texts += ["the" * 3000, "a" * 9000, "ab" * 6000 + "x", "x " + "".join(rng.choice(letters, 9000)) + " y",
+              " " * 100_000, "a" + " " * 5001 + "b", "\U0001f600é" * 4000, "".join(rng.choice(letters[:8], 1_000_000))]
+    began = time.time()
+    for t in texts:
+        assert own.encode([t])[0].tolist() == sp.encode(t), t[:40]
+    assert time.time() - began < 120
+    # windows that meet in the middle of every round
+    for name, value in (("LONG", 40), ("STRIDE", 64), ("OVERLAP", 48), ("WINDOWS", 3)):
+        monkeypatch.setattr(spm_wfst, name, value)
+    fst = own.fst
+    for n in range(41, 1500, 31):
+        t = "".join(rng.choice(letters[:-2], n))
+        assert fst.solve(["▁" + t])[0].tolist() == sp.encode(t), n
+
+
+def _message(*fields):
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+    out = b""
+    for number, value in fields:
+        if isinstance(value, float):
+            import struct
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        else:
+            value = value.encode() if isinstance(value, str) else value
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+    return out
+
+
+def test_unigram_model_equals_the_library(tmp_path):
+    """A small unigram model written by hand (no training)."""
+    import sentencepiece
+    vocab = [("▁", -3.5), ("a", -2.0), ("b", -2.5), ("c", -3.0), ("ab", -2.75), ("bc", -4.0), ("▁a", -3.25),
+             ("abc", -6.5), ("▁ab", -5.0), ("ca", -3.75), ("cab", -5.5), ("aa", -3.9), ("é", -4.25)]
+    pieces = [_message((1, "<unk>"), (2, 0.0), (3, 2)), _message((1, "<s>"), (2, 0.0), (3, 3)),
+              _message((1, "</s>"), (2, 0.0), (3, 3)), *[_message((1, p), (2, v)) for p, v in vocab]]
+    raw = _message(*[(1, p) for p in pieces], (2, _message((3, 1), (4, len(pieces)))),
+                   (3, _message((1, "identity"), (3, 1), (4, 0), (5, 1))))
+    path = tmp_path / "unigram.model"
+    path.write_bytes(raw)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    own = spm_wfst.Codec(str(path))
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        words = ["".join(rng.choice(list("abcé"), rng.integers(1, 12))) for _ in range(rng.integers(1, 6))]
+        text = " ".join(words)
+        assert own.encode([text])[0].tolist() == sp.encode(text), text
+
+
+def test_character_maps_are_refused(tmp_path):
+    with open(SPM, "rb") as f:
+        raw = f.read()
+    path = tmp_path / "mapped.model"
+    path.write_bytes(raw + _message((3, _message((2, b"map"), (4, 0)))))
+    with pytest.raises(ValueError, match="identity"):
+        spm_wfst.Model(str(path))
+
+
 def test_word_cache_generations():
     bpe = rans_tokens.BpeEncoder(BPE, limit=5)
     for text in ["one two three four", "five six seven one two", "eight nine one two three"] * 3:
