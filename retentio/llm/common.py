@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retentio.session import written_table
@@ -62,10 +62,16 @@ def held_out_expr(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 5 == 0
 
 
+FIT_BYTES = 1 << 16  # longest text of a fit row: a few rows must not fill the driver
+
+
 def training_rows(docs: DataFrame, columns: list[str], limit: int, labels: DataFrame | None = None,
-                  label: str | None = None, condition=None, seed: int = 42) -> list:
+                  label: str | None = None, condition=None, seed: int = 42, max_bytes: int = FIT_BYTES) -> list:
     """At most ``limit`` labelled rows, chosen by a hash of doc_id (documented bound of a fit).
 
+    Chosen rows whose text is longer than ``max_bytes`` are left out, so that
+    the bound holds in bytes too: limit x max_bytes at most.
+
     ``columns`` come from ``docs`` and ``label`` from ``labels``, whatever else
     the two hold.  Only ids are ordered; the rows of the chosen ids are then
     read with an ``isin`` filter.  A doc_id that occurs more than once gives its
@@ -76,8 +82,28 @@ def training_rows(docs: DataFrame, columns: list[str], limit: int, labels: DataF
         ids = ids.where(condition)
     chosen = [r[0] for r in ids.select("doc_id").distinct()
               .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(limit).collect()]
+    return _rows_of(chosen, docs, columns, ids, labels, label, max_bytes)
+
+
+def rows_by_label(docs: DataFrame, columns: list[str], label: str, limit: int, condition, seed: int = 42,
+                  max_bytes: int = FIT_BYTES) -> list:
+    """Like :func:`training_rows` with at most ``limit`` rows of each value of ``docs[label]``.
+
+    A task hands on at most ``limit`` ids a value (up to 1000, see Spark's
+    window group limit); a doc_id counts for its smallest value.
+    """
+    ids = docs.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & condition)
+    first = Window.partitionBy("value").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    chosen = (ids.groupBy("doc_id").agg(F.min(label).alias("value"))
+              .withColumn("place", F.row_number().over(first)).where(F.col("place") <= limit).select("doc_id").collect())
+    return _rows_of([r[0] for r in chosen], docs, columns, ids, None, None, max_bytes)
+
+
+def _rows_of(chosen: list, docs: DataFrame, columns: list[str], ids: DataFrame, labels: DataFrame | None,
+             label: str | None, max_bytes: int) -> list:
     mine = F.col("doc_id").isin(chosen)
-    rows = (ids if labels is None else docs).where(mine).groupBy("doc_id").agg(
+    short = F.octet_length(F.coalesce(F.col("text"), F.lit(""))) <= max_bytes if "text" in columns else F.lit(True)
+    rows = (ids if labels is None else docs).where(mine & short).groupBy("doc_id").agg(
         F.min(F.struct(*columns)).alias("row")).select("doc_id", "row.*")
     if labels is not None:  # at most ``limit`` rows
         rows = rows.join(F.broadcast(ids.where(mine).groupBy("doc_id").agg(F.min(label).alias(label))), "doc_id")

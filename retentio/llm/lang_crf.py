@@ -7,8 +7,9 @@ affixes).  Transitions are learnt with them.  Forward-backward gives every
 word's label probabilities, also in code-switched text; a text's score for a
 language is the mean over its words, and the best language is predicted.
 
-Fit.  Whole texts of at most ``FIT_ROWS`` documents (chosen by a hash of
-doc_id, never one whose crc32 mod 5 is 0) are cut into runs of words, and runs
+Fit.  Whole texts of at most ``FIT_ROWS`` documents and ``LEAST_ROWS`` more of
+each rarer language (chosen by a hash of doc_id, none over ``FIT_BYTES``, never
+one whose crc32 mod 5 is 0) are cut into runs of words, and runs
 of different documents are joined in chains, so that switches occur and the
 transitions are learnt.  Only text and lang are used.
 
@@ -18,8 +19,10 @@ scan over the blocks of each text then gives the vectors that enter them.
 The result is that of one pass over the whole chain.
 
 Defined cases: null text, or one without a letter, is ``und`` with score 0;
-so is everything if nothing can be learnt; on equal scores the language first
-in the alphabet is taken; repeated rows each get a row.
+so is everything if nothing can be learnt; fewer than ``CHAIN`` words to learn
+from leave all weights at 0, so every text gets the first language, as on
+equal scores; very long texts are predicted whole; extra columns are not read;
+repeated rows each get a row.
 """
 
 from __future__ import annotations
@@ -28,11 +31,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentio.llm.common import byte_slices, held_out_expr, ship_package, text_bytes, training_rows
+from retentio.llm.common import byte_slices, held_out_expr, rows_by_label, ship_package, text_bytes, training_rows
 from retentio.llm.quality_crf import chain_marginals
 from retentio.llm.words import MULT, Words, bucket
 
 FIT_ROWS = 500
+LEAST_ROWS = 30  # of every language
 UNKNOWN = "und"
 BLOCK = 32
 RUN = 12  # words of one document inside a training chain
@@ -181,11 +185,20 @@ def fit_crf(texts: list[bytes], labels: np.ndarray, n_labels: int, epochs: int =
     return weights, trans
 
 
-def fit(docs: DataFrame, limit: int = FIT_ROWS):
-    """(languages, weights, transitions) from at most ``limit`` rows outside the held-out part."""
-    rows = training_rows(docs, ["text", "lang"], limit, condition=
-                         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out_expr())
-    rows = [r for r in rows if r["text"] and r["lang"] is not None]
+def fit(docs: DataFrame, limit: int = FIT_ROWS, least: int = LEAST_ROWS):
+    """(languages, weights, transitions) from a bounded sample outside the held-out part.
+
+    The languages are those of all rows that may be learnt from; one that the
+    sample of ``limit`` rows holds less than ``least`` times gets rows of its own.
+    """
+    usable = F.col("lang").isNotNull() & (F.col("text") != "") & ~held_out_expr()
+    rows = training_rows(docs, ["text", "lang"], limit, condition=usable)
+    seen = [r["lang"] for r in rows]
+    rare = [r[0] for r in docs.where(usable).select("lang").distinct().collect() if seen.count(r[0]) < least]
+    if rare:
+        known = {r["doc_id"] for r in rows}
+        rows += [r for r in rows_by_label(docs, ["text", "lang"], "lang", least, usable & F.col("lang").isin(rare))
+                 if r["doc_id"] not in known]
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return [], np.zeros((SIZE, 0), dtype=np.float32), np.zeros((0, 0))

@@ -31,6 +31,7 @@ from retentio.llm.common import byte_slices, ship_package, text_bytes, training_
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT = 0.5
+RARE_ROWS = 200  # of a label that the fit's sample doesn't hold
 FIT_ROWS = 2000
 PIECE = 24  # lines of one training chain; longer texts give several chains
 
@@ -245,6 +246,9 @@ def viterbi(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndar
 def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS):
     """(emission weights, transitions) from weak line labels of a bounded sample."""
     rows = training_rows(docs, ["text"], limit, labels, "quality", F.col("quality").isin(0, 1))
+    for value in (0, 1):  # a label too rare for the sample gets rows of its own
+        if not any(r["quality"] == value for r in rows):
+            rows += training_rows(docs, ["text"], RARE_ROWS, labels, "quality", F.col("quality") == value)
     rows = [r for r in rows if r["text"]]
     quality = np.array([r["quality"] for r in rows], dtype=np.int64)
     if len(set(quality.tolist())) < 2:

@@ -357,3 +357,92 @@ def test_toxicity_held_out_and_odd_rows(spark, odd, empty):
 def test_calibrated_threshold():
     assert 0.4 < toxic_cnn.calibrate(np.array([0.9, 0.7, 0.3, 0.1]), np.array([1.0, 1, 0, 0])) < 0.6
     assert toxic_cnn.calibrate(np.array([0.9]), np.array([0.0])) == 0.5
+
+
+def _plain_words(text: bytes):
+    out, now = [], b""
+    for c in text:
+        if 65 <= c <= 90:
+            c += 32
+        if 97 <= c <= 122 or c >= 128:
+            now += bytes([c])
+        elif now:
+            out, now = out + [now], b""
+    return out + [now] if now else out
+
+
+def test_toxic_scores_equal_a_plain_forward_pass():
+    """One word, one window and one filter at a time."""
+    from retentio.llm.words import STEP
+    rng = np.random.default_rng(1)
+    texts = [b"Some plain words here, and SOME more.", b"", b"one", b"two words", b"longword" * 9 + b" x y", b"?! 12"]
+    model = (rng.normal(size=(toxic_cnn.TABLES << toxic_cnn.BITS, toxic_cnn.DIM)).astype(np.float32),
+             [rng.normal(size=(w, toxic_cnn.DIM, toxic_cnn.FILTERS)).astype(np.float32) for w in toxic_cnn.WIDTHS],
+             np.abs(rng.normal(size=len(toxic_cnn.WIDTHS) * toxic_cnn.FILTERS)) * 0.05, np.array([-0.7]))
+    mult, wide = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def cell(value, k):
+        return (value >> (64 - toxic_cnn.BITS)) + (k << toxic_cnn.BITS)
+
+    def vector(w):
+        value = sum(c * pow(STEP, i, 1 << 64) for i, c in enumerate(w)) & wide
+        at = [cell((value ^ value >> 31) * mult & wide, 0)]
+        for k, size in enumerate(toxic_cnn.PREFIXES):
+            head = int.from_bytes(w[:size] + bytes(max(0, size - len(w))), "big")
+            at.append(cell((head + size) * mult & wide, k + 1))
+        return sum(model[0][a].astype(float) for a in at)
+
+    want = []
+    for t in texts:
+        v = [vector(w) for w in _plain_words(t)]
+        pool = []
+        for b, width in enumerate(toxic_cnn.WIDTHS):
+            for f in range(toxic_cnn.FILTERS):
+                got = [sum(float(v[s + k] @ model[1][b][k][:, f]) for k in range(width) if s + k < len(v))
+                       for s in range(max(1, len(v) - width + 1) if v else 0)]
+                pool.append(max(got) if got else 0.0)
+        x = sum(max(0.0, p) * w for p, w in zip(pool, model[2])) + model[3][0]
+        want.append(1 / (1 + np.exp(-x)))
+    assert toxic_cnn.score_texts(texts, model) == pytest.approx(want, abs=1e-4)
+
+
+def test_language_emissions_equal_plain_sums():
+    """Each word's byte pairs, triples and quadruples with its borders, and the word itself."""
+    from retentio.llm.words import STEP
+    rng = np.random.default_rng(4)
+    weights = rng.normal(size=(lang_crf.SIZE, 3)).astype(np.float32)
+    weights[lang_crf.NONE] = 0
+    mult, wide = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    texts = [b"Ab cde, fghij", b"x", b"", b"caf\xc3\xa9 two"]
+    words = lang_crf.Words(texts)
+    got = lang_crf.emissions(words, weights)
+    plain = [w for t in texts for w in _plain_words(t)]
+    assert len(got) == len(plain)
+    for row, w in zip(got, plain):
+        raw = b" " + w + b" "
+        letter = [False] + [True] * len(w) + [False]
+        bits = lang_crf.NGRAM_BITS
+        total = np.zeros(3)
+        for e in range(1, len(raw)):  # n-grams that end in the word or at the border after it
+            total += weights[raw[e - 1] << 8 | raw[e]]
+            if e >= 2 and letter[e - 1]:
+                value = (int.from_bytes(raw[e - 2:e + 1], "big") + 1) * mult & wide
+                total += weights[(value >> (64 - bits)) + (1 << bits)]
+            if e >= 3 and letter[e - 1] and letter[e - 2]:
+                value = (int.from_bytes(raw[e - 3:e + 1], "big") + 7) * mult & wide
+                total += weights[(value >> (64 - bits)) + 2 * (1 << bits)]
+        value = sum(c * pow(STEP, i, 1 << 64) for i, c in enumerate(w)) & wide
+        total += weights[(((value ^ value >> 31) * mult & wide) >> (64 - lang_crf.WORD_BITS)) + 3 * (1 << bits)]
+        assert row == pytest.approx(total, abs=1e-4), w
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(k, "the house and the garden were in the sun " * 6, "en") for k in range(1, 400)]
+    rows += [(1000 + k, "zyx qwv jkl xqz vvk wqj kzx " * 6, "zz") for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_crf.fit(docs, limit=20)
+    assert model[0] == ["en", "zz"]
+    got = {r.doc_id: r.lang_pred for r in lang_crf.language_table(docs.withColumn("score", F.lit("x")), model).collect()}
+    assert all(got[k] == lang for k, _, lang in rows)
+    long = docs.withColumn("text", F.repeat("text", 400))
+    assert lang_crf.fit(long, limit=20)[0] == []  # every text is beyond the bound of a fit row

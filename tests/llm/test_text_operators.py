@@ -247,3 +247,88 @@ def test_pipeline_against_brute_force(spark):
     text = {r.doc_id: r.text for r in mixed.collect()}
     assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in mixed.collect())
     assert all(r.round_trip and list(r.piece_ids) == sp.encode(text[r.doc_id]) for r in out)
+
+
+def plain_base_spans(text):
+    """The contract's three kinds, character by character."""
+    found = []
+    names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    def assign(at):
+        for name in names:
+            if not low.startswith(name, at):
+                continue
+            k = at + len(name)
+            for quote in (True, False):  # the quotes may be there and not be taken
+                j = k
+                if quote:
+                    if text[j:j + 1] not in ("'", '"'):
+                        continue
+                    j += 1
+                while text[j:j + 1] == " ":
+                    j += 1
+                if text[j:j + 1] not in (":", "="):
+                    continue
+                j += 1
+                while text[j:j + 1] == " ":
+                    j += 1
+                if text[j:j + 1] in ("'", '"'):
+                    j += 1
+                e = j
+                while e < len(text) and text[e] in value:
+                    e += 1
+                if e > j:
+                    return j, e
+        return None
+
+    at = 0
+    while at < len(text):
+        m = assign(at)
+        if m:
+            if m[1] - m[0] >= 8:
+                found.append((at, m[1], "assign"))
+            at = m[1]
+        else:
+            at += 1
+    for kind, head, chars, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16),
+                                     ("hex", "", set("0123456789abcdef"), 32)):
+        at = 0
+        while at < len(text):
+            if text.startswith(head, at):
+                e = at + len(head)
+                while e < len(text) and text[e] in chars:
+                    e += 1
+                if e > at + len(head):
+                    if e - at >= least:
+                        found.append((at, e, kind))
+                    at = e
+                    continue
+            at += 1
+    order = {"assign": 0, "access": 1, "hex": 2}
+    return sorted(found, key=lambda s: (s[0], order[s[2]]))
+
+
+def test_base_spans_equal_a_plain_scan(spark):
+    from tests.conftest import SF001
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF001}/documents.parquet").select("text").collect()]
+    short = [t for t in texts if len(t) < 20_000]
+    extra = ["password = 'hunter2hunter2'", 'API_KEY":"abcdefgh"', "token=short", "secret:  =x", "passwd==abcdefgh",
+             "AKIA" + "Q" * 12, "AKIA" + "Q" * 11, "AKIAAKIAAKIAAKIA", "0a" * 16, "0A" * 16, "apikey 'x", "tokentoken=abcdefgh1",
+             "Secret= \u00e9abcdefgh", "secret='", "K\u212aey", "to\u212aen=abcdefgh1", "\U0001f600 token=abcdefgh1 " + "f" * 40]
+    order = {"assign": 0, "access": 1, "hex": 2}
+    n = 0
+    for t in [*short, *extra]:
+        got = sorted(secret_links.base_spans(t), key=lambda s: (s[0], order[s[2]]))
+        want = plain_base_spans(t)
+        assert got == want, t[:80]
+        n += len(want)
+    assert len(short) > 900 and n > 20
+
+
+def test_rare_quality_label_is_still_learnt(spark, documents, labels):
+    one = labels.where("quality = 0").limit(1)
+    few = labels.where("quality = 1").unionByName(one)
+    weights, _ = quality_crf.fit(documents, few, limit=5)
+    assert weights.any() and weights.shape[0] == 2
