@@ -17,7 +17,8 @@ in the tropical semiring is the encoding.  In a byte-pair model exactly one
 piece can end the encoding of each prefix, so a position needs one state only,
 and relaxing the arcs position by position, many words at a time, finds the
 path.  No piece spans a space or line break, so the lattice falls into words
-and distinct words are solved once (``ChunkCache``).
+and distinct words are solved once (``WordTable``).  Words of unlike lengths are
+relaxed together, as a prefix's best path doesn't depend on what follows it.
 
 A long word of a byte-pair model is solved in overlapping windows, all
 relaxed together.  An arc reaches back at most the longest piece, so once two
@@ -41,8 +42,8 @@ import struct
 import numpy as np
 from pyspark.sql import DataFrame
 
-from retentio.llm.chunk_cache import FIRST, ChunkCache
-from retentio.llm.common import ship_package
+from retentio.llm.common import byte_slices, ship_package, text_bytes
+from retentio.llm.word_table import BREAK, FIRST, MARKS, SPACE, WordTable
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -52,6 +53,8 @@ LONG = 4096  # characters beyond which a word is solved in windows
 STRIDE = 1024
 OVERLAP = 256
 WINDOWS = 512  # windows solved at once
+CELLS = 1_000_000  # lattice positions solved at once
+SLICE = 1 << 22  # bytes of text encoded at once
 
 
 def _fields(raw: bytes):
@@ -174,6 +177,8 @@ class Transducer:
         order = np.argsort(keys)
         self.pair_key, self.pair_rank = np.array(keys)[order], np.array(ranks)[order]
         self.span = n
+        self.pair_filter = np.zeros(1 << FILTER_BITS, dtype=bool)
+        self.pair_filter[self._bucket(self.pair_key.astype(np.uint64))] = True
         for i in joined:
             parts = self.merge(pieces[i], below=i)
             if len(parts) == 2:
@@ -245,7 +250,8 @@ class Transducer:
             span = max(size, n - int(some[-1])) if a + WINDOWS + 1 >= len(starts) else size
             room = np.zeros(int(some[-1]) + span, dtype=np.uint32)
             room[:min(n, len(room))] = chars[:len(room)]
-            p, k = self._relax(room[some[:, None] + np.arange(span)[None, :]])
+            p, k = self._relax(room[np.arange(span)[:, None] + some[None, :]])
+            p, k = p.T, k.T
             same = (p[:-1, STRIDE + 1:size + 1] == p[1:, 1:OVERLAP + 1]) & (
                 k[:-1, STRIDE + 1:size + 1] == k[1:, 1:OVERLAP + 1])
             total = np.cumsum(np.pad(same, ((0, 0), (1, 0))), axis=1)
@@ -275,12 +281,14 @@ class Transducer:
         """
         ok = np.ones(len(first), dtype=bool)
         at = np.flatnonzero((first != self.other) & (second != self.other))
-        x, y = first[at].copy(), second[at].copy()
+        x, y = first[at].astype(np.int64), second[at].astype(np.int64)
         until = np.full(len(at), np.iinfo(np.int64).max)  # joins at a rank below this come first
         while len(at):
             key = x * self.span + y
-            k = np.searchsorted(self.pair_key, key).clip(max=len(self.pair_key) - 1)
-            joins = (self.pair_key[k] == key) & (self.pair_rank[k] < until)
+            joins = self.pair_filter[self._bucket(key.astype(np.uint64))]
+            maybe = np.flatnonzero(joins)
+            k = np.searchsorted(self.pair_key, key[maybe]).clip(max=len(self.pair_key) - 1)
+            joins[maybe] = (self.pair_key[k] == key[maybe]) & (self.pair_rank[k] < until[maybe])
             ok[at[joins]] = False
             rx, ry = self.rank[x], self.rank[y]
             stay = ~joins & ((rx >= 0) | (ry >= 0))
@@ -292,44 +300,55 @@ class Transducer:
             y = np.where(undo_first, y, self.left[y])
         return ok
 
-    def _relax(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best last piece and its length for every prefix of equally long words (words, length)."""
-        n, size = chars.shape
-        prefix = _hashes(chars)
-        back_piece = np.full((n, size + 1), -1, dtype=np.int64)
-        back_len = np.zeros((n, size + 1), dtype=np.int64)
-        cost = np.full((n, size + 1), np.inf)
-        cost[:, 0] = 0
+    def _relax(self, chars: np.ndarray, lengths: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Best last piece and its length for every prefix of the words, a column each.
+
+        Words shorter than the columns come last; ``lengths``, descending, says where each ends.
+        """
+        size, n = chars.shape
+        prefix = np.zeros((size + 1, n), dtype=np.uint64)
+        for k in range(size):
+            prefix[k + 1] = prefix[k] * BASE + chars[k] + np.uint64(1)
+        active = np.full(size + 1, n) if lengths is None else n - np.searchsorted(lengths[::-1], np.arange(size + 1))
+        back_piece = np.full((size + 1, n), -1, dtype=np.int32)
+        back_len = np.zeros((size + 1, n), dtype=np.int16)
+        cost = np.full((size + 1, n), np.inf)
+        cost[0] = 0
+        reached = np.zeros((size + 1, n), dtype=bool)
+        reached[0] = True
         for end in range(1, size + 1):
+            m = int(active[end])
             for length in range(min(self.longest, end), 0, -1):
                 start = end - length
-                value = prefix[:, end] - prefix[:, start] * self.powers[length]
-                maybe = np.flatnonzero(self.filter[self._bucket(value)])
+                value = prefix[end, :m] - prefix[start, :m] * self.powers[length]
+                hit = self.filter[self._bucket(value)] & reached[start, :m]
+                if self.model.byte_pair:
+                    hit &= ~reached[end, :m]
+                maybe = np.flatnonzero(hit)
                 if not len(maybe):
                     continue
                 k = np.searchsorted(self.piece_hash, value[maybe]).clip(max=len(self.piece_hash) - 1)
                 found = self.piece_hash[k] == value[maybe]
                 at, piece = maybe[found], self.piece_id[k[found]]
                 if self.model.byte_pair:
-                    open_ = np.isfinite(cost[at, start]) & ~np.isfinite(cost[at, end])
-                    at, piece = at[open_], piece[open_]
                     if start and len(at):
-                        good = self.may_follow(back_piece[at, start], piece)
+                        good = self.may_follow(back_piece[start, at], piece)
                         at, piece = at[good], piece[good]
-                    new = cost[at, start] + 1.0
+                    new = cost[start, at] + 1.0
                 else:
-                    new = cost[at, start] + self.weight[piece]
-                    good = new < cost[at, end]
+                    new = cost[start, at] + self.weight[piece]
+                    good = new < cost[end, at]
                     at, piece, new = at[good], piece[good], new[good]
-                cost[at, end], back_piece[at, end], back_len[at, end] = new, piece, length
+                cost[end, at], back_piece[end, at], back_len[end, at], reached[end, at] = new, piece, length, True
+            outside = self.outside[chars[end - 1, :m]]
             if self.model.byte_pair:
-                lone = np.flatnonzero(~np.isfinite(cost[:, end]) & self.outside[chars[:, end - 1]])
-                cost[lone, end] = cost[lone, end - 1] + 1.0
+                lone = np.flatnonzero(~reached[end, :m] & reached[end - 1, :m] & outside)
+                cost[end, lone] = cost[end - 1, lone] + 1.0
             else:
-                new = cost[:, end - 1] + self.weight[self.other]
-                lone = np.flatnonzero(self.outside[chars[:, end - 1]] & (new < cost[:, end]))
-                cost[lone, end] = new[lone]
-            back_piece[lone, end], back_len[lone, end] = self.other, 1
+                new = cost[end - 1, :m] + self.weight[self.other]
+                lone = np.flatnonzero(outside & (new < cost[end, :m]))
+                cost[end, lone] = new[lone]
+            back_piece[end, lone], back_len[end, lone], reached[end, lone] = self.other, 1, True
         return back_piece, back_len
 
     @property
@@ -356,48 +375,47 @@ class Transducer:
     def solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Shortest paths of normalised words: ids one after another, ids of each word."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        order = np.argsort(lengths, kind="stable")
-        cuts = np.flatnonzero(np.diff(lengths[order])) + 1
+        order = np.argsort(-lengths, kind="stable")
         parts, sizes, special = [], np.zeros(len(words), dtype=np.int64), {}
-        for group in np.split(order, cuts):
-            size = int(lengths[group[0]]) if len(group) else 0
-            if not size:
-                continue
-            if self.model.byte_pair and size > LONG:
-                for i in group:
-                    word = words[i]
-                    path = None if MARK * 2 in word else self.long_path(word)
-                    special[int(i)] = self.ids_of(self.merge(word)) if path is None else self._with_bytes(word, path)
-                continue
-            step = max(1, 400_000 // size)
-            for a in range(0, len(group), step):
-                some = group[a:a + step]
-                chars = np.frombuffer("".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass"),
-                                      dtype=np.uint32).reshape(len(some), size)
-                piece, length = self._relax(chars)
-                path = np.full((len(some), size), -1, dtype=np.int64)  # by end position
-                place = np.full(len(some), size)
-                live = np.arange(len(some))
-                while len(live):
-                    end = place[live]
-                    path[live, end - 1] = piece[live, end]
-                    place[live] = np.where(piece[live, end] < 0, -1, end - length[live, end])
-                    live = live[place[live] > 0]
-                plain = (place == 0) & ~(path == self.other).any(axis=1)
-                if self.model.byte_pair and size > 1:  # runs of marks: equal weights
-                    marks = chars == ord(MARK)
-                    plain &= ~(marks[:, 1:] & marks[:, :-1]).any(axis=1)
-                for r in np.flatnonzero(~plain):
-                    word = words[some[r]]
-                    if place[r] == 0 and not (self.model.byte_pair and MARK * 2 in word):
-                        own = self._with_bytes(word, path[r][path[r] >= 0])
-                    else:
-                        own = self.ids_of(self.merge(word))
-                    special[int(some[r])] = own
-                    path[r] = -1
-                used = path >= 0
-                sizes[some] = used.sum(axis=1)
-                parts.append(path[used])
+        done, stop = 0, int((lengths > 0).sum())
+        while done < stop and self.model.byte_pair and lengths[order[done]] > LONG:
+            word = words[order[done]]
+            path = None if MARK * 2 in word else self.long_path(word)
+            special[int(order[done])] = self.ids_of(self.merge(word)) if path is None else self._with_bytes(word, path)
+            done += 1
+        while done < stop:
+            size = int(lengths[order[done]])
+            some = order[done:min(stop, done + max(1, CELLS // size))]
+            done += len(some)
+            widths = lengths[some]
+            row = np.repeat(np.arange(len(some)), widths)
+            chars = np.zeros((size, len(some)), dtype=np.uint32)
+            chars[np.arange(len(row)) - np.repeat(np.cumsum(widths) - widths, widths), row] = np.frombuffer(
+                "".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            piece, length = self._relax(chars, widths)
+            path = np.full((len(some), size), -1, dtype=np.int32)  # by end position
+            place = widths.copy()
+            live = np.arange(len(some))
+            while len(live):
+                end = place[live]
+                path[live, end - 1] = piece[end, live]
+                place[live] = np.where(piece[end, live] < 0, -1, end - length[end, live])
+                live = live[place[live] > 0]
+            plain = (place == 0) & ~(path == self.other).any(axis=1)
+            if self.model.byte_pair:  # runs of marks: equal weights
+                marks = chars == ord(MARK)
+                plain &= ~(marks[1:] & marks[:-1]).any(axis=0)
+            for r in np.flatnonzero(~plain):
+                word = words[some[r]]
+                if place[r] == 0 and not (self.model.byte_pair and MARK * 2 in word):
+                    own = self._with_bytes(word, path[r][path[r] >= 0])
+                else:
+                    own = self.ids_of(self.merge(word))
+                special[int(some[r])] = own
+                path[r] = -1
+            used = path >= 0
+            sizes[some] = used.sum(axis=1)
+            parts.append(path[used])
         flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
         ordered = sizes[order]
         begin = np.empty(len(words), dtype=np.int64)
@@ -427,11 +445,11 @@ class Transducer:
 class Codec:
     """Texts to ids and back for one model file."""
 
-    def __init__(self, path: str, limit: int = 350_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.model = Model(path)
         self.fst = Transducer(self.model)
-        self.cache = ChunkCache(self.words, self.whole, self.usable, np.uint16 if len(self.model.pieces) < 1 << 16
-                                else np.uint32, limit)
+        ids = np.uint16 if len(self.model.pieces) < 1 << 16 else np.uint32
+        self.table = WordTable(self.words, self.whole, self.usable, ids, limit, self.mark_ids())
         pieces = [bytes([int(p[1:-1], 16)]) if k == BYTE else b"" if k == CONTROL else
                   p.replace(MARK, " ").encode() if k != UNKNOWN else " ⁇ ".encode()
                   for p, k in zip(self.model.pieces, self.model.kinds)]
@@ -439,17 +457,20 @@ class Codec:
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         self.piece_bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
+    def mark_ids(self) -> dict[int, np.ndarray]:
+        """Ids of the marks that no piece joins to an ASCII letter before them."""
+        joined = {p[k + 1] for p in self.fst.ids for k in range(len(p) - 1) if p[k].isascii() and p[k].isalpha()}
+        return {m: np.array(self.fst.ids_of([chr(m)])) for m in MARKS if chr(m) not in joined}
+
     @staticmethod
-    def usable(key: str) -> bool:
-        """A key that is or begins with a space is part of a run: the text is solved by runs."""
-        w = key[2:] if key.startswith(FIRST) else key
-        return bool(w) and w != "\n" and MARK not in w
-
-    def words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        mark = MARK if self.model.dummy_prefix else ""
-        broken = np.fromiter((k[0] == "\n" and not k.startswith(FIRST) for k in keys), dtype=bool, count=len(keys))
-        flat, sizes = self.fst.solve([mark + k[2:] if k.startswith(FIRST) else k[1:] if k[0] == "\n" else MARK + k
-                                      for k in keys])
+    def usable(word: bytes) -> bool:
+        """A word that holds the mark is part of a run of spaces: its text is solved by runs."""
+        return MARK.encode() not in word
+
+    def words(self, words: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        before = {FIRST: MARK if self.model.dummy_prefix else "", SPACE: MARK, BREAK: ""}
+        flat, sizes = self.fst.solve([before[k] + w.decode() for w, k in zip(words, kinds.tolist())])
+        broken = kinds == BREAK
         if broken.any():  # the line break itself, which is in no piece
             line = self.fst.ids_of(["\n"])
             begin = (np.cumsum(sizes) - sizes)[broken]
@@ -457,10 +478,11 @@ class Codec:
             sizes = sizes + broken * len(line)
         return flat, sizes
 
-    def whole(self, text: str) -> np.ndarray:
+    def whole(self, text: str | bytes) -> np.ndarray:
         """Any text: cut before every run of marks, and at line breaks, which are in no piece."""
         if not text:
             return np.zeros(0, dtype=np.int64)
+        text = text.decode() if isinstance(text, bytes) else text
         text = (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
         line = self.fst.ids_of(["\n"])
         parts = []
@@ -474,8 +496,9 @@ class Codec:
             parts.append(self.fst.solve([*words, part[at:]])[0])
         return np.concatenate(parts).astype(np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.cache.encode(texts)
+    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each text); texts as strings or UTF-8."""
+        return self.table.encode([t.encode() if isinstance(t, str) else t for t in texts])
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """UTF-8 bytes of texts whose ids stand one after another."""
@@ -513,25 +536,19 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        own = codec(model)
+        own, mark = codec(model), MARK.encode()
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= 1 << 22):
-                    size += len(texts[j])
-                    j += 1
+            texts = text_bytes(b.column(1))
+            for i, j in byte_slices(texts, SLICE):
                 some = texts[i:j]
                 ids, sizes = own.encode(some)
                 back = own.decode(ids, sizes)
-                same = [t.replace(MARK, " ").encode() == d for t, d in zip(some, back)]
+                same = [t.replace(mark, b" ") == d for t, d in zip(some, back)]
                 starts = np.append(0, np.cumsum(sizes)).astype(np.int32)
                 yield pa.record_batch([
                     b.column(0).slice(i, j - i), pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(starts), pa.array(ids.astype(np.int32))), pa.array(same)],
                     names=["doc_id", "n_pieces", "piece_ids", "round_trip"])
-                i = j
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 

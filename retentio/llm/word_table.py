@@ -1,7 +1,6 @@
 """Encode texts through a table of their words, looked up with array operations.
 
-For byte-level tokenizers that never join a word with the space or line break
-behind it: a text with single separators between its words is cut into them,
+For tokenizers that never join a word with the space or line break behind it: a text with single separators between its words is cut into them,
 each distinct word is encoded once, and the texts are put together from the
 words' ids.  The result is that of encoding whole texts.  A full stop or
 another mark of ``MARKS`` that ends a word behind an ASCII letter is a token
@@ -22,20 +21,22 @@ MARKS = b".,!?;:"
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
-_MARK = np.zeros(256, dtype=bool)
-_MARK[list(MARKS)] = True
 _KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 class WordTable:
     """``encode_words(words, kinds)`` gives the ids of words, one after another, and the number of
     each word's ids; ``encode_whole(text)`` the ids of a text; ``usable(word)`` is false for words
-    at whose edges a text can't be cut: texts with one are encoded whole."""
+    at whose edges a text can't be cut: texts with one are encoded whole.  ``mark_ids``: the marks
+    that are cut off and their ids; all of ``MARKS``, encoded as texts, if not given."""
 
-    def __init__(self, encode_words, encode_whole, usable, dtype, limit: int = 2_000_000):
+    def __init__(self, encode_words, encode_whole, usable, dtype, limit: int = 2_000_000, mark_ids=None):
         self.encode_words, self.encode_whole, self.usable, self.dtype = encode_words, encode_whole, usable, dtype
         self.limit = limit
-        self.mark_ids = {m: np.asarray(encode_whole(bytes([m])), dtype=dtype) for m in MARKS}
+        mark_ids = {m: encode_whole(bytes([m])) for m in MARKS} if mark_ids is None else mark_ids
+        self.mark_ids = {m: np.asarray(ids, dtype=dtype) for m, ids in mark_ids.items()}
+        self.cut_off = np.zeros(256, dtype=bool)
+        self.cut_off[list(self.mark_ids)] = True
         self.clear()
 
     def clear(self) -> None:
@@ -47,10 +48,10 @@ class WordTable:
         self.start, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int32)
         self.pool, self.used = np.zeros(1 << 16, dtype=self.dtype), 0
         # the marks come first
-        at = self.store([self.mark_ids[m] for m in MARKS])
+        at = self.store(list(self.mark_ids.values()))
         self.meta[at] = -1  # not in the table
         self.mark_at = np.zeros(256, dtype=np.int64)
-        self.mark_at[list(MARKS)] = at
+        self.mark_at[list(self.mark_ids)] = at
 
     def store(self, parts: list[np.ndarray], sizes: np.ndarray | None = None) -> np.ndarray:
         """Places of new words, whose ids are ``parts`` one after another."""
@@ -181,7 +182,7 @@ class WordTable:
         kind = np.where(raw[start - 1] == 10, BREAK, SPACE)
         kind[start == begin[owner]] = FIRST
         last = raw[end - 1]
-        marked = _MARK[last] & (end - start > 1) & _LETTER[raw[end - 2]]
+        marked = self.cut_off[last] & (end - start > 1) & _LETTER[raw[end - 2]]
         if self.n > self.limit:
             self.clear()
         at = self.places(buf, raw, start, end - marked, kind)

@@ -54,6 +54,21 @@ def test_word_table_equals_the_library(parts):
     assert at == len(ids)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([*WORDS, "▁", "a▁b.", "the.\u0301", "\U0001f600!"]),
+                          st.sampled_from([" ", "\n", " ", " ", "  "])), max_size=12))
+def test_sentencepiece_words_equal_the_library(parts):
+    import sentencepiece
+    global _PIECES
+    if "_PIECES" not in globals():
+        _PIECES = (spm_wfst.Codec(SPM, limit=20), sentencepiece.SentencePieceProcessor(model_file=SPM))
+    own, sp = _PIECES
+    text = "".join(w + gap for w, gap in parts)
+    for t in (text, text[:-1]):
+        ids, sizes = own.encode([t, "", t])
+        assert ids.tolist() == 2 * sp.encode(t) and sizes.tolist() == [len(ids) // 2, 0, len(ids) // 2]
+
+
 def test_word_table_starts_anew_and_grows(documents):
     texts = [(r.text or "").encode() for r in documents.collect()]
     want = rans_tokens.BpeEncoder(BPE).encode(texts)
@@ -202,6 +217,21 @@ def test_unigram_model_equals_the_library(tmp_path):
         assert own.encode([text])[0].tolist() == sp.encode(text), text
 
 
+def test_marks_that_a_piece_joins_to_a_letter_are_not_cut_off(tmp_path):
+    import sentencepiece
+    vocab = [("▁", -3.5), ("a", -2.0), ("b", -2.5), (".", -3.0), (",", -3.0), ("b.", -2.0), ("▁a", -3.25)]
+    pieces = [_message((1, "<unk>"), (2, 0.0), (3, 2)), *[_message((1, p), (2, v)) for p, v in vocab]]
+    raw = _message(*[(1, p) for p in pieces], (2, _message((3, 1), (4, len(pieces)))),
+                   (3, _message((1, "identity"), (3, 1), (4, 0), (5, 1))))
+    path = tmp_path / "marks.model"
+    path.write_bytes(raw)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    own = spm_wfst.Codec(str(path))
+    assert ord(".") not in own.table.mark_ids and ord(",") in own.table.mark_ids
+    for text in ("ab. a. b, a,", "b.", "a,b., ab.."):
+        assert own.encode([text])[0].tolist() == sp.encode(text), text
+
+
 def test_character_maps_are_refused(tmp_path):
     with open(SPM, "rb") as f:
         raw = f.read()
