@@ -2,8 +2,10 @@
 
 The transducer is compiled from a model file.
 
-* Normaliser: a space becomes the mark U+2581 and a text gets one in front
-  (identity normalisation; a model with a character map is refused).
+* Normaliser: the model's character map is compiled into rules that read some
+  characters and write others, the leftmost and longest first; runs of spaces
+  are joined and the edges trimmed if the model says so; a space becomes the
+  mark U+2581 and a text gets one in front.
 * Pieces: one state for each piece last written.  From state p an arc reads
   the characters of piece q and writes its id.  In a byte-pair model the arc
   has weight one if q may follow p and infinite weight otherwise; q may
@@ -29,7 +31,8 @@ of spaces, whose pieces have equal weights, the word is merged by rank with a
 heap, ties to the left, as in the library; either way the work grows with the
 length, not its square.
 
-Decoding joins the pieces' bytes, turns marks into spaces and drops the first.
+Decoding joins the pieces' bytes, turns marks into spaces and drops the first;
+it gives the normalised text (the text itself in a model without a map).
 
 Defined cases: null or empty text has no ids; U+2581 in a text reads as a
 space; repeated rows each get a row; extra columns are ignored.
@@ -37,6 +40,7 @@ space; repeated rows each get a row; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 
 import numpy as np
@@ -83,6 +87,68 @@ def _fields(raw: bytes):
             at += n
 
 
+def character_map(raw: bytes) -> dict[str, str]:
+    """Rules of a precompiled character map: the size of a double-array trie over UTF-8 bytes, its
+    units (uint32), and the replacements, each ended by a NUL; a leaf holds its replacement's place."""
+    size = struct.unpack_from("<I", raw)[0]
+    units = np.frombuffer(raw, dtype="<u4", count=size // 4, offset=4).astype(np.int64)
+    texts = raw[4 + size:]
+    labels, steps = units & 0x800000FF, np.arange(1, 256)
+
+    def below(at: np.ndarray) -> np.ndarray:
+        return at ^ ((units[at] >> 10) << ((units[at] & 0x200) >> 6))
+
+    rules: dict[str, str] = {}
+    open_ = [(below(np.zeros(1, dtype=np.int64)), [b""])]
+    while open_:  # many states of one depth at once
+        base, keys = open_.pop()
+        places = base[:, None] ^ steps
+        row, step = np.nonzero((places < len(units)) & (labels[places.clip(max=len(units) - 1)] == steps))
+        node = places[row, step]
+        child = below(node)
+        found = [keys[r] + bytes((c + 1,)) for r, c in zip(row.tolist(), step.tolist())]
+        ends = np.flatnonzero(units[node] >> 8 & 1)
+        for k, at in zip(ends.tolist(), (units[child[ends]] & 0x7FFFFFFF).tolist()):
+            rules[found[k].decode()] = texts[at:texts.index(b"\0", at)].decode()
+        open_ += [(child[k:k + 4096], found[k:k + 4096]) for k in range(0, len(found), 4096)]
+    return rules
+
+
+class Normaliser:
+    """Rewrites a text by rules, leftmost and longest first, and joins spaces if ``squeeze``."""
+
+    def __init__(self, rules: dict[str, str], squeeze: bool):
+        if any("  " in new for new in rules.values()):
+            raise ValueError("a rule of the character map writes two spaces in a row")
+        self.rules, self.squeeze = rules, squeeze
+        self.longest = max(map(len, rules), default=0)
+        # where a rule may begin: at a character with a rule of its own, or before one that goes on a rule
+        heads = "".join(sorted({re.escape(k) for k in rules if len(k) == 1}))
+        nexts = "".join(sorted({re.escape(k[1]) for k in rules if len(k) > 1}))
+        parts = [f"[{heads}]"] * bool(heads) + [f".(?=[{nexts}])"] * bool(nexts)
+        self.begin = re.compile("|".join(parts), re.DOTALL) if parts else None
+
+    def __call__(self, text: str) -> str:
+        if self.begin is not None:
+            out, done = [], 0
+            found = self.begin.search(text)
+            while found:
+                at = found.start()
+                for n in range(self.longest, 0, -1):
+                    new = self.rules.get(text[at:at + n])
+                    if new is not None and at + n <= len(text):
+                        out += [text[done:at], new]
+                        done = at = at + n
+                        break
+                else:
+                    at += 1
+                found = self.begin.search(text, at)
+            text = "".join(out) + text[done:]
+        if self.squeeze:
+            text = re.sub("  +", " ", text).lstrip(" ").rstrip(" " + MARK)
+        return text
+
+
 class Model:
     """Pieces, scores and kinds of a SentencePiece model file."""
 
@@ -92,7 +158,7 @@ class Model:
         self.pieces: list[str] = []
         self.scores: list[float] = []
         self.kinds: list[int] = []
-        self.byte_pair, self.dummy_prefix = False, True
+        self.byte_pair, self.dummy_prefix, self.squeeze, rules = False, True, True, b""
         for number, value in _fields(raw):
             if number == 1:
                 piece = dict(_fields(value))
@@ -100,12 +166,19 @@ class Model:
                 self.scores.append(struct.unpack("<f", piece[2])[0] if 2 in piece else 0.0)
                 self.kinds.append(piece.get(3, NORMAL))
             elif number == 2:
-                self.byte_pair = dict(_fields(value)).get(3, 1) == 2
+                spec = dict(_fields(value))
+                self.byte_pair = spec.get(3, 1) == 2
+                if spec.get(24):
+                    raise ValueError("marks behind words are not supported")
             elif number == 3:
                 spec = dict(_fields(value))
-                self.dummy_prefix = bool(spec.get(3, 1))
-                if spec.get(2) or spec.get(4, 1):
-                    raise ValueError("only identity normalisation that keeps white space is supported")
+                self.dummy_prefix, self.squeeze = bool(spec.get(3, 1)), bool(spec.get(4, 1))
+                rules = spec.get(2, b"")
+                if not spec.get(5, 1):
+                    raise ValueError("spaces that stay spaces are not supported")
+        if rules and USER in self.kinds:
+            raise ValueError("a character map beside user-defined pieces is not supported")
+        self.normaliser = Normaliser(character_map(rules) if rules else {}, self.squeeze)
 
 
 def _hashes(chars: np.ndarray) -> np.ndarray:
@@ -498,7 +571,23 @@ class Codec:
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); texts as strings or UTF-8."""
-        return self.table.encode([t.encode() if isinstance(t, str) else t for t in texts])
+        plain = self.normalised(texts)
+        ids, sizes = self.table.encode(plain)
+        if self.model.dummy_prefix and not self.model.squeeze:  # texts whose characters all vanish keep the mark
+            lone = np.array([bool(t) and not p for t, p in zip(texts, plain)], dtype=bool)
+            if lone.any():
+                mark = self.fst.solve([MARK])[0]
+                at = (np.cumsum(sizes) - sizes)[lone]
+                ids = np.insert(ids, np.repeat(at, len(mark)), np.tile(mark, len(at)))
+                sizes = sizes + lone * len(mark)
+        return ids, sizes
+
+    def normalised(self, texts: list) -> list[bytes]:
+        """UTF-8 of the texts after the model's rules, their spaces not yet marks."""
+        own = self.model.normaliser
+        if own.begin is None and not own.squeeze:
+            return [t.encode() if isinstance(t, str) else t for t in texts]
+        return [own(t if isinstance(t, str) else t.decode()).encode() for t in texts]
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """UTF-8 bytes of texts whose ids stand one after another."""
@@ -531,7 +620,7 @@ SCHEMA = "doc_id long, n_pieces int, piece_ids array<int>, round_trip boolean"
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_pieces, piece_ids, round_trip): ids of each whole text; round_trip says that
-    decoding them gives the text back."""
+    decoding them gives the (normalised) text back."""
     ship_package(docs.sparkSession)
 
     def run(batches):
@@ -543,7 +632,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
                 some = texts[i:j]
                 ids, sizes = own.encode(some)
                 back = own.decode(ids, sizes)
-                same = [t.replace(mark, b" ") == d for t, d in zip(some, back)]
+                same = [t.replace(mark, b" ") == d for t, d in zip(own.normalised(some), back)]
                 starts = np.append(0, np.cumsum(sizes)).astype(np.int32)
                 yield pa.record_batch([
                     b.column(0).slice(i, j - i), pa.array(sizes.astype(np.int32)),
