@@ -9,8 +9,10 @@ Linking.  Weak parts say little alone: identifiers of an account or client,
 values that look random, and endpoints.  An interval join pairs identifiers
 (strong or weak) with secret values (strong or weak) whose gap is at most
 ``SCOPE`` code points without a blank line between, and endpoints with such
-pairs.  Weak parts are reported only as members of a pair: ``ident``,
-``value`` and ``endpoint`` spans are added to the base ones.
+pairs, with named secrets (``assign``) and with ``access`` identifiers, which
+need no pair.  A ``hex`` run may be a checksum beside a download, so it takes an
+identifier to link it.  Weak parts are reported only beside a complementary
+part: ``ident``, ``value`` and ``endpoint`` spans are added to the base ones.
 
 The join runs inside each text: both sides are sorted by position and
 matched by binary search, so its cost follows the parts found.
@@ -90,10 +92,24 @@ class _Intervals:
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak parts that stand with a complementary part."""
     strong_ids = [s for s in base if s[2] == "access"]
+    named = [s for s in base if s[2] in ("assign", "access")]
     weak_ids = [(m.start(1), m.end(1), "ident") for m in IDENT.finditer(text)] if "id" in text.lower() else []
-    if not strong_ids and not weak_ids:
+    if not named and not weak_ids:
         return []
     taken = _Intervals(base)
+    pairs, chosen = pair_parts(text, base, taken, strong_ids, weak_ids) if strong_ids or weak_ids else ([], set())
+    if (pairs or named) and ("://" in text or ".amazonaws.com" in text):
+        scopes = _Intervals({*pairs, *((a, b, "") for a, b, _ in named)})
+        for m in ENDPOINT.finditer(text):
+            s = (m.start(), m.end(), "endpoint")
+            if not taken.meets(*s[:2]) and scopes.near(s, text):
+                chosen.add(s)
+    return [s for s in chosen if s[2] in ("ident", "value", "endpoint")]
+
+
+def pair_parts(text: str, base: list[Span], taken: _Intervals, strong_ids: list[Span],
+               weak_ids: list[Span]) -> tuple[list[Span], set[Span]]:
+    """Scopes of the pairs of identifier and secret value, and the parts of all pairs."""
     ids = sorted(strong_ids + [s for s in weak_ids if not taken.meets(*s[:2])])
     id_places = {(a, b) for a, b, _ in ids}
     weak = [(m.start(), m.end(), "value") for m in VALUE.finditer(text)
@@ -107,13 +123,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
                 continue  # an identifier's own text is no second part
             chosen |= {i, v}
             pairs.append((min(i[0], v[0]), max(i[1], v[1]), ""))
-    if pairs:
-        scopes = _Intervals(set(pairs))
-        for m in ENDPOINT.finditer(text):
-            s = (m.start(), m.end(), "endpoint")
-            if not taken.meets(*s[:2]) and scopes.near(s, text):
-                chosen.add(s)
-    return [s for s in chosen if s[2] in ("ident", "value", "endpoint")]
+    return pairs, chosen
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:

@@ -75,6 +75,7 @@ def plain_links(text, base):
     pairs = [(i, v) for i in ids for v in values if near(i, v)]
     chosen = {s for p in pairs for s in p}
     scopes = [(min(i[0], v[0]), max(i[1], v[1])) for i, v in pairs]
+    scopes += [s[:2] for s in base if s[2] != "hex"]
     for m in secret_links.ENDPOINT.finditer(text):
         s = (m.start(), m.end(), "endpoint")
         if not meets(*s[:2]) and any(near(s, p) for p in scopes):
