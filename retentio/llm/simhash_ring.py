@@ -187,30 +187,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of each class: that with the smallest (doc_id, fingerprint, hash of the text).
+    """One row of each class: that with the smallest (doc_id, fingerprint, hash of the text, hash of the row).
 
     A class is told by its fingerprints, not by doc_ids, so that two unlinked
     texts under one doc_id both stay.  Of rows with the same doc_id and text
     the one with the smallest hash of its columns stays.  Rows without a
     doc_id can't be compared by id and stay.  All columns are kept.
+
+    The kept row is chosen on hashes alone; whole rows are only joined.  Those
+    that occur once need nothing more, so that texts are neither sorted nor
+    grouped; those that occur again are folded to one.
     """
     ship_package(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     with_id = docs.where(F.col("doc_id").isNotNull())
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(fingerprints(text_bytes(b.column(2))))],
-                                  names=["doc_id", "text_hash", "fp"])
-
-    keyed = with_id.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    fps = written_table(keyed.mapInArrow(run, "doc_id long, text_hash long, fp long"))
-    first = (fps.join(fingerprint_roots(fps), "fp").groupBy("root")
-             .agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("first"))
-             .select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")))
-    kept = with_id.join(first, (F.col("doc_id") == F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_hash")))
-    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    one = kept.groupBy("_kept_id", "_kept_hash").agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*plain)).alias("_kept_row"))
-    return one.select("_kept_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+            yield pa.record_batch([*b.columns[:3], pa.array(fingerprints(text_bytes(b.column(3))))],
+                                  names=["doc_id", "text_hash", "row_hash", "fp"])
+
+    keyed = with_id.select("doc_id", F.xxhash64(text).alias("text_hash"), F.xxhash64(*plain).alias("row_hash"),
+                           text.alias("text"))
+    fps = written_table(keyed.mapInArrow(run, "doc_id long, text_hash long, row_hash long, fp long"))
+    rows = fps.groupBy("doc_id", "fp", "text_hash", "row_hash").agg(F.count("*").alias("n"))
+    first = written_table(rows.join(fingerprint_roots(fps), "fp").groupBy("root")
+                          .agg(F.min(F.struct("doc_id", "fp", "text_hash", "row_hash", "n")).alias("first"))
+                          .select(*[F.col(f"first.{c}").alias(f"_kept_{c}") for c in ("doc_id", "text_hash", "row_hash", "n")]))
+    same = ((F.col("doc_id") == F.col("_kept_doc_id")) & (F.xxhash64(text) == F.col("_kept_text_hash"))
+            & (F.xxhash64(*plain) == F.col("_kept_row_hash")))
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    once = with_id.join(first.where("_kept_n = 1"), same).select(*whole)
+    again = (with_id.join(first.where("_kept_n > 1"), same).groupBy("_kept_doc_id", "_kept_text_hash")
+             .agg(F.first(F.struct(*whole)).alias("_kept_row")).select("_kept_row.*"))
+    return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -133,3 +133,16 @@ def test_deduplicate_tells_rows_of_one_id_by_their_texts(spark):
 def test_pipeline_stage_keeps_unlinked_texts_of_one_id(spark):
     docs = spark.createDataFrame([(3, TEXT_A), (5, TEXT_A), (5, TEXT_B)], "doc_id long, text string")
     assert {tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {(3, TEXT_A), (5, TEXT_B)}
+
+
+def test_deduplicate_groups_no_text_that_occurs_once(spark):
+    """Whole rows that occur once are joined, neither sorted nor grouped; repeats still give one row."""
+    rows = [(k, f"own text number {k} " + f"w{k} x{k} y{k} " * 9, "s") for k in range(1, 40)]
+    docs = spark.createDataFrame([*rows, rows[4], rows[4], (3, rows[2][1], "t")], "doc_id long, text string, source string")
+    out = simhash_ring.deduplicate(docs)
+    kept = out.collect()
+    assert sorted(r.doc_id for r in kept) == list(range(1, 40))
+    assert {tuple(r) for r in kept} <= {*rows, (3, rows[2][1], "t")}
+    parts = out._jdf.queryExecution().optimizedPlan().children()
+    plans = [parts.apply(k).toString() for k in range(parts.size())]
+    assert any("Join" in p and "Aggregate" not in p for p in plans)
