@@ -515,3 +515,20 @@ def test_rare_languages_are_learnt(spark):
     assert all(got[k] == lang for k, _, lang in rows)
     long = docs.withColumn("text", F.repeat("text", 400))
     assert lang_crf.fit(long, limit=20)[0] == []  # every text is beyond the bound of a fit row
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Rows beyond any number and length count, in whatever order and parts they come."""
+    from zlib import crc32
+    from pyspark.sql import functions as F
+    ids = [k for k in range(1, 5000) if crc32(str(k).encode()) % 5]
+    few, many = set(ids[:40]), ids[40:]
+    rows = [(k, "plain words " * 6000 + "zugrak", "en") for k in few] + [(k, f"plain words row {k % 7}", "en") for k in many]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.col("text").contains("zugrak").cast("int").alias("toxic"))
+    used = toxic_cnn.fit_table(docs, labels)
+    assert used.count() == len(rows) > 2800 and used.agg(F.max(F.length("text"))).first()[0] > 1 << 16
+    (model, limits), (again, same) = toxic_cnn.fit(docs, labels), toxic_cnn.fit(docs.repartition(5, "text"), labels)
+    clean, toxic = toxic_cnn.score_texts([b"plain words row 3", b"plain words zugrak"], model)
+    assert clean < 0.5 <= toxic
+    assert np.allclose(model[0], again[0], atol=1e-5) and limits.keys() == same.keys() == {"en"}
