@@ -194,9 +194,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     the one with the smallest hash of its columns stays.  Rows without a
     doc_id can't be compared by id and stay.  All columns are kept.
 
-    The kept row is chosen on hashes alone; whole rows are only joined.  Those
-    that occur once need nothing more, so that texts are neither sorted nor
-    grouped; those that occur again are folded to one.
+    The kept row is chosen on hashes alone; whole rows are joined with the
+    choice (a join that may shuffle and sort them).  Those that occur once are
+    not aggregated; those that occur again are folded to one.
     """
     ship_package(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -136,7 +136,7 @@ def test_pipeline_stage_keeps_unlinked_texts_of_one_id(spark):
 
 
 def test_deduplicate_groups_no_text_that_occurs_once(spark):
-    """Whole rows that occur once are joined, neither sorted nor grouped; repeats still give one row."""
+    """Whole rows that occur once are joined, not aggregated; repeats still give one row."""
     rows = [(k, f"own text number {k} " + f"w{k} x{k} y{k} " * 9, "s") for k in range(1, 40)]
     docs = spark.createDataFrame([*rows, rows[4], rows[4], (3, rows[2][1], "t")], "doc_id long, text string, source string")
     out = simhash_ring.deduplicate(docs)
