@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentio.llm.common import byte_slices, held_out_expr, ship_package, text_bytes
-from retentio.llm.words import Words, bucket
+from retentio.llm.words import Words, bucket, head_hashes
 from retentio.session import written_table
 
 BITS = 15
@@ -54,19 +54,35 @@ PREFIXES = (4, 5, 6, 7, 8)  # bytes
 TABLES = 1 + len(PREFIXES)
 
 
-def feature_rows(words: Words) -> np.ndarray:
-    """Table rows (words, TABLES) of the hashed word and its prefixes."""
-    out = np.empty((len(words.start), TABLES), dtype=np.int32)
+def coded_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(table rows of each different word, which of them each word is, words of each text).
+
+    A word's rows (TABLES of them) are those of the hashed word and its
+    prefixes.  Words are told apart by their hash; if two words of different
+    first bytes share one, every word stands for itself.
+    """
+    import pyarrow as pa
+    words = Words(texts)
+    whole, heads = words.hashes(), words.heads()
+    found = pa.array(whole).dictionary_encode()
+    which = found.indices.to_numpy(zero_copy_only=False)
+    first = np.empty(len(found.dictionary), dtype=np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    if (np.take(heads[first], which) != heads).any():
+        which = first = np.arange(len(which))
+    whole, heads = whole[first], heads[first]
+    rows = np.empty((len(first), TABLES), dtype=np.int32)
     for k in range(TABLES):
-        out[:, k] = bucket(words.prefixes(PREFIXES[k - 1]) if k else words.hashes(), BITS) + (k << BITS)
-    return out
+        rows[:, k] = bucket(head_hashes(heads, PREFIXES[k - 1]) if k else whole, BITS) + (k << BITS)
+    return rows, which, words.per_text
 
 
-def embed(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
-    out = table[rows[:, 0]]
+def embed(rows: np.ndarray, which: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Embedding of every word, from :func:`coded_words`."""
+    out = np.take(table, rows[:, 0], axis=0)  # much faster than an index
     for k in range(1, rows.shape[1]):
-        out = out + table[rows[:, k]]
-    return out
+        out += np.take(table, rows[:, k], axis=0)
+    return np.take(out, which, axis=0)
 
 
 def responses(vectors: np.ndarray, bank: np.ndarray, width: int) -> np.ndarray:
@@ -115,13 +131,19 @@ def probability(x: np.ndarray, model) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(np.maximum(x, 0) @ weight + bias[0], -30, 30)))
 
 
+def different(values: np.ndarray) -> np.ndarray:
+    """Each value once, ascending."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=-1) != 0] if len(values) else values
+
+
 def feature_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(text, table row) of every feature that occurs in a text, once each."""
-    words = Words(texts)
-    rows = feature_rows(words)
-    who = np.repeat(np.arange(len(texts)), words.per_text)
-    size = TABLES << BITS
-    pairs = np.unique((who[:, None] * size + rows).ravel())
+    rows, which, per_text = coded_words(texts)
+    who = np.repeat(np.arange(len(texts)), per_text)
+    n, size = max(len(rows), 1), TABLES << BITS
+    who, word = np.divmod(different(who * n + which), n)
+    pairs = different((who[:, None] * size + rows[word]).ravel())
     return pairs // size, pairs % size
 
 
@@ -145,17 +167,17 @@ def initial_model(in1: np.ndarray, in0: np.ndarray, n1: int, n0: int, seed: int
     return table, banks, np.full(len(WIDTHS) * FILTERS, 0.1), np.array([-1.0])
 
 
-def add_gradients(texts: list[bytes], toxic: np.ndarray, model, total: np.ndarray) -> None:
-    """Adds the gradient of the log likelihood of some texts to ``total`` (laid out as :func:`packed`)."""
+def add_gradients(code, toxic: np.ndarray, model, total: np.ndarray) -> None:
+    """Adds the gradient of the log likelihood of some :func:`coded_words` to ``total`` (laid out as :func:`packed`)."""
     table, banks, weight, _ = model
-    words = Words(texts)
-    r, n = feature_rows(words), words.per_text
+    rows, which, n = code
     ends = np.cumsum(n)
-    v = embed(r, table)
+    v = embed(rows, which, table)
     x, place = pooled(v, n, model, where=True)
     gap = toxic - probability(x, model)
     down = gap[:, None] * weight[None, :] * (x > 0) * (n > 0)[:, None]
     of_table, of_banks, of_weight, of_bias = unpacked(total)
+    cells = of_table.reshape(-1)  # a view
     for b, width in enumerate(WIDTHS):
         cols = slice(b * FILTERS, (b + 1) * FILTERS)
         g, at = down[:, cols], place[:, cols]
@@ -168,8 +190,9 @@ def add_gradients(texts: list[bytes], toxic: np.ndarray, model, total: np.ndarra
             # embeddings of the words that won the pool
             flat = ((g * inside)[:, :, None] * banks[b][k].T[None]).reshape(-1, DIM)
             hit = np.flatnonzero(np.abs(flat).sum(axis=1))
+            won, added = rows[which[src.ravel()[hit]]], flat[hit].ravel()
             for c in range(TABLES):
-                np.add.at(of_table, r[src.ravel()[hit], c], flat[hit])
+                np.add.at(cells, (won[:, c, None].astype(np.int64) * DIM + np.arange(DIM)).ravel(), added)
     of_weight += np.maximum(x, 0).T @ gap
     of_bias += gap.sum()
 
@@ -201,8 +224,8 @@ def score_texts(texts: list[bytes], model) -> np.ndarray:
     if model is None:
         return out
     for i, j in byte_slices(texts):
-        words = Words(texts[i:j])
-        x, _ = pooled(embed(feature_rows(words), model[0]), words.per_text, model)
+        rows, which, per_text = coded_words(texts[i:j])
+        x, _ = pooled(embed(rows, which, model[0]), per_text, model)
         out[i:j] = probability(x, model)
     return out
 
@@ -277,34 +300,40 @@ def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _gradient_sums(rows: DataFrame, models: list) -> list[np.ndarray]:
     """Gradients of the models over all rows (the second model's without those held back); summed by Spark.
 
-    Tasks hand on whole numbers of 2**-``FIXED``, so that the sums don't depend on their order.
+    Tasks hand on whole numbers of 2**-``FIXED``, so that the sums don't depend on their order,
+    in lines of ``DIM`` parameters, where one is not 0.
     """
     shared = rows.sparkSession.sparkContext.broadcast(models)
+    size = int(sum(np.prod(s) for s in PACKED))
+    lines, sums = -(-size // DIM), [f"g{k}" for k in range(DIM)]
 
     def run(batches):
         import pyarrow as pa
-        totals = [np.zeros(int(sum(np.prod(s) for s in PACKED))) for _ in shared.value]
-        whole = [np.zeros(len(t), dtype=np.int64) for t in totals]
+        totals = [np.zeros(size) for _ in shared.value]
         for texts, toxic, back in _each_slice(batches):
+            code = coded_words(texts)
             for m, model in enumerate(shared.value):
-                use = np.flatnonzero(~back) if m else np.arange(len(texts))
-                if len(use):
-                    add_gradients([texts[k] for k in use], toxic[use], model, totals[m])
+                use = ~back if m else np.ones(len(texts), dtype=bool)
+                if use.any():
+                    own = (code[0], code[1][np.repeat(use, code[2])], code[2][use])
+                    add_gradients(own, toxic[use], model, totals[m])
         for m, t in enumerate(totals):
-            whole[m] = np.rint(t * 2.0 ** FIXED).astype(np.int64)
-            at = np.flatnonzero(whole[m])
-            yield pa.record_batch([pa.array(np.full(len(at), m, dtype=np.int32)), pa.array(at), pa.array(whole[m][at])],
-                                  names=["m", "at", "g"])
-
-    found = (rows.select("text", "toxic", "back").mapInArrow(run, "m int, at long, g long")
-             .groupBy("m", "at").agg(F.sum("g").alias("g")).toArrow())  # at most the models' parameters
+            whole = np.zeros((lines, DIM), dtype=np.int64)
+            whole.reshape(-1)[:size] = np.rint(t * 2.0 ** FIXED)
+            at = np.flatnonzero(whole.any(axis=1))
+            yield pa.record_batch([pa.array(np.full(len(at), m, dtype=np.int32)), pa.array(at.astype(np.int32)),
+                                   *[pa.array(whole[at, k]) for k in range(DIM)]], names=["m", "at", *sums])
+
+    found = (rows.select("text", "toxic", "back").mapInArrow(run, "m int, at int, " + ", ".join(f"{c} long" for c in sums))
+             .groupBy("m", "at").agg(*[F.sum(c).alias(c) for c in sums]).toArrow())  # at most the models' parameters
     shared.destroy()
-    which, at, g = (found[c].to_numpy() for c in ("m", "at", "g"))
+    which, at = found["m"].to_numpy(), found["at"].to_numpy()
+    g = np.column_stack([found[c].to_numpy() for c in sums])
     out = []
     for m in range(len(models)):
-        total = np.zeros(int(sum(np.prod(s) for s in PACKED)))
+        total = np.zeros((lines, DIM))
         total[at[which == m]] = g[which == m] / 2.0 ** FIXED
-        out.append(total)
+        out.append(total.reshape(-1)[:size])
     return out
 
 
@@ -318,10 +347,9 @@ def _pooled_table(rows: DataFrame, models: list) -> DataFrame:
             texts = text_bytes(b.column(3))
             out = [[np.zeros((0, len(WIDTHS) * FILTERS))] for _ in shared.value]
             for i, j in byte_slices(texts):
-                words = Words(texts[i:j])
-                r = feature_rows(words)
+                rows, which, per_text = coded_words(texts[i:j])
                 for m, model in enumerate(shared.value):
-                    out[m].append(np.maximum(pooled(embed(r, model[0]), words.per_text, model)[0], 0))
+                    out[m].append(np.maximum(pooled(embed(rows, which, model[0]), per_text, model)[0], 0))
             yield pa.record_batch([*b.columns[:3], *[pa.array(list(np.concatenate(o).astype(np.float64))) for o in out]],
                                   names=["lang", "toxic", "back", "x0", "x1"])
 

@@ -53,13 +53,21 @@ class Words:
         value = (total[self.end] - total[self.start]) * _power("down", len(self.raw))[self.start]
         return (value ^ (value >> np.uint64(31))) * MULT
 
+    def heads(self) -> np.ndarray:
+        """First eight bytes of each word, most significant first, zeros after a shorter word."""
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.raw), dtype=">u8", buffer=padded, strides=(1,))  # at every byte
+        cut = np.uint64(8) * (8 - np.minimum(self.end - self.start, 8)).astype(np.uint64)
+        return eight[self.start].astype(np.uint64) >> cut << cut
+
     def prefixes(self, size: int) -> np.ndarray:
         """Hash of the first ``size`` bytes (at most 8); a shorter word counts as a whole."""
-        value = np.zeros(len(self.start), dtype=np.uint64)
-        for k in range(size):
-            at = np.minimum(self.start + k, len(self.raw) - 1)
-            value = (value << np.uint64(8)) | np.where(self.start + k < self.end, self.raw[at], 0).astype(np.uint64)
-        return (value + np.uint64(size)) * MULT
+        return head_hashes(self.heads(), size)
+
+
+def head_hashes(heads: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes (1 to 8) of :meth:`Words.heads`."""
+    return ((heads >> np.uint64(64 - 8 * size)) + np.uint64(size)) * MULT
 
 
 def bucket(value: np.ndarray, bits: int) -> np.ndarray:

@@ -532,3 +532,52 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     clean, toxic = toxic_cnn.score_texts([b"plain words row 3", b"plain words zugrak"], model)
     assert clean < 0.5 <= toxic
     assert np.allclose(model[0], again[0], atol=1e-5) and limits.keys() == same.keys() == {"en"}
+
+
+def test_toxic_words_are_coded_once_and_alike(monkeypatch):
+    """Each different word has one row of features; words that share a hash keep their own prefixes."""
+    from retentio.llm import words as w
+    texts = ["über the the river THE rivers riverside".encode(), b"", b"?!", b"the river", b"abcdefgh abcdefghi a"]
+    plain = [x for t in texts for x in _plain_words(t)]
+
+    def heads(x):
+        return [(int.from_bytes(x[:size] + bytes(max(0, size - len(x))), "big") + size) * 0x9E3779B97F4A7C15
+                & ((1 << 64) - 1) for size in toxic_cnn.PREFIXES]
+
+    rows, which, per_text = toxic_cnn.coded_words(texts)
+    assert per_text.tolist() == [len(_plain_words(t)) for t in texts]
+    assert len(rows) == len(set(plain)) < len(which) == len(plain)
+    want = [[(h >> (64 - toxic_cnn.BITS)) + ((k + 1) << toxic_cnn.BITS) for k, h in enumerate(heads(x))] for x in plain]
+    assert rows[which][:, 1:].tolist() == want
+    who, feature = toxic_cnn.feature_counts(texts)
+    each = [{f for f in rows[which][per_text[:d].sum():per_text[:d + 1].sum()].ravel().tolist()} for d in range(len(texts))]
+    assert list(zip(who.tolist(), feature.tolist())) == [(d, f) for d, fs in enumerate(each) for f in sorted(fs)]
+    monkeypatch.setattr(w.Words, "hashes", lambda self: np.zeros(len(self.start), dtype=np.uint64))
+    rows, which, _ = toxic_cnn.coded_words(texts)
+    assert rows[which][:, 1:].tolist() == want
+    assert [len(x) for x in toxic_cnn.coded_words([b"", b"."])] == [0, 0, 2]
+
+
+def test_toxic_gradient_sums(spark):
+    """Tasks hand on lines of parameters; the sums are those of all rows, and those not held back."""
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    data = [(" ".join(rng.choice(vocabulary, 30)), int(k % 3 == 0), k % 5 == 0) for k in range(60)]
+    rows = spark.createDataFrame(data, "text string, toxic int, back boolean").repartition(7)
+    size = toxic_cnn.TABLES << toxic_cnn.BITS
+    model = toxic_cnn.initial_model(rng.integers(0, 9, size), rng.integers(0, 9, size), 20, 40)
+    found = toxic_cnn._gradient_sums(rows, [model, model])
+    for got, use in zip(found, (data, [r for r in data if not r[2]])):
+        want = np.zeros(len(toxic_cnn.packed(model)))
+        for text, toxic, _ in use:
+            toxic_cnn.add_gradients(toxic_cnn.coded_words([text.encode()]), np.array([float(toxic)]), model, want)
+        assert np.abs(want).max() > 0.1 and got == pytest.approx(want, abs=1e-5)
+    # one weight's slope by a small step of it
+    codes, y = toxic_cnn.coded_words([r[0].encode() for r in data]), np.array([r[1] for r in data])
+    x, _ = toxic_cnn.pooled(toxic_cnn.embed(*codes[:2], model[0]), codes[2], model)
+
+    def likelihood(step):
+        p = toxic_cnn.probability(x, (*model[:2], model[2] + step * np.eye(len(model[2]))[0], model[3]))
+        return (y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
+
+    assert toxic_cnn.unpacked(found[0])[2][0] == pytest.approx((likelihood(1e-4) - likelihood(-1e-4)) / 2e-4, rel=1e-3)
