@@ -19,7 +19,7 @@ def train_score_export(members: DataFrame, scored_path: str, metrics_path: str,
     ``member_key``).  They are stored once; training, evaluation and scoring
     read the stored table, and the headline is read back from the metrics file.
     """
-    base = materialize(members, how)
+    base = learn.arranged(materialize(members, how), how)
     fitted = learn.train_and_evaluate(base, trees, depth, seed)
     write_metrics(learn.metrics_table(fitted.predictions, fitted.model), metrics_path)
     scored = learn.score_population(fitted.model, base)
